@@ -154,3 +154,8 @@ def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of True."""
     edge = np.diff(np.concatenate(([0], mask.astype(np.int8), [0])))
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+def span_hashes_of(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of runs of symbols of any length, over a symbol prefix."""
+    return span_hashes(prefix, starts, ends)
