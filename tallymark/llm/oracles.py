@@ -1,3 +1,31 @@
 """DuckDB SQL of the queries that SQL can express on whole tables."""
 
-ORACLES: dict[str, str] = {}
+_OP2 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS g FROM (SELECT item_id, w, least(len(w), 10) AS m, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT m FROM win),
+pos AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+cand AS (SELECT doc_id, i, m, array_to_string(w[i:i + m - 1], ' ') AS g FROM pos, lens WHERE i + m - 1 <= len(w)),
+occ AS (SELECT c.doc_id, c.i, c.m, win.item_id FROM cand c JOIN win USING (g, m)),
+hit AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + m)) AS p FROM occ) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS l FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM occ) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+_OP9 = r"""
+WITH s AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, sha256(coalesce(CAST(doc_id AS VARCHAR), '')) AS u FROM documents),
+src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM s GROUP BY source),
+w AS (SELECT *, CASE rank % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight FROM src),
+l AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(source_size * 2) OVER f, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER f, 0)) AS level, (source_size * 2)::DOUBLE / weight AS ratio
+      FROM w WINDOW f AS (ORDER BY (source_size * 2)::DOUBLE / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, source_size, CASE WHEN ratio <= level THEN source_size * 2.0::DOUBLE ELSE (SELECT max(level) FROM l WHERE ratio > level) * weight END AS target FROM l),
+o AS (SELECT s.*, source_size, target, coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY u, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off, CAST(floor(target) AS BIGINT) AS words
+      FROM s JOIN t ON s.source IS NOT DISTINCT FROM t.source),
+p AS (SELECT *, CASE WHEN source_size > 0 THEN words // source_size ELSE 0 END AS passes FROM o)
+SELECT doc_id, size, source_size, target, CAST(passes * size + least(size, greatest(0, words - passes * source_size - off)) AS BIGINT) AS taken FROM p
+"""
+
+ORACLES: dict[str, str] = {"op2_benchmark_decontamination": _OP2, "op9_source_mixing": _OP9}

@@ -7,13 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import substring_dedup
+from . import decontamination, language_id, minhash_dedup, mixing, substring_dedup
 from .tables import read
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), length=10)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = language_id.fold("doc_id", 4) == 2
+    documents = read(spark, sf_dir, "documents").withColumn("held_out", held_out)
+    return language_id.identify(documents, F.col("held_out"), keep=["doc_id", "held_out"])
+
+
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash_dedup.near_duplicates(read(spark, sf_dir, "documents"), k=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.curriculum(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.strip_repeats(read(spark, sf_dir, "documents"), length=35).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_substring_dedup,)}
+    return {f.__name__: f for f in (op2_benchmark_decontamination, op4_language_id, op6_minhash_dedup, op9_source_mixing, op10_substring_dedup)}
