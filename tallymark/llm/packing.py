@@ -56,15 +56,6 @@ def times(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def grouped_rows(keys: np.ndarray, values: np.ndarray, names: tuple[str, str]) -> pa.RecordBatch:
-    """(key, binary of its values): one row for each distinct key."""
-    order = np.argsort(keys, kind="stable")
-    k, v = keys[order], values[order]
-    first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1]))) if len(k) else np.zeros(0, np.int64)
-    counts = np.diff(np.concatenate((first, [len(k)])))
-    return pa.RecordBatch.from_arrays([pa.array(k[first]), runs_column(v, counts)], names=list(names))
-
-
 def gathered(batches: Iterable[pa.RecordBatch], columns: dict[str, type]) -> dict[str, np.ndarray]:
     parts: dict[str, list[np.ndarray]] = {c: [] for c in columns}
     for b in batches:
@@ -76,3 +67,36 @@ def gathered(batches: Iterable[pa.RecordBatch], columns: dict[str, type]) -> dic
 def sliced(batch: pa.RecordBatch, rows: int = 4096) -> Iterator[pa.RecordBatch]:
     for i in range(0, batch.num_rows, rows):
         yield batch.slice(i, rows)
+
+
+def owned_rows(owner: np.ndarray, at: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """part, docs (pairs of an owner and its number of places), at (the places): one row for each part of owners that has any."""
+    order = np.lexsort((owner, owner % parts))
+    owner, at = owner[order], at[order]
+    first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if len(owner) else np.zeros(0, np.int64)
+    table = np.stack((owner[first], np.diff(np.concatenate((first, [len(owner)])))), 1).astype(np.int64)
+    part = table[:, 0] % parts
+    for p in np.unique(part):
+        a, b = np.searchsorted(part, (p, p + 1))
+        x, y = first[a], first[b] if b < len(first) else len(owner)
+        yield pa.RecordBatch.from_pydict({"part": pa.array([p], pa.int32()), "docs": [table[a:b].tobytes()], "at": [at[x:y].tobytes()]})
+
+
+class Places:
+    """The places of each owner, from rows of owned_rows."""
+
+    def __init__(self, batches: list[pa.RecordBatch]) -> None:
+        g = gathered(batches, {"docs": np.int64, "at": np.uint32})
+        table = g["docs"].reshape(-1, 2)
+        owner = np.repeat(table[:, 0], table[:, 1])
+        order = np.argsort(owner, kind="stable")
+        self.owner, self.at = owner[order], g["at"][order].astype(np.int64)
+
+    def of(self, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All places of a list of owners, and which of the list each belongs to."""
+        a, b = np.searchsorted(self.owner, owners, "left"), np.searchsorted(self.owner, owners, "right")
+        counts = b - a
+        total = int(counts.sum())
+        ends = np.cumsum(counts)
+        rows = np.arange(total) - np.repeat(ends - counts - a, counts) if total else np.zeros(0, np.int64)
+        return self.at[rows], np.repeat(np.arange(len(owners)), counts)

@@ -17,12 +17,14 @@ columns besides doc_id and text are ignored by the search.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import arrays as A
 from . import packing as K
@@ -90,34 +92,52 @@ def hit_blocks(docs: DataFrame, k: int, parts: int) -> DataFrame:
             s = np.sort(np.concatenate((g["once"], g["twice"], g["twice"])))
             again = np.unique(s[1:][s[1:] == s[:-1]])
             hit = np.isin(g["keys"], again, assume_unique=False)
-            out = K.grouped_rows(np.concatenate((g["docs"][hit], g["known_docs"])), np.concatenate((g["pos"][hit], g["known_pos"])), ("rk", "at"))
-            yield from K.sliced(out)
+            yield from K.owned_rows(np.concatenate((g["docs"][hit], g["known_docs"])), np.concatenate((g["pos"][hit], g["known_pos"])), parts)
 
     packed = docs.select("rk", "text").mapInArrow(lambda x: _packed(x, emit, pack), "part int, once binary, twice binary, keys binary, docs binary, pos binary, known_docs binary, known_pos binary")
-    return packed.repartition(parts, "part").mapInArrow(probe, "rk long, at binary")
+    return packed.repartition(parts, "part").mapInArrow(probe, OWNED)
 
 
-def repeated_windows(docs: DataFrame, length: int, k: int, parts: int) -> DataFrame:
-    """docs: rk, text, at (array of binaries, the hit blocks) -> (rk, binary of uint32 starts) of windows that occur twice."""
+def with_places(docs: DataFrame, places: DataFrame, parts: int, run: Callable[[Iterator[pa.RecordBatch], K.Places], Iterator[pa.RecordBatch]], schema: StructType | str) -> DataFrame:
+    """Brings the packed places of each document (rk) to its row: run(rows, places) in each part.
 
-    def emit(batch, i, j, data, at):
-        words, _, _, offsets = A.word_hashes(data, at, A.NOT_SPACE, lower=False)
-        if len(words) < length:
-            return None
-        hits = batch.column("at").slice(i, j - i)
-        blocks = K.joined(hits.flatten(), np.uint32).astype(np.int64)
-        sizes = K.counts_of(hits.flatten(), 4)
-        owner = np.repeat(np.repeat(np.arange(j - i), hits.value_lengths().to_numpy(zero_copy_only=False)), sizes)
-        blocks += offsets[owner]
-        candidate = A.covered(len(words), np.maximum(blocks - (length - k), offsets[owner]), blocks - np.maximum(blocks - (length - k), offsets[owner]) + 1)
-        where, doc = A.window_rows(offsets, length)
-        keep = candidate[where]
-        where, doc = where[keep], doc[keep]
-        return (A.window_hashes(A.symbol_prefix(words), length)[where], doc, (where - offsets[doc]).astype(np.uint32)) if len(where) else None
+    Rows are spread by the hash rk, so a part holds about its share of all texts; it is held whole, as Arrow buffers."""
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, found = [], []
+        for b in batches:
+            own = b.column("docs").is_null()
+            texts.append(b.filter(own))
+            found.append(b.filter(pc.invert(own)))
+        yield from run((t for t in texts if t.num_rows), K.Places(found))
+
+    rows = docs.withColumn("part", F.pmod("rk", F.lit(parts)).cast("int"))
+    return rows.unionByName(places, allowMissingColumns=True).repartition(parts, "part").mapInArrow(meet, schema)
+
+
+def repeated_windows(docs: DataFrame, blocks: DataFrame, length: int, k: int, parts: int) -> DataFrame:
+    """docs: rk, text; blocks: hit_blocks -> the packed starts of all windows that occur twice."""
 
-    return exchange_repeats(docs.select("rk", "text", "at").mapInArrow(lambda x: _packed(x, emit, lambda held: pack_repeats(held, parts)), REPEATS), parts)
+    def emit(places):
+        def run(batch, i, j, data, at):
+            hits, owner = places.of(batch.column("rk").to_numpy(zero_copy_only=False)[i:j])
+            if not len(hits):
+                return None
+            words, _, _, offsets = A.word_hashes(data, at, A.NOT_SPACE, lower=False)
+            hits = hits + offsets[owner]
+            first = np.maximum(hits - (length - k), offsets[owner])
+            where, doc = A.window_rows(offsets, length)
+            keep = A.covered(len(words), first, hits - first + 1)[where]
+            where, doc = where[keep], doc[keep]
+            return (A.window_hashes(A.symbol_prefix(words), length)[where], doc, (where - offsets[doc]).astype(np.uint32)) if len(where) else None
 
+        return run
 
+    packed = with_places(docs.select("rk", "text"), blocks, parts, lambda rows, places: _packed(rows, emit(places), lambda held: pack_repeats(held, parts)), REPEATS)
+    return exchange_repeats(packed, parts)
+
+
+OWNED = "part int, docs binary, at binary"
 REPEATS = "part int, keys binary, docs binary, pos binary, twice binary, known_docs binary, known_pos binary"
 
 
@@ -153,51 +173,46 @@ def exchange_repeats(packed: DataFrame, parts: int) -> DataFrame:
         again = np.unique(s[1:][s[1:] == s[:-1]])
         del s
         hit = again[np.minimum(np.searchsorted(again, g["keys"]), len(again) - 1)] == g["keys"] if len(again) else np.zeros(len(g["keys"]), bool)
-        yield from K.sliced(K.grouped_rows(np.concatenate((docs[hit], g["known_docs"])), np.concatenate((g["pos"][hit], g["known_pos"])), ("rk", "at")))
-
-    return packed.repartition(parts, "part").mapInArrow(match, "rk long, at binary")
-
+        yield from K.owned_rows(np.concatenate((docs[hit], g["known_docs"])), np.concatenate((g["pos"][hit], g["known_pos"])), parts)
 
-def per_document(found: DataFrame) -> DataFrame:
-    return found.groupBy("rk").agg(F.collect_list("at").alias("at"))
+    return packed.repartition(parts, "part").mapInArrow(match, OWNED)
 
 
-def repeats(documents: DataFrame, length: int = 35, parts: int | None = None) -> DataFrame:
-    """documents with rk and ``at``: the starts of all windows that occur elsewhere too (null: none)."""
-    parts = parts or T.scale(documents.sparkSession, documents)
+def repeats(documents: DataFrame, length: int, parts: int) -> DataFrame:
+    """documents with rk -> the packed starts of all windows that occur elsewhere too."""
     k = (length + 1) // 2
-    docs = documents.withColumn("rk", T.row_key(["doc_id", "text"]))
+    docs = documents.select("rk", "text")
     blocks = T.checkpoint(hit_blocks(docs, k, parts))
     T.release(documents.sparkSession)
-    with_blocks = docs.select("rk", "text").join(per_document(blocks), "rk")
-    found = T.checkpoint(repeated_windows(with_blocks, length, k, parts))
+    found = T.checkpoint(repeated_windows(docs, blocks, length, k, parts))
     T.release(documents.sparkSession)
-    return docs.join(per_document(found), "rk", "left")
+    return found
 
 
-def strip_repeats(documents: DataFrame, length: int = 35, parts: int | None = None) -> DataFrame:
-    """doc_id, n_words, n_removed, kept (the kept words, joined by one space), spans (array of first word and end of each removed run)."""
+def strip_repeats(documents: DataFrame, length: int = 35, keep: tuple[str, ...] = ("doc_id",), parts: int | None = None) -> DataFrame:
+    """The columns of ``keep``, n_words, n_removed, kept (the kept words, joined by one space), spans (first word and end of each removed run)."""
+    parts = parts or T.scale(documents.sparkSession, documents)
+    docs = documents.withColumn("rk", T.row_key(["doc_id", "text"]))
+    rows = docs.select("rk", *keep, F.col("text").alias("_text"))
+    span = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
 
-    def cut(batches):
+    def cut(batches: Iterator[pa.RecordBatch], places: K.Places) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, at = batch.column("doc_id"), batch.column("text"), batch.column("at")
-            for i, j, data, offs in A.blocks(texts):
-                starts, ends, offsets = A.word_spans(data, offs, A.NOT_SPACE)
-                raw = data.tobytes()
-                n_words, removed, kept, spans = np.diff(offsets), [], [], []
-                for r in range(i, j):
-                    a, b = offsets[r - i], offsets[r - i + 1]
-                    hits = at[r].values if at[r].is_valid else None
-                    gone = A.covered(b - a, K.joined(hits, np.uint32).astype(np.int64), length) if hits is not None else np.zeros(b - a, bool)
-                    first, last = A.runs(gone)
-                    keep_a, keep_b = A.runs(~gone)
-                    kept.append(b" ".join(b" ".join(raw[starts[a + x] : ends[a + y - 1]].split()) for x, y in zip(keep_a, keep_b, strict=True)).decode())
-                    removed.append(int(gone.sum()))
-                    spans.append([{"first": int(x), "end": int(y)} for x, y in zip(first, last, strict=True)])
-                yield pa.RecordBatch.from_arrays([
-                    ids.slice(i, j - i), pa.array(n_words.astype(np.int64)), pa.array(removed, pa.int64()), pa.array(kept, pa.string()),
-                    pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),
-                ], names=["doc_id", "n_words", "n_removed", "kept", "spans"])
-
-    kind = dict(documents.dtypes)["doc_id"]
-    return repeats(documents, length, parts).select("doc_id", "text", "at").mapInArrow(cut, f"doc_id {kind}, n_words long, n_removed long, kept string, spans array<struct<first:long,end:long>>")
+            rk = batch.column("rk").to_numpy(zero_copy_only=False)
+            for i, j, data, at in A.blocks(batch.column("_text")):
+                starts, ends, offsets = A.word_spans(data, at, A.NOT_SPACE)
+                hits, owner = places.of(rk[i:j])
+                gone = A.covered(len(starts), hits + offsets[owner], length)
+                raw, n_words, kept, spans, removed = data.tobytes(), np.diff(offsets), [], [], []
+                for a, b in zip(offsets[:-1], offsets[1:], strict=True):
+                    stay = [raw[starts[a + x] : ends[a + y - 1]].split() for x, y in zip(*A.runs(~gone[a:b]), strict=True)]
+                    kept.append(b" ".join(b" ".join(run) for run in stay).decode())
+                    removed.append(int(gone[a:b].sum()))
+                    spans.append([{"first": int(x), "end": int(y)} for x, y in zip(*A.runs(gone[a:b]), strict=True)])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(c).slice(i, j - i) for c in keep] + [pa.array(n_words.astype(np.int64)), pa.array(removed, pa.int64()), pa.array(kept, pa.string()), pa.array(spans, span)],
+                    names=[*keep, "n_words", "n_removed", "kept", "spans"],
+                )
+
+    more = StructType.fromDDL("n_words long, n_removed long, kept string, spans array<struct<first:long,end:long>>")
+    return with_places(rows, repeats(docs, length, parts), parts, cut, StructType([rows.schema[c] for c in keep] + more.fields))
