@@ -22,7 +22,7 @@ from . import tables as T
 _ASCII = [chr(c) for c in range(128)]
 _FROM = "".join(c for c in _ASCII if not (c.isdigit() or c.islower() or c == " "))
 _TO = "".join(c.lower() if c.isupper() else " " for c in _FROM)
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # words as they are before A-Z is lower-cased
 #: Largest benchmark, in words, whose windows are broadcast: about 100 bytes a window.
 BROADCAST_WORDS = 500_000
 
