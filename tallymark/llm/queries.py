@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, minhash_dedup, mixing, substring_dedup
+from . import decontamination, html_extraction, language_id, license_scan, lm_scoring, minhash_dedup, mixing, substring_dedup
 from .tables import read
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(read(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), length=10)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
@@ -27,6 +31,15 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(read(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.drop("detections")
+
+
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(read(spark, sf_dir, "documents"), language_id.fold("doc_id", 5) == 1)
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.curriculum(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -36,4 +49,5 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_benchmark_decontamination, op4_language_id, op6_minhash_dedup, op9_source_mixing, op10_substring_dedup)}
+    found = (f for name, f in globals().items() if name.startswith("op") and callable(f))
+    return {f.__name__: f for f in sorted(found, key=lambda f: int(f.__name__[2:].split("_")[0]))}
