@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html_extraction, language_id, license_scan, lm_scoring, minhash_dedup, mixing, substring_dedup
+from . import decontamination, html_extraction, language_id, license_scan, lm_scoring, minhash_dedup, mixing, prefix_forest, substring_dedup
 from .tables import read
 
 
@@ -20,6 +20,11 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op3_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+    return prefix_forest.nearest(vectors, F.col("id") % 20 == 0, k=20).select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = language_id.fold("doc_id", 4) == 2
     documents = read(spark, sf_dir, "documents").withColumn("held_out", held_out)
