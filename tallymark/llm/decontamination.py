@@ -106,10 +106,10 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, length: int = 10,
     """Documents without those that hold a window, or (remove="spans") all, without the words inside occurrences.
 
     Where spans are cut, the rest of that document is its normalised words; other documents are unchanged."""
-    keyed = documents.withColumn("rk", T.row_key(["doc_id", "text"]))
-    hits = contamination(keyed, benchmark, length)
+    hits = contamination(documents.select(T.row_key(["doc_id", "text"]).alias("rk"), "text"), benchmark, length).withColumnRenamed("rk", T.KEY)
+    keyed = documents.withColumn(T.KEY, T.row_key(["doc_id", "text"]))
     if remove == "documents":
-        return keyed.join(hits, "rk", "left_anti").drop("rk")
-    joined = keyed.join(hits.select("rk", F.col("spans").alias("_spans")), "rk", "left")
+        return keyed.join(hits, T.KEY, "left_anti").drop(T.KEY)
+    joined = keyed.join(hits.select(T.KEY, F.col("spans").alias("_spans")), T.KEY, "left")
     rest = F.array_join(F.filter(F.split(normalised(F.col("text")), " "), lambda w, i: ~F.exists("_spans", lambda s: (s["first"] <= i) & (i < s["end"]))), " ")
     return joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(rest)).select(*documents.columns)

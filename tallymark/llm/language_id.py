@@ -124,8 +124,8 @@ def scores(model: Model, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray,
     return out, letter
 
 
-def predict(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The columns of ``keep``, lang_pred, score (the posterior of lang_pred)."""
+def predict(documents: DataFrame, model: Model, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The columns of ``keep``, then (as ``names``) the predicted language and its posterior."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,12 +142,12 @@ def predict(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
                 top = 1 / np.exp(joint - joint.max(1, keepdims=True)).sum(1)
                 langs += [m.langs[b] if ok else UNKNOWN for b, ok in zip(best, letter, strict=True)]
                 score.append(np.where(letter, np.clip(top, 0, 1), 0.0))
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(langs, pa.string()), pa.array(np.concatenate(score) if score else np.zeros(0))], names=[*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(langs, pa.string()), pa.array(np.concatenate(score) if score else np.zeros(0))], names=[*keep, *names])
 
     from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
     chosen = documents.select(*keep, F.col("text").alias("_text"))
-    schema = StructType([chosen.schema[c] for c in keep] + [StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    schema = StructType([chosen.schema[c] for c in keep] + [StructField(names[0], StringType()), StructField(names[1], DoubleType())])
     return chosen.mapInArrow(label, schema)
 
 

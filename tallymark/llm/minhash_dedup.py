@@ -243,7 +243,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, parts:
 
 
 def keep_one(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without all but the first (by doc_id) of each near-duplicate group."""
-    gone = near_duplicates(documents, k, percent).filter("doc_id <> component_id").select("rk").distinct()
-    keyed = documents.withColumn("rk", T.row_key(["doc_id", "text"]))
-    return keyed.join(gone, "rk", "left_anti").drop("rk")
+    """The documents without all but the first (by doc_id) of each near-duplicate group; rows that repeat doc_id and text stay together."""
+    gone = near_duplicates(documents, k, percent).filter("doc_id <> component_id").select(F.col("rk").alias(T.KEY)).distinct()
+    keyed = documents.withColumn(T.KEY, T.row_key(["doc_id", "text"]))
+    return keyed.join(gone, T.KEY, "left_anti").drop(T.KEY)

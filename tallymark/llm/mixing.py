@@ -78,8 +78,11 @@ def curriculum(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, slopes:
 
 
 def mix(documents: DataFrame, **parameters) -> DataFrame:
-    """One row for each pass over a document that the mix takes, with the document's columns and ``position``, range-sorted."""
-    placed = curriculum(documents, **parameters).filter("taken > 0").select("rk", "size", "source_size", "target", "taken", "positions").dropDuplicates(["rk", "positions"])
-    keyed = documents.withColumn("rk", T.row_key(["doc_id", "text"])).join(placed, "rk").drop("rk")
-    out = keyed.withColumn("position", F.explode("positions")).drop("positions")
+    """One row for each pass over a document that the mix takes, range-sorted by ``position``.
+
+    The document's columns, then size, source_size, target, taken, position; columns of the document with those names give way."""
+    own = ["size", "source_size", "target", "taken", "positions"]
+    placed = curriculum(documents, **parameters).filter("taken > 0").select(F.col("rk").alias(T.KEY), *own).dropDuplicates([T.KEY])
+    keyed = documents.drop(*own, "position").withColumn(T.KEY, T.row_key(["doc_id", "text"]))
+    out = keyed.join(placed, T.KEY).drop(T.KEY).withColumn("position", F.explode("positions")).drop("positions")
     return out.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")

@@ -193,7 +193,7 @@ def strip_repeats(documents: DataFrame, length: int = 35, keep: tuple[str, ...]
     """The columns of ``keep``, n_words, n_removed, kept (the kept words, joined by one space), spans (first word and end of each removed run)."""
     parts = parts or T.scale(documents.sparkSession, documents)
     docs = documents.withColumn("rk", T.row_key(["doc_id", "text"]))
-    rows = docs.select("rk", *keep, F.col("text").alias("_text"))
+    rows = docs.select("rk", *(F.col(c) for c in keep), F.col("text").alias("_text"))
     span = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
 
     def cut(batches: Iterator[pa.RecordBatch], places: K.Places) -> Iterator[pa.RecordBatch]:
@@ -216,3 +216,15 @@ def strip_repeats(documents: DataFrame, length: int = 35, keep: tuple[str, ...]
 
     more = StructType.fromDDL("n_words long, n_removed long, kept string, spans array<struct<first:long,end:long>>")
     return with_places(rows, repeats(docs, length, parts), parts, cut, StructType([rows.schema[c] for c in keep] + more.fields))
+
+
+def without_repeats(documents: DataFrame, length: int = 35) -> DataFrame:
+    """The documents without repeated passages: those that hold none are unchanged, those that lose all their words go, n_chars follows the text."""
+    taken = ("rk", "part", "docs", "at", "_text", "n_words", "n_removed", "kept", "spans")
+    aside = {c: f"_own_{c}" for c in documents.columns if c in taken}
+    found = strip_repeats(documents.withColumnsRenamed(aside), length, keep=tuple(aside.get(c, c) for c in documents.columns))
+    cut = found.filter("n_removed = 0 OR n_removed < n_words")
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    if "n_chars" in documents.columns:
+        cut = cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("kept").cast(documents.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return cut.withColumn("text", text).select(*(F.col(aside.get(c, c)).alias(c) for c in documents.columns))

@@ -12,16 +12,23 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Written to the shared checkpoint folder, so that lost executors lose nothing.
+#: Column of the row key where all of a table's columns are carried along.
+KEY = "_row_key"
+
 
-    The session's spark.checkpoint.dir is used; only where none is set (tests on one machine) a temporary folder is.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The session's spark.checkpoint.dir; only where none is set (tests on one machine) a temporary folder is."""
+    context = spark.sparkContext
     if not context.getCheckpointDir():
         import tempfile
 
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallymark-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallymark-"))
+    return context.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Written to the shared checkpoint folder, so that lost executors lose nothing."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
