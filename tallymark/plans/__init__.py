@@ -1,4 +1,8 @@
 """Registered queries of the catalogue engine and their DuckDB SQL."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from . import catalogue, content, runs
+
+QUERIES = catalogue.query.queries | content.query.queries | runs.query.queries
+ORACLES = catalogue.query.oracles | content.query.oracles | runs.query.oracles
