@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def runs_column(values: np.ndarray, counts: np.ndarray) -> pa.Array:
@@ -85,8 +86,8 @@ def owned_rows(owner: np.ndarray, at: np.ndarray, parts: int) -> Iterator[pa.Rec
 class Places:
     """The places of each owner, from rows of owned_rows."""
 
-    def __init__(self, batches: list[pa.RecordBatch]) -> None:
-        g = gathered(batches, {"docs": np.int64, "at": np.uint32})
+    def __init__(self, batches: list[pa.RecordBatch], kind: type = np.uint32) -> None:
+        g = gathered(batches, {"docs": np.int64, "at": kind})
         table = g["docs"].reshape(-1, 2)
         owner = np.repeat(table[:, 0], table[:, 1])
         order = np.argsort(owner, kind="stable")
@@ -100,3 +101,7 @@ class Places:
         ends = np.cumsum(counts)
         rows = np.arange(total) - np.repeat(ends - counts - a, counts) if total else np.zeros(0, np.int64)
         return self.at[rows], np.repeat(np.arange(len(owners)), counts)
+
+
+def inverted(mask: pa.Array) -> pa.Array:
+    return pc.invert(mask)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html_extraction, language_id, license_scan, lm_scoring, minhash_dedup, mixing, prefix_forest, substring_dedup
+from . import decontamination, html_extraction, language_id, license_scan, lm_scoring, minhash_dedup, mixing, prefix_forest, substring_dedup, suffix_dedup
 from .tables import read
 
 
@@ -31,6 +31,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(documents, F.col("held_out"), keep=["doc_id", "held_out"])
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.strip_repeats(read(spark, sf_dir, "documents"), length=100)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash_dedup.near_duplicates(read(spark, sf_dir, "documents"), k=3, percent=85)
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))

@@ -21,7 +21,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -108,7 +107,7 @@ def with_places(docs: DataFrame, places: DataFrame, parts: int, run: Callable[[I
         for b in batches:
             own = b.column("docs").is_null()
             texts.append(b.filter(own))
-            found.append(b.filter(pc.invert(own)))
+            found.append(b.filter(K.inverted(own)))
         yield from run((t for t in texts if t.num_rows), K.Places(found))
 
     rows = docs.withColumn("part", F.pmod("rk", F.lit(parts)).cast("int"))
