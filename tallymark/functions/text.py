@@ -12,7 +12,7 @@ from pyspark.sql.types import StringType
 #: White space at the ends, as Python's str.strip sees it.
 _EDGE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 #: Spaces other than U+0020 that count as one (fixed values).
-TECHNICAL_SPACES = "              　"
+TECHNICAL_SPACES = "".join(map(chr, (0xA0, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000)))
 SCOPE_PART = r"^[A-Z0-9]+(-[A-Z0-9]+)*$"
 
 

@@ -52,7 +52,7 @@ def decode_categories(manifests: DataFrame, column: str = "categories_json") ->
 def blobs(spark: SparkSession, root: str) -> DataFrame:
     """content_hash, html of a two-level content-addressed folder; the name of a file is its hash."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("content_hash"), F.decode("content", F.lit("UTF-8")).alias("html"), F.col("length").alias("size_bytes"), (F.sha2("content", 256) == F.regexp_extract("path", r"([^/]+)$", 1)).alias("intact"))
+    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("content_hash"), F.decode("content", "UTF-8").alias("html"), F.col("length").alias("size_bytes"), (F.sha2("content", 256) == F.regexp_extract("path", r"([^/]+)$", 1)).alias("intact"))
 
 
 def register_blobs(captures: DataFrame, known: DataFrame) -> DataFrame:
