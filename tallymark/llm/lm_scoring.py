@@ -120,7 +120,7 @@ def grow(counts: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, gain: floa
     d, s, nxt, n = d[order], s[order], nxt[order], n[order]
     vectors: dict[tuple[int, int], np.ndarray] = {(0, 0): np.zeros(SYMBOLS)}
     first = np.flatnonzero(np.concatenate(([True], (d[1:] != d[:-1]) | (s[1:] != s[:-1])))) if len(d) else np.zeros(0, int)
-    for a, b in zip(first, [*first[1:], len(d)], strict=True):
+    for a, b in zip(first, [*first[1:], len(d)], strict=False):
         v = vectors[int(d[a]), int(s[a])] = np.zeros(SYMBOLS)
         v[nxt[a:b]] = n[a:b]
     root = vectors[0, 0]
