@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 from . import packing as K
 from . import tables as T
 
-TREES, BITS, PREFIX, SHARD = 16, 32, 12, 32768
+TREES, BITS, PREFIX, SHARD = 16, 32, 12, 65536
 #: Candidates of a query, over all trees together: as many as there are distinct vectors, times this. Vectors without any
 #: structure (such as independent directions in 64 dimensions) need that many for a recall over 0.9.
-REACH = 1.0
+REACH = 1.5
 
 
 def usable(vector: Column) -> Column:
