@@ -8,6 +8,7 @@ from ..functions import hashing as H
 from ..functions import text as X
 from ..operators import equivalence as E
 from ..operators import fingerprints as P
+from ..operators import ingest as I
 from ..operators import pages
 from ..operators import validation as V
 from ..sources import tables
@@ -176,9 +177,7 @@ def revalidation_flags(t):
 
 @query("""WITH g AS (SELECT DISTINCT run_id, spec_key, category || '|' || group_id AS v FROM accepted) SELECT run_id, spec_key, sha256('snapshot-idempotency:v1' || chr(0) || '{"captures":[' || string_agg('["' || v || '",1]', ',' ORDER BY v) || '],"run_id":"' || run_id || '","spec_key":"' || CAST(spec_key AS STRING) || '"}') AS k FROM g GROUP BY run_id, spec_key""")
 def idempotency_key(t):
-    a = t("accepted").select("run_id", "spec_key", F.concat_ws("|", "category", "group_id").alias("v"))
-    m = P.multiset(a, ["run_id", "spec_key"], "v")
-    return m.select("run_id", "spec_key", H.domain_hash("snapshot-idempotency:v1", H.json_object(captures=H.json_multiset(F.col("pairs")), run_id=H.json_text(F.col("run_id"), True), spec_key=H.json_text(F.col("spec_key").cast("string"), True))).alias("k"))
+    return I.idempotency_keys(t("accepted"), "run_id", "spec_key", ["category", "group_id"])
 
 
 _LOW = "lower(html)"
@@ -247,3 +246,53 @@ def html_manifest(t):
     n = F.col("s_nationkey").cast("string")
     p = t("supplier").select(F.col("s_suppkey").alias("capture_id"), F.format_string(body, n, n).alias("html"))
     return pages.parse_pages(p, "SPEC_NAVIGATION").select("capture_id", "category", "group_id", "manifest_complete")
+
+
+@query(f"SELECT capture_kind, CASE WHEN {_CHALLENGE} THEN 'CHALLENGE' WHEN {_TRANSLATED} THEN 'TRANSLATION_CONTAMINATED' WHEN NOT contains(html, 'epc') THEN 'INVALID' ELSE 'ACCEPTED' END AS outcome, count(*) AS captures, count(DISTINCT sha256(html)) AS blobs FROM captures GROUP BY ALL")
+def process_captures(t):
+    return I.process(t("captures")).groupBy("capture_kind", "outcome").agg(F.count("*").alias("captures"), F.count_distinct("content_hash").alias("blobs"))
+
+
+@query("SELECT capture_id, i, CASE WHEN i = 0 THEN 'START' WHEN contains(html, 'epc') THEN 'ACCEPT' ELSE 'REJECT' END AS kind FROM captures, (VALUES (0), (1)) v(i) WHERE capture_kind = 'GROUP_DETAIL'")
+def capture_checkpoint_events(t):
+    return I.checkpoint_events(I.process(t("captures"))).select("capture_id", "i", "kind")
+
+
+@query("""WITH cur AS (SELECT * FROM manifests WHERE manifest_complete QUALIFY row_number() OVER (PARTITION BY spec_key ORDER BY discovered_at DESC, id DESC) = 1),
+    e AS (SELECT cur.spec_key, cur.run_id, g.category, g.group_id, a.group_id IS NOT NULL OR g.group_id IS NULL AS ok FROM cur LEFT JOIN manifest_groups g ON g.id = cur.id
+    LEFT JOIN accepted a ON a.spec_key = cur.spec_key AND a.run_id = cur.run_id AND a.category = g.category AND a.group_id = g.group_id)
+    SELECT spec_key, run_id, count(DISTINCT category) AS categories, count(group_id) AS "groups", CASE WHEN spec_key % 9 = 0 THEN 'INVALID' ELSE 'VALID' END AS state FROM e GROUP BY spec_key, run_id HAVING bool_and(ok)""")
+def finalize_specs(t):
+    critical = t("manifests").filter("spec_key % 9 = 0").select("spec_key")
+    return I.finalize(t("manifests"), t("manifest_groups"), t("accepted"), critical)
+
+
+@query("SELECT l_orderkey, sha256(string_agg(l_returnflag || '|' || l_linestatus, ';' ORDER BY l_linenumber, l_returnflag || '|' || l_linestatus)) AS signature FROM lineitem GROUP BY l_orderkey")
+def part_signature(t):
+    return I.signature(t("lineitem"), ["l_orderkey"], ["l_linenumber"], ["l_returnflag", "l_linestatus"])
+
+
+@query("SELECT page_id, regexp_matches(url, '^[a-z]+://[^/?#]+') AS absolute FROM pages")
+def absolute_urls(t):
+    return t("pages").select("page_id", X.is_absolute_url(F.col("url")).alias("absolute"))
+
+
+@query("SELECT spec_key, 'https://catalogue.example/' || lower(manufacturer) || '/' || lower(vehicle_model) || '/' || lower(market) AS url FROM specs")
+def index_urls(t):
+    return t("specs").select("spec_key", I.index_url("https://catalogue.example", F.col("manufacturer"), F.col("vehicle_model"), F.col("market")).alias("url"))
+
+
+@query("SELECT 'text' AS rule, count(*) FILTER (text IS NULL OR text = '') AS broken FROM specs UNION ALL SELECT 'length', count(*) FILTER (n_chars <= 100) FROM specs UNION ALL SELECT 'ended', count(*) FILTER (ended_at IS NULL) FROM specs")
+def constraint_violations(t):
+    return I.violations(t("specs"), {"text": F.col("text") != "", "length": F.col("n_chars") > 100, "ended": F.col("ended_at").isNotNull()})
+
+
+@query("""SELECT p_partkey, '{"brand":"' || p_brand || '","note":null,"size":' || p_size || ',"type":"' || p_type || '"}' AS j FROM part""")
+def canonical_json(t):
+    return t("part").select("p_partkey", H.json_object(type=H.json_text(F.col("p_type")), brand=H.json_text(F.col("p_brand")), size=F.col("p_size").cast("string"), note=H.json_text(F.lit(None).cast("string"))).alias("j"))
+
+
+@query("SELECT capture_id FROM captures WHERE capture_id % 50 NOT IN (SELECT doc_id FROM documents WHERE doc_id < 25)")
+def captures_outside_scope(t):
+    c = t("captures").withColumn("spec", F.col("capture_id") % 50)
+    return I.outside_scope(c, t("documents").filter("doc_id < 25").select(F.col("doc_id").alias("spec")), ["spec"]).select("capture_id")
