@@ -1,7 +1,7 @@
 """Language-model scoring: a unigram base score, and a probabilistic suffix tree over bytes.
 
-Tokens: counts of all training tokens (as 64-bit hashes) stay a distributed table. The ``HOT`` most
-frequent tokens, a bounded table, are broadcast and scored in the pass over the texts; all other
+Tokens: counts of all training tokens (as 64-bit hashes) stay a distributed table. The most frequent
+tokens, ``HOT`` at most, are broadcast and scored in the pass over the texts; all other
 tokens meet their counts in a shuffle join, in which no key is hot any more.
 
 Suffix tree: next-byte counts are taken after each context of ``DEPTH`` bytes of all training texts (A-Z
@@ -89,6 +89,19 @@ def token_counts(training: DataFrame) -> DataFrame:
     return counted.groupBy("h").agg(F.sum("n").alias("c"))
 
 
+def frequent_tokens(counts: DataFrame, most: int) -> DataFrame:
+    """The tokens above a count that leaves at most ``most`` of them; the cut is found in a histogram of a few hundred classes."""
+    klass = F.floor(F.log2("c") * 16)
+    rows = {r.k: r.n for r in counts.groupBy(klass.alias("k")).agg(F.count("*").alias("n")).collect()}
+    cut, total = max(rows, default=0) + 1, 0
+    for k in sorted(rows, reverse=True):
+        total += rows[k]
+        if total > most:
+            break
+        cut = k
+    return counts.filter(klass >= cut)
+
+
 def context_counts(training: DataFrame) -> DataFrame:
     """context (DEPTH bytes, the latest in the lowest), next, n."""
 
@@ -167,7 +180,7 @@ def score(documents: DataFrame, held_out: Column, hot: int = HOT) -> DataFrame:
     ends = training.count()
     n, v = sums.n + ends, sums.v + (ends > 0)
     z = n + 0.5 * (v + 1)
-    top = counts.orderBy(F.desc("c"), "h").limit(hot).toArrow()
+    top = frequent_tokens(counts, hot).toArrow()
     keys, values = top["h"].to_numpy().view(np.uint64), top["c"].to_numpy()
     order = np.argsort(keys)
     contexts = T.checkpoint(context_counts(training))
