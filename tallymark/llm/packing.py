@@ -29,12 +29,6 @@ def joined(column: pa.ChunkedArray | pa.Array, dtype: type) -> np.ndarray:
     return np.concatenate(out).view(dtype) if out else np.zeros(0, dtype)
 
 
-def counts_of(column: pa.Array, itemsize: int) -> np.ndarray:
-    wide = pa.types.is_large_binary(column.type)
-    at = np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1]
-    return np.diff(at) // itemsize
-
-
 def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
 

@@ -33,6 +33,9 @@ from . import suffix_arrays as SA
 from . import tables as T
 
 GRAM = 40
+BLOCK, FLUSH = 1 << 20, 12 << 20
+#: Strings that one suffix array takes, whole anchors only: about 100 bytes of memory for each of their bytes.
+AT_ONCE = 4000
 COPY = np.uint32(0xFFFFFFFF)  # as a place: the document is a whole copy of an earlier one
 _LAST = np.iinfo(np.int64).max
 
@@ -96,12 +99,12 @@ def _min_first(doc: np.ndarray, rk: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.lexsort((at, rk, doc))
 
 
-def _strings(batches: Iterator[pa.RecordBatch], places: K.Places, length: int, parts: int, fine: int) -> Iterator[pa.RecordBatch]:
+def _strings(batches: Iterator[pa.RecordBatch], places: K.Places, length: int, parts: int) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
     size = 0
     for batch in batches:
         rk, order = batch.column("rk").to_numpy(zero_copy_only=False), batch.column("o").to_numpy(zero_copy_only=False)
-        for i, j, data, at in A.blocks(batch.column("text")):
+        for i, j, data, at in A.blocks(batch.column("text"), BLOCK):
             hits, owner = places.of(rk[i:j])
             if not len(hits):
                 continue
@@ -119,18 +122,17 @@ def _strings(batches: Iterator[pa.RecordBatch], places: K.Places, length: int, p
             same = A.span_hashes(prefix, first, first + sizes) ^ A.mix(h + n.astype(np.uint64))
             held.append((h, order[i:j][doc], rk[i:j][doc], first - at[doc], n, same, sizes, text))
             size += len(text) + 64 * len(doc)
-            if size > S.FLUSH:
-                yield from _packed_strings(held, parts, fine)
+            if size > FLUSH:
+                yield from _packed_strings(held, parts)
                 held, size = [], 0
     if held:
-        yield from _packed_strings(held, parts, fine)
+        yield from _packed_strings(held, parts)
 
 
 STRINGS = "part int, h binary, o binary, rk binary, first binary, n binary, text binary, docs binary, at binary"
 
 
-def _packed_strings(held: list[tuple], parts: int, fine: int) -> Iterator[pa.RecordBatch]:
-    """parts: of owners; fine: of anchors, which are smaller as a whole one is worked on at once."""
+def _packed_strings(held: list[tuple], parts: int) -> Iterator[pa.RecordBatch]:
     h, o, rk, first, n, same, sizes, text = (np.concatenate(x) for x in zip(*held, strict=True))
     begins = np.cumsum(sizes) - sizes
     by = _min_first(o, rk, first)
@@ -141,7 +143,7 @@ def _packed_strings(held: list[tuple], parts: int, fine: int) -> Iterator[pa.Rec
         for b in K.owned_rows(rk[later], _runs(first[later], n[later]), parts):
             yield pa.RecordBatch.from_arrays([b.column("part"), *[pa.nulls(1, pa.binary())] * 6, b.column("docs"), b.column("at")], names=[c.split()[0] for c in STRINGS.split(", ")])
     keep = np.sort(by[lead])
-    order, counts = K.by_part(K.part_of(h[keep], fine), fine)
+    order, counts = K.by_part(K.part_of(h[keep], parts), parts)
     keep, ends = keep[order], np.cumsum(counts)
     for p in np.flatnonzero(counts):
         x = keep[ends[p] - counts[p] : ends[p]]
@@ -216,8 +218,19 @@ def _shard(length: int, parts: int):
         for p in list(of):
             held = of.pop(p)
             g = {c: np.concatenate([x[c] for x in held]) for c in kinds}
-            rk, found = removed_windows(g["h"], g["o"], g["rk"], g["first"].astype(np.int64), g["n"].astype(np.int64), g["text"], length)
-            yield from K.owned_rows(rk, found, parts)
+            del held
+            sizes = g["n"].astype(np.int64) + length - 1
+            begins = np.cumsum(sizes) - sizes
+            order = np.argsort(g["h"], kind="stable")
+            h = g["h"][order]
+            edges = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1], [True])))
+            found, a = [], 0
+            while a < len(h):
+                b = int(edges[max(np.searchsorted(edges, a + AT_ONCE, "right") - 1, np.searchsorted(edges, a, "right"))])
+                x = order[a:b]
+                found.append(removed_windows(g["h"][x], g["o"][x], g["rk"][x], g["first"][x].astype(np.int64), g["n"][x].astype(np.int64), g["text"][A.ranges(begins[x], sizes[x])], length))
+                a = b
+            yield from K.owned_rows(*(np.concatenate(x) for x in zip(*found, strict=True)), parts)
 
     return run
 
@@ -231,8 +244,7 @@ def strip_repeats(documents: DataFrame, length: int = 100, keep: tuple[str, ...]
     hits = T.checkpoint(sieve(docs, length, parts))
     T.release(spark)
     ordered = docs.select("rk", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("o"), "text")
-    fine = 4 * parts
-    strings = S.with_places(ordered, hits.unionByName(same), parts, lambda rows, places: _strings(rows, places, length, parts, fine), STRINGS)
+    strings = S.with_places(ordered, hits.unionByName(same), parts, lambda rows, places: _strings(rows, places, length, parts), STRINGS)
     found = T.checkpoint(strings.repartition(parts, "part").mapInArrow(_shard(length, parts), S.OWNED))
     T.release(spark)
     marked = same.withColumn("copy", F.lit(True)).unionByName(found.withColumn("copy", F.lit(False)))
