@@ -62,7 +62,7 @@ def anchors(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray,
         return none, none, none, none, none.astype(np.uint64)
     place = (v[where] & low).astype(np.int64)
     first = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]) | (doc[1:] != doc[:-1]))))
-    return doc[first], where[first], np.diff(np.concatenate((first, [len(where)]))), place[first], h[place[first]]
+    return doc[first], where[first], np.diff(np.concatenate((first, [len(where)]))), place[first], A.mix(h[place[first]])  # mixed: least hashes crowd the low parts
 
 
 def copies(docs: DataFrame) -> DataFrame:
