@@ -42,9 +42,10 @@ def scale(spark: SparkSession, df: DataFrame, per: int = 8 << 20) -> int:
 
 
 def size_in_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the plan: the file bytes for a scan."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size if size < 1 << 55 else 0
+    """File bytes of the tables below the plan, by Catalyst's estimates; leaves of unknown size count as nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(x for x in sizes if x < 1 << 55)
 
 
 def union(frames: list[DataFrame]) -> DataFrame:
