@@ -29,7 +29,7 @@ from . import packing as K
 from . import tables as T
 
 TREES, BITS, PREFIX, SHARD = 16, 32, 12, 65536
-#: Candidates of a query, over all trees together: as many as there are distinct vectors, times this. Vectors without any
+#: Candidates of a query, over all trees together: as many as there are distinct vectors, times this (200 k at least). Vectors without any
 #: structure (such as independent directions in 64 dimensions) need that many for a recall over 0.9.
 REACH = 1.5
 
@@ -166,7 +166,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, reach: float = RE
     seen = entries.groupBy("tree", prefix.alias("p")).count().toArrow()
     counts = np.zeros((TREES, 1 << PREFIX), np.int64)
     counts[seen["tree"].to_numpy(), seen["p"].to_numpy()] = seen["count"].to_numpy()
-    table, candidates = shard_table(counts, shard), max(16 * k, round(reach * counts.sum() / TREES))
+    table, candidates = shard_table(counts, shard), max(200 * k, round(reach * counts.sum() / TREES))
     lookup = spark.sparkContext.broadcast(table)
 
     def place(level: int | None):
