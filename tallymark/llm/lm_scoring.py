@@ -6,11 +6,14 @@ tokens meet their counts in a shuffle join, in which no key is hot any more.
 
 Suffix tree: next-byte counts are taken after each context of ``DEPTH`` bytes of all training texts (A-Z
 lower-cased; a text begins after NULs and ends with an end symbol) and summed up for its
-suffixes. A context is a candidate if its share of all places is at least ``P_MIN``, so there are at
-most DEPTH / P_MIN of them whatever the corpus; it is retained if its next-byte distribution
-diverges from that of its suffix by at least ``GAIN`` nats in all. A distribution is
+suffixes. A context is a candidate if it occurs ``LEAST`` times, so their number grows with the corpus; it is retained if its
+next-byte distribution diverges from that of its suffix by at least ``GAIN`` nats in all, or for a longer one that is. A distribution is
 smoothed towards that of its suffix. A text is scored with the longest retained suffix at each place.
 
+The tree is a distributed table. Contexts meet by their last ``TOP`` bytes, below which a subtree needs nothing but the distributions
+of its top. For scoring it is broadcast in slices of about ``SLICE`` rows, of which a task holds one at a time; every
+place is scored in the slice of its last TOP bytes, so the slices together are the whole tree.
+
 Defined cases: null and empty texts are the end symbol alone; without training rows all
 distributions are uniform; repeated rows are counted and scored each on their own.
 """
@@ -30,7 +33,8 @@ from . import arrays as A
 from . import packing as K
 from . import tables as T
 
-HOT, DEPTH, P_MIN, GAIN, PRIOR = 400_000, 4, 5e-5, 30.0, 4.0
+HOT, DEPTH, TOP, LEAST, GAIN, PRIOR = 400_000, 6, 2, 32, 30.0, 4.0
+SLICE = 4_000_000
 END, SYMBOLS = 256, 257
 _LOWER = A._LOWER.astype(np.uint16)
 
@@ -102,76 +106,192 @@ def frequent_tokens(counts: DataFrame, most: int) -> DataFrame:
     return counts.filter(klass >= cut)
 
 
-def context_counts(training: DataFrame) -> DataFrame:
-    """context (DEPTH bytes, the latest in the lowest), next, n."""
+def context_keys(data: np.ndarray, at: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
+    """context << 9 | next of every place, and the offsets of the documents in those."""
+    s, places, offsets = symbols(data, at)
+    key = np.zeros(len(places), np.int64)
+    for d in range(depth, 0, -1):
+        key = key << 8 | s[places - d]
+    return key << 9 | s[places], offsets
 
-    def keys(data, at):
-        s, places, _ = symbols(data, at)
-        key = np.zeros(len(places), np.int64)
-        for d in range(DEPTH, 0, -1):
-            key = key << 8 | s[places - d]
-        return key << 9 | s[places]
 
-    counted = training.select("text").mapInArrow(_counter(keys, "k"), "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
+def context_counts(training: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """context (the last ``depth`` bytes, the latest in the lowest), next, n; a row for each map task that holds them."""
+    counted = training.select("text").mapInArrow(_counter(lambda data, at: context_keys(data, at, depth)[0], "k"), "k long, n long")
     return counted.select(F.shiftright("k", 9).alias("context"), F.col("k").bitwiseAND(511).cast("int").alias("next"), "n")
 
 
 @dataclass(frozen=True)
 class Tree:
-    child: np.ndarray  # (states + 1) x 256; state 0: none, 1: the root; deeper states have larger numbers
-    table: np.ndarray  # (states + 1) x SYMBOLS: log10 probabilities
-
-
-def grow(counts: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, gain: float = GAIN) -> Tree:
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    levels = F.explode(F.array(*(F.struct(F.lit(d).alias("d"), F.col("context").bitwiseAND((1 << 8 * d) - 1).alias("s")) for d in range(depth + 1))))
-    by = counts.select(levels.alias("x"), "next", "n").groupBy("x.d", "x.s", "next").agg(F.sum("n").alias("n"))
-    frequent = by.groupBy("d", "s").agg(F.sum("n").alias("all")).filter((F.col("all") >= p_min * total) | (F.col("d") == 0)).select("d", "s")
-    rows = by.join(frequent, ["d", "s"]).toArrow()
-    d, s, nxt, n = (rows[c].to_numpy() for c in ("d", "s", "next", "n"))
-    order = np.lexsort((nxt, s, d))
-    d, s, nxt, n = d[order], s[order], nxt[order], n[order]
-    vectors: dict[tuple[int, int], np.ndarray] = {(0, 0): np.zeros(SYMBOLS)}
-    first = np.flatnonzero(np.concatenate(([True], (d[1:] != d[:-1]) | (s[1:] != s[:-1])))) if len(d) else np.zeros(0, int)
-    for a, b in zip(first, [*first[1:], len(d)], strict=False):
-        v = vectors[int(d[a]), int(s[a])] = np.zeros(SYMBOLS)
-        v[nxt[a:b]] = n[a:b]
-    root = vectors[0, 0]
-    smooth = {(0, 0): (root + 0.5) / (root.sum() + 0.5 * SYMBOLS)}
-    retained = {(0, 0)}
-    for key in sorted(vectors):
-        if key == (0, 0):
-            continue
-        level, context = key
-        up = (level - 1, context & ((1 << 8 * (level - 1)) - 1))
-        v, parent = vectors[key], smooth[up]
-        smooth[key] = (v + PRIOR * parent) / (v.sum() + PRIOR)
-        own = v[v > 0]
-        if (own * np.log(own / v.sum() / parent[v > 0])).sum() >= gain:
-            while key not in retained:
-                retained.add(key)
-                key = (key[0] - 1, key[1] & ((1 << 8 * (key[0] - 1)) - 1))
-    states = {key: i + 1 for i, key in enumerate(sorted(retained))}
-    child, table = np.zeros((len(states) + 1, 256), np.int32), np.zeros((len(states) + 1, SYMBOLS), np.float32)
-    for (level, context), i in states.items():
-        table[i] = np.log10(smooth[level, context])
-        if level:
-            child[states[level - 1, context & ((1 << 8 * (level - 1)) - 1)], context >> 8 * (level - 1)] = i
-    return Tree(child, table)
+    """Retained contexts but the root, and what was seen after them; of anything else the suffix's probability counts, times ``back``."""
+
+    root: np.ndarray  # log10 probabilities of all symbols
+    nodes: np.ndarray  # sorted: level << 48 | context
+    back: np.ndarray  # log10 of the weight of the suffix, by node
+    keys: np.ndarray  # sorted: level << 57 | context << 9 | next
+    logs: np.ndarray  # log10 probabilities, by key
+
+    @property
+    def table(self) -> np.ndarray:
+        """Dense rows: none, the root, and each node."""
+        out = np.zeros((len(self.nodes) + 2, SYMBOLS))
+        out[1] = self.root
+        for i, node in enumerate(self.nodes.tolist(), 2):
+            level, context = node >> 48, node & (1 << 48) - 1
+            up = np.searchsorted(self.nodes, level - 1 << 48 | _suffix(context, level - 1)) + 2 if level > 1 else 1
+            out[i] = out[up] + self.back[i - 2]
+            a, b = np.searchsorted(self.keys, [node << 9, node + 1 << 9])
+            out[i, self.keys[a:b] & 511] = self.logs[a:b]
+        return out
+
+
+def _suffix(context, level: int):
+    return context & (1 << 8 * level) - 1
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return _merge([(keys, n)]) if len(keys) else (keys, n)
+
+
+def _levels(keys: np.ndarray, n: np.ndarray, depth: int, top: int, above: tuple[np.ndarray, np.ndarray], least: int, gain: float) -> list[tuple]:
+    """Levels top + 1 to depth of the subtrees that ``keys`` (sorted: context << 9 | next) are all counts of. Per level: its keys (of
+    candidates), their probabilities, its contexts, their totals, and which diverge; ``above``: keys and probabilities of level top."""
+    held = {}
+    for d in range(depth, top, -1):
+        keys, n = _summed(_suffix(keys >> 9, d) << 9 | keys & 511, n)
+        held[d] = keys, n
+    out = []
+    for d in range(top + 1, depth + 1):
+        keys, n = held[d]
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] >> 9 != keys[:-1] >> 9))) if len(keys) else np.zeros(0, int)
+        total = np.add.reduceat(n, first) if len(first) else np.zeros(0, np.int64)
+        of = np.repeat(total, np.diff(np.concatenate((first, [len(keys)]))))
+        enough = of >= least
+        keys, n, of = keys[enough], n[enough], of[enough]
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] >> 9 != keys[:-1] >> 9))) if len(keys) else np.zeros(0, int)
+        # a candidate's suffix is one, and has been seen before all that the candidate has
+        parent = above[1][np.searchsorted(above[0], _suffix(keys >> 9, d - 1) << 9 | keys & 511)] if len(keys) else np.zeros(0)
+        q = (n + PRIOR * parent) / (of + PRIOR)
+        gained = np.add.reduceat(n * np.log(n / of / parent), first) if len(first) else np.zeros(0)
+        out.append((keys, q, keys[first] >> 9, of[first], gained >= gain))
+        above = keys, q
+    return out
+
+
+def _retained(levels: list[tuple], top: int, below: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """nodes, back, keys, logs of each level, the deepest first; ``below``: contexts of the level after the last of which one is retained."""
+    out = []
+    for d in range(top + len(levels), top, -1):
+        keys, q, contexts, total, own = levels[d - top - 1]
+        own = own | np.isin(contexts, _suffix(below, d))
+        below = contexts[own]
+        seen = own[np.searchsorted(contexts, keys >> 9)] if len(contexts) else np.zeros(0, bool)
+        out.append((d << 48 | below, np.log10(PRIOR / (total[own] + PRIOR)), d << 57 | keys[seen], np.log10(q[seen])))
+    return out
+
+
+def grow_slices(counts: DataFrame, pairs: DataFrame | None = None, depth: int = DEPTH, least: int = LEAST, gain: float = GAIN, most: int = SLICE) -> Iterator[Tree]:
+    """The tree, in slices by ``slice_of``. counts: those of ``context_counts``; pairs: those of the last TOP bytes, if they are at hand."""
+    pairs = counts.select(F.col("context").bitwiseAND((1 << 8 * TOP) - 1).alias("context"), "next", "n") if pairs is None else pairs
+    k = F.shiftleft("context", 9).bitwiseOR(F.col("next")).alias("k")
+    rows = pairs.groupBy(k).agg(F.sum("n").alias("n")).toArrow()  # at most 65,536 contexts
+    keys, n = _summed(rows["k"].to_numpy(), rows["n"].to_numpy())
+    v = np.bincount(keys & 511, weights=n, minlength=SYMBOLS)
+    root = (v + 0.5) / (v.sum() + 0.5 * SYMBOLS)
+    first = _levels(keys, n, TOP, 0, (np.arange(SYMBOLS), root), least, gain)
+    spark = counts.sparkSession
+    above = spark.sparkContext.broadcast(first[-1][:2])
+
+    def deep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append((batch.column("k").to_numpy(), batch.column("n").to_numpy()))
+            size += batch.num_rows
+            if size > 3_000_000 and size > 2 * len(held[0][0]):
+                held = [_merge(held)]
+                size = len(held[0][0])
+        if held:
+            keys, n = _merge(held)
+            held.clear()
+            for nodes, back, keys, logs in _retained(_levels(keys, n, depth, TOP, above.value, least, gain), TOP, np.zeros(0, np.int64)):
+                yield from K.sliced(pa.RecordBatch.from_arrays([pa.array(nodes << 9), pa.array(back), pa.array(np.ones(len(nodes), bool))], names=["k", "log", "node"]), 100_000)
+                yield from K.sliced(pa.RecordBatch.from_arrays([pa.array(keys), pa.array(logs), pa.array(np.zeros(len(keys), bool))], names=["k", "log", "node"]), 100_000)
+
+    tops = F.col("context").bitwiseAND((1 << 8 * TOP) - 1)
+    dealt = counts.select(k, "n", tops.alias("top")).repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), T.scale(spark, counts)), "top").select("k", "n")
+    rows = T.checkpoint(dealt.mapInArrow(deep, "k long, log double, node boolean"))
+    T.release(spark)
+    context = F.shiftright("k", 9).bitwiseAND((1 << 48) - 1)
+    below = rows.filter("node").select(context.bitwiseAND((1 << 8 * TOP) - 1).alias("c")).distinct().toArrow()["c"].to_numpy()
+    upper = _retained(first, 0, below)
+    slices = max(1, -(-rows.count() // most))
+    for i in range(slices):
+        # one slice at a time is on the driver
+        own = rows.filter(context.bitwiseAND((1 << 8 * TOP) - 1) % slices == i).toArrow()
+        at, log, is_node = (own[c].to_numpy() for c in ("k", "log", "node"))
+        nodes, back = np.concatenate([at[is_node] >> 9] + [x[0] for x in upper]), np.concatenate([log[is_node]] + [x[1] for x in upper])
+        keys, logs = np.concatenate([at[~is_node]] + [x[2] for x in upper]), np.concatenate([log[~is_node]] + [x[3] for x in upper])
+        by_node, by_key = np.argsort(nodes), np.argsort(keys)
+        yield Tree(np.log10(root), nodes[by_node], back[by_node].astype(np.float32), keys[by_key], logs[by_key].astype(np.float32))
+
+
+def grow(counts: DataFrame, depth: int = DEPTH, least: int = LEAST, gain: float = GAIN) -> Tree:
+    """The tree in one piece."""
+    return next(grow_slices(counts, None, depth, least, gain, 1 << 62))
+
+
+def resolve(tree: Tree, wanted: np.ndarray) -> np.ndarray:
+    """log10 probability of each of ``wanted`` (context << 9 | next, sorted), by the longest retained suffix."""
+    context, out = wanted >> 9, np.zeros(len(wanted))
+    left, found = np.arange(len(wanted)), []
+    for d in range(1, DEPTH + 1):
+        node = d << 48 | _suffix(context[left], d)
+        at = np.minimum(np.searchsorted(tree.nodes, node), max(0, len(tree.nodes) - 1))
+        hit = tree.nodes[at] == node if len(tree.nodes) else np.zeros(len(node), bool)
+        left = left[hit]
+        if not len(left):
+            break
+        found.append((left, at[hit]))
+    still = np.ones(len(wanted), bool)
+    for d in range(len(found), 0, -1):
+        rows, at = found[d - 1]
+        rows, at = rows[still[rows]], at[still[rows]]
+        key = d << 57 | _suffix(context[rows], d) << 9 | wanted[rows] & 511
+        place = np.minimum(np.searchsorted(tree.keys, key), len(tree.keys) - 1)
+        hit = tree.keys[place] == key
+        out[rows[hit]] += tree.logs[place[hit]]
+        still[rows[hit]] = False
+        out[rows[~hit]] += tree.back[at[~hit]]
+    return out + np.where(still, tree.root[wanted & 511], 0.0)
 
 
-def tree_scores(tree: Tree, data: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """log10 probability of each document's bytes and end."""
-    s, places, offsets = symbols(data, at)
-    node = np.ones(len(places), np.int32)
-    best, child = node.copy(), tree.child.ravel()
-    for d in range(1, DEPTH + 1):
-        node = child[node * 256 + (s[places - d] & 255)]
-        np.maximum(best, node, out=best)
-    return np.add.reduceat(tree.table.ravel()[best.astype(np.int64) * SYMBOLS + s[places]], offsets[:-1], dtype=np.float64)
+def _sums(keys: np.ndarray, offsets: np.ndarray, known) -> np.ndarray:
+    distinct, inverse = np.unique(keys, return_inverse=True)
+    return np.add.reduceat(known(distinct)[inverse], offsets[:-1])
 
 
-def score(documents: DataFrame, held_out: Column, hot: int = HOT) -> DataFrame:
+def tree_scores(tree: Tree, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """log10 probability of each document's bytes and end."""
+    return _sums(*context_keys(data, at), lambda wanted: resolve(tree, wanted))
+
+
+def _resolver(slices: list, texts: pa.Array):
+    """A function from sorted distinct keys of these texts to log10 probabilities. Of several slices one is in memory at a time."""
+    if len(slices) == 1:
+        return lambda wanted: resolve(slices[0].value, wanted)
+    wanted = np.zeros(0, np.int64)
+    for _, _, data, at in A.blocks(texts, 1 << 21):
+        wanted = np.union1d(wanted, context_keys(data, at)[0])
+    mine, logs = _suffix(wanted >> 9, TOP) % len(slices), np.zeros(len(wanted))
+    for i, one in enumerate(slices):
+        own = np.flatnonzero(mine == i)
+        if len(own):
+            logs[own] = resolve(one.value, wanted[own])
+            one.__dict__.pop("_value", None)  # read again from its file when it is needed next
+    return lambda some: logs[np.searchsorted(wanted, some)]
+
+
+def score(documents: DataFrame, held_out: Column, hot: int = HOT, most: int = SLICE) -> DataFrame:
     """documents: doc_id, text -> doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     keyed = documents.select(T.row_key(["doc_id", "text"]).alias("rk"), "doc_id", held_out.alias("held_out"), "text")
     training = keyed.filter(~F.col("held_out")).select("text")
@@ -183,14 +303,16 @@ def score(documents: DataFrame, held_out: Column, hot: int = HOT) -> DataFrame:
     top = frequent_tokens(counts, hot).toArrow()
     keys, values = top["h"].to_numpy().view(np.uint64), top["c"].to_numpy()
     order = np.argsort(keys)
-    contexts = T.checkpoint(context_counts(training))
-    shared = documents.sparkSession.sparkContext.broadcast((grow(contexts), keys[order], np.log10((values[order] + 0.5) / z)))
+    context = documents.sparkSession.sparkContext
+    slices = [context.broadcast(tree) for tree in grow_slices(context_counts(training), context_counts(training, TOP), most=most)]
+    shared = context.broadcast((keys[order], np.log10((values[order] + 0.5) / z)))
     T.release(documents.sparkSession)
     end_score = float(np.log10((ends + 0.5) / z))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, keys, logs = shared.value
+        keys, logs = shared.value
         for batch in batches:
+            known_places = _resolver(slices, batch.column("text"))
             for i, j, data, at in A.blocks(batch.column("text"), 1 << 20):
                 h, _, _, offsets = A.word_hashes(data, at, A.NOT_SPACE, lower=True)
                 words = np.diff(offsets)
@@ -202,7 +324,7 @@ def score(documents: DataFrame, held_out: Column, hot: int = HOT) -> DataFrame:
                 cold = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=j - i)))).astype(np.int32)), pa.array(h[~known].view(np.int64)))
                 yield pa.RecordBatch.from_arrays([
                     batch.column("rk").slice(i, j - i), batch.column("doc_id").slice(i, j - i), batch.column("held_out").slice(i, j - i), pa.array(words + 1),
-                    pa.array(seen[offsets[1:]] - seen[offsets[:-1]]), pa.array(gained[offsets[1:]] - gained[offsets[:-1]]), pa.array(tree_scores(tree, data, at)), cold,
+                    pa.array(seen[offsets[1:]] - seen[offsets[:-1]]), pa.array(gained[offsets[1:]] - gained[offsets[:-1]]), pa.array(_sums(*context_keys(data, at), known_places)), cold,
                 ], names=["rk", "doc_id", "held_out", "n_tokens", "hot_known", "hot_score", "score", "cold"])
 
     more = StructType.fromDDL("n_tokens long, hot_known long, hot_score double, score double, cold array<long>")

@@ -150,7 +150,7 @@ def test_suffix_dedup(make):
 def test_suffix_dedup_random(make):
     r = random.Random(8)
     pool = ["".join(r.choice("ab cé") for _ in range(400)) for _ in range(3)] + ["ab" * 200]
-    rows = [(i, "".join(r.choice("xyz ") for _ in range(r.randrange(80))) + (p := r.choice(pool))[(a := r.randrange(200)) : a + r.randrange(200)] + "".join(r.choice("xyz ") for _ in range(r.randrange(60)))) for i in range(80)]
+    rows = [(i, "".join(r.choice("xyz ") for _ in range(r.randrange(80))) + (p := r.choice(pool))[(a := r.randrange(200)) : a + r.randrange(200)] + "".join(r.choice("xyz ") for _ in range(r.randrange(60)))) for i in range(200)]
     got = suffix_dedup.strip_repeats(make(rows), 100, parts=4).collect()
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == sorted(brute_bytes(rows, 100))
 
@@ -346,6 +346,53 @@ def test_suffix_tree_is_a_distribution(spark, make):
     assert good > bad + 1
 
 
+def brute_tree(texts, depth, least, gain, prior):
+    """Probability of a next symbol by the longest retained suffix, from plain dictionaries."""
+    seen = collections.defaultdict(collections.Counter)
+    for t in texts:
+        s = [0] * depth + list(t.encode().translate(LOWER)) + [256]
+        for i in range(depth, len(s)):
+            for d in range(depth + 1):
+                seen[tuple(s[i - d : i])][s[i]] += 1
+    root = seen[()]
+    retained, smooth = {()}, {(): [(root[x] + 0.5) / (root.total() + 0.5 * 257) for x in range(257)]}
+    for c in sorted((c for c in seen if c and seen[c].total() >= least), key=len):
+        v, parent = seen[c], smooth[c[1:]]
+        smooth[c] = [(v[x] + prior * parent[x]) / (v.total() + prior) for x in range(257)]
+        if sum(n * math.log(n / v.total() / parent[x]) for x, n in v.items()) >= gain:
+            retained |= {c[i:] for i in range(len(c))}
+
+    def score(t):
+        s = [0] * depth + list(t.encode().translate(LOWER)) + [256]
+        return sum(math.log10(next(smooth[tuple(s[i - d : i])] for d in range(depth, -1, -1) if tuple(s[i - d : i]) in retained)[s[i]]) for i in range(depth, len(s)))
+
+    return retained, score
+
+
+@pytest.fixture(scope="module")
+def lm_rows():
+    r = random.Random(8)
+    common = [(i, " ".join(r.choice("the cat sat on a mat and dogs ran home".split()) for _ in range(60))) for i in range(150)]
+    # told apart by the fifth byte back only
+    return common + [(1000 + i, f"{'pq'[i % 2]}zzzz{'xy'[i % 2]} Ж日") for i in range(200)]
+
+
+@pytest.mark.parametrize("most", [lm_scoring.SLICE, 60])
+def test_suffix_tree_brute_force(make, lm_rows, most):
+    retained, score = brute_tree([t for i, t in lm_rows if i % 5 != 1], lm_scoring.DEPTH, lm_scoring.LEAST, lm_scoring.GAIN, lm_scoring.PRIOR)
+    assert max(map(len, retained)) > 4
+    got = {r.doc_id: r.score for r in lm_scoring.score(make(lm_rows), F.col("doc_id") % 5 == 1, most=most).collect()}
+    assert len(got) == len(lm_rows) and all(abs(got[i] - score(t)) < 1e-3 for i, t in lm_rows)
+
+
+def test_suffix_tree_grows_with_the_corpus(make):
+    """As many more contexts as there is more evidence: a share of the places would keep the same few."""
+    r = random.Random(9)
+    docs = [(i, " ".join("".join(r.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(20)) * 40) for i in range(200)]
+    few, many = (len(lm_scoring.grow(lm_scoring.context_counts(make(docs[:n]))).nodes) for n in (20, 80))
+    assert many > 3 * few
+
+
 # mixing
 
 
