@@ -5,9 +5,10 @@ of the vectors, to which one component is added that makes their lengths equal (
 smallest angle). Trees are cut at variable-length prefixes into shards of about ``SHARD`` vectors each, as the counts of prefixes
 tell; no shard depends on how many vectors share a direction, down to prefixes of PREFIX bits.
 
-A query descends in every tree to the shard of its longest match. First all trees report how many vectors share each
-length of prefix with the query; added up, these give the length to which all trees ascend together
-until ``REACH`` times as many vectors as there are are in reach (one tree reaches its shard at most). Then each shard scores its part of them with
+A query descends in every tree to its longest match. First all trees report how many vectors share each
+length of prefix with the query (lengths up to PREFIX bits from the counts of all prefixes, longer ones from the query's shard); added up,
+these give the length to which all trees ascend together until ``REACH`` times as many vectors as there are are in reach. A query
+goes to every shard that its ascended prefix covers, so shards bound a task's memory and nothing else. Then each shard scores its part of them with
 exact inner products in double precision, and the best of all trees are merged.
 
 Equal vectors are one entry with their k + 1 smallest ids: more can't be among the k nearest. Defined cases: vectors that are null,
@@ -18,6 +19,7 @@ vector are one; only vectors of one dimension are compared; ties go to the small
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -105,10 +107,11 @@ def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, dict]]:
         t = pa.Table.from_batches(held.pop(key)).combine_chunks()
         level = t["level"].to_numpy(zero_copy_only=False)
         got = {"id": t["id"].to_numpy(zero_copy_only=False), "code": t["code"].to_numpy(zero_copy_only=False).astype(np.uint64), "level": level, "v": _vectors(t["v"].combine_chunks())}
+        got |= {c: t[c].to_numpy(zero_copy_only=False) for c in ("low", "high")}
         parts = []
         for own in (level == -2, level != -2):
             rows = np.flatnonzero(own)
-            rows = rows[np.argsort(got["code"][rows], kind="stable")]
+            rows = rows[np.lexsort((got["id"][rows], got["code"][rows]))]
             parts.append({k: x[rows] for k, x in got.items()})
         if len(parts[0]["id"]) and len(parts[1]["id"]):
             yield parts[0], parts[1]
@@ -122,18 +125,79 @@ def _reach(index: dict, queries: dict, level: np.ndarray) -> tuple[np.ndarray, n
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many vectors share more than PREFIX bits with each query; those are in its own shard."""
     for index, queries in _by_shard(batches):
-        n = np.stack([np.subtract(*_reach(index, queries, np.full(len(queries["id"]), d))[::-1]) for d in range(BITS + 1)], 1)
-        yield pa.RecordBatch.from_arrays([pa.array(queries["id"]), pa.ListArray.from_arrays(pa.array(np.arange(0, n.size + 1, BITS + 1, dtype=np.int32)), pa.array(n.ravel()))], names=["id", "n"])
+        n = np.stack([np.subtract(*_reach(index, queries, np.full(len(queries["id"]), d))[::-1]) * (d > PREFIX) for d in range(BITS + 1)], 1)
+        yield _counted(queries["id"], n)
+
+
+def _counted(ids: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(ids), pa.ListArray.from_arrays(pa.array(np.arange(0, n.size + 1, BITS + 1, dtype=np.int32)), pa.array(n.ravel()))], names=["id", "n"])
+
+
+@dataclass(frozen=True)
+class Trees:
+    """The trees of the vectors of one dimension."""
+
+    shard: np.ndarray  # trees x 2**PREFIX: the shard of each prefix
+    before: np.ndarray  # trees x (2**PREFIX + 1): how many vectors stand before each prefix
+    candidates: int
+
+    def shared(self, tree: np.ndarray, prefix: np.ndarray) -> np.ndarray:
+        """How many vectors share each length of prefix up to PREFIX bits; 0 for longer ones."""
+        n = np.zeros((len(tree), BITS + 1), np.int64)
+        for d in range(PREFIX + 1):
+            low = prefix >> PREFIX - d << PREFIX - d
+            n[:, d] = self.before[tree, low + (1 << PREFIX - d)] - self.before[tree, low]
+        return n
+
+    def windows(self, tree: int, prefix: int, level: int, more: int) -> list[tuple[int, int, int]]:
+        """Shards and rows in them that a query reaches at a level under PREFIX: all that share one more bit, and ``more`` to each side."""
+        before = self.before[tree]
+        outer, inner = (prefix >> PREFIX - d << PREFIX - d for d in (level, level + 1))
+        low = max(before[outer], before[inner] - more)
+        high = min(before[outer + (1 << PREFIX - level)], before[inner + (1 << PREFIX - level - 1)] + more)
+        a, b = int(np.searchsorted(before, low, "right")) - 1, int(np.searchsorted(before, high, "left"))
+        out, row = [], self.shard[tree]
+        while a < b:
+            s, (first, last) = int(row[a]), self._span(tree, a)
+            x, y = max(low, before[first]) - before[first], min(high, before[last]) - before[first]
+            if y > x:
+                out.append((s, int(x), int(y)))
+            a = last
+        return out
+
+    def _span(self, tree: int, prefix: int) -> tuple[int, int]:
+        row, width = self.shard[tree], 1 << PREFIX
+        while width > 1:  # shards are aligned prefixes
+            a = prefix // width * width
+            if row[a] == row[a + width - 1] == row[prefix]:
+                return a, a + width
+            width //= 2
+        return prefix, prefix + 1
+
+
+def forest_of(seen: pa.Table, limit: int, reach: float, floor: int) -> tuple[dict[int, Trees], int]:
+    """The trees of each dimension, from counts by dim, tree and p, and the number of shards."""
+    out, shards = {}, 0
+    dims, tree, p, n = (seen[c].to_numpy() for c in ("dim", "tree", "p", "count"))
+    for d in np.unique(dims):
+        counts = np.zeros((TREES, 1 << PREFIX), np.int64)
+        counts[tree[dims == d], p[dims == d]] = n[dims == d]
+        table = shard_table(counts, limit) + shards
+        shards = int(table.max()) + 1
+        out[int(d)] = Trees(table, np.concatenate((np.zeros((TREES, 1), np.int64), np.cumsum(counts, 1)), 1), max(floor, round(reach * counts.sum() / TREES)))
+    return out, shards
 
 
-def _score(k: int, candidates: int):
+def _score(k: int, forest):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for index, queries in _by_shard(batches):
+            more = _more(k, forest.value[index["v"].shape[1]])
             inner = _reach(index, queries, np.minimum(queries["level"] + 1, BITS))
             outer = _reach(index, queries, queries["level"])
-            more = max(k + 1, candidates // TREES // 2)
-            low, high = np.maximum(outer[0], inner[0] - more), np.minimum(outer[1], inner[1] + more)
+            given = queries["low"] >= 0
+            low, high = np.where(given, queries["low"], np.maximum(outer[0], inner[0] - more)), np.where(given, queries["high"], np.minimum(outer[1], inner[1] + more))
             for q in range(len(low)):
                 rows = index["v"][low[q] : high[q]]
                 if len(rows):
@@ -146,8 +210,13 @@ def _score(k: int, candidates: int):
     return run
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 20, reach: float = REACH, shard: int = SHARD) -> DataFrame:
-    """vectors: id, v (array of floats) -> query_id, rank, id, score for the rows that are queries."""
+def _more(k: int, trees: Trees) -> int:
+    return max(k + 1, trees.candidates // TREES // 2)
+
+
+def nearest(vectors: DataFrame, is_query: Column, k: int = 20, reach: float = REACH, shard: int = SHARD, floor: int | None = None) -> DataFrame:
+    """vectors: id, v (array of floats) -> query_id, rank, id, score for the rows that are queries.
+    floor: least number of candidates (200 k unless given)."""
     spark = vectors.sparkSession
     rows = vectors.filter(F.col("id").isNotNull() & usable(F.col("v"))).select("id", "v", F.xxhash64("v").alias("entry"), is_query.alias("query"))
     rows = T.checkpoint(rows)
@@ -163,31 +232,54 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, reach: float = RE
     entries = T.checkpoint(coded(distinct.select(F.col("entry").alias("id"), "v"), longest, query=False))
     asked = T.checkpoint(coded(rows.filter("query").select("id", "v").dropDuplicates(["id"]), longest, query=True))
     prefix = F.shiftright("code", BITS - PREFIX).cast("int")
-    seen = entries.groupBy("tree", prefix.alias("p")).count().toArrow()
-    counts = np.zeros((TREES, 1 << PREFIX), np.int64)
-    counts[seen["tree"].to_numpy(), seen["p"].to_numpy()] = seen["count"].to_numpy()
-    table, candidates = shard_table(counts, shard), max(200 * k, round(reach * counts.sum() / TREES))
-    lookup = spark.sparkContext.broadcast(table)
+    seen = entries.groupBy(F.size("v").alias("dim"), "tree", prefix.alias("p")).count().toArrow()
+    forest, shards = forest_of(seen, shard, reach, 200 * k if floor is None else floor)
+    lookup = spark.sparkContext.broadcast(forest)
 
-    def place(level: int | None):
+    def place(level: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                tree, code = b.column("tree").to_numpy(zero_copy_only=False), b.column("code").to_numpy(zero_copy_only=False)
-                s = pa.array(lookup.value[tree, code >> (BITS - PREFIX)])
-                lev = b.column("level") if level is None else pa.array(np.full(len(code), level, np.int32))
-                yield pa.RecordBatch.from_arrays([s, *(b.column(c) for c in ("id", "v", "code")), lev], names=["shard", "id", "v", "code", "level"])
+            for whole in batches:
+                for b in by_dimension(whole):
+                    trees = lookup.value.get(len(b.column("v")[0]))
+                    if trees is not None:
+                        tree, code = b.column("tree").to_numpy(zero_copy_only=False), b.column("code").to_numpy(zero_copy_only=False)
+                        s, none = pa.array(trees.shard[tree, code >> (BITS - PREFIX)]), pa.array(np.full(len(code), -1, np.int64))
+                        yield pa.RecordBatch.from_arrays([s, *(b.column(c) for c in ("id", "v", "code")), pa.array(np.full(len(code), level, np.int32)), none, none], names=names)
 
         return run
 
-    shape = "shard int, id long, v array<double>, code long, level int"
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(table.max() + 1) // 4)
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in by_dimension(whole):
+                trees = lookup.value.get(len(b.column("v")[0]))
+                if trees is not None:
+                    tree, code = b.column("tree").to_numpy(zero_copy_only=False), b.column("code").to_numpy(zero_copy_only=False)
+                    yield _counted(b.column("id").to_numpy(zero_copy_only=False), trees.shared(tree, code >> (BITS - PREFIX)))
+
+    def ascended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for small in K.sliced(whole, 512):
+                for b in by_dimension(small):
+                    trees = lookup.value[len(b.column("v")[0])]
+                    tree, code, level = (b.column(c).to_numpy(zero_copy_only=False) for c in ("tree", "code", "level"))
+                    rows = []
+                    for r, (t, p, d) in enumerate(zip(tree.tolist(), (code >> (BITS - PREFIX)).tolist(), level.tolist(), strict=True)):
+                        rows += [(r, *x) for x in trees.windows(t, p, d, _more(k, trees))] if d < PREFIX else [(r, int(trees.shard[t, p]), -1, -1)]
+                    r, s, low, high = np.array(rows, np.int64).reshape(-1, 4).T
+                    yield pa.RecordBatch.from_arrays([pa.array(s.astype(np.int32)), *(b.column(c).take(pa.array(r)) for c in ("id", "v", "code", "level")), pa.array(low), pa.array(high)], names=names)
+
+    shape = "shard int, id long, v array<double>, code long, level int, low long, high long"
+    names = [x.split()[0] for x in shape.split(", ")]
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards // 4)
     index = entries.mapInArrow(place(-2), shape)
     both = index.unionByName(asked.mapInArrow(place(0), shape))
-    found = both.repartition(parts, "shard").mapInArrow(_count, "id long, n array<long>")
+    found = both.repartition(parts, "shard").mapInArrow(_count, "id long, n array<long>").unionByName(asked.mapInArrow(shared, "id long, n array<long>"))
     levels = found.groupBy("id").agg(*(F.sum(F.element_at("n", d + 1)).alias(f"n{d}") for d in range(BITS + 1)))
-    level = F.greatest(*(F.when(F.col(f"n{d}") >= candidates, d).otherwise(0) for d in range(BITS + 1))).cast("int")
+    wanted = F.create_map(*(F.lit(x) for d, trees in forest.items() for x in (d, trees.candidates)))
+    levels = levels.join(asked.filter("tree = 0").select("id", F.element_at(wanted, F.size("v")).alias("candidates")), "id")
+    level = F.greatest(*(F.when(F.col(f"n{d}") >= F.col("candidates"), d).otherwise(0) for d in range(BITS + 1))).cast("int")
     deep = asked.join(levels.select("id", level.alias("level")), "id")
-    found = index.unionByName(deep.mapInArrow(place(None), shape)).repartition(parts, "shard").mapInArrow(_score(k, candidates), "query_id long, entry long, score double")
+    found = index.unionByName(deep.mapInArrow(ascended, shape)).repartition(parts, "shard").mapInArrow(_score(k, lookup), "query_id long, entry long, score double")
     best = found.groupBy("query_id", "entry").agg(F.max("score").alias("score"))
     ranked = best.join(ids, "entry").filter("id <> query_id").withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "id")))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "id", "score")

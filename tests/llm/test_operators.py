@@ -446,6 +446,26 @@ def test_nearest(spark):
     assert prefix_forest.nearest(df.filter("id > 899 and id < 905"), F.col("id") % 20 == 0).count() == 0
 
 
+@pytest.fixture(scope="module")
+def directions(spark):
+    v = np.random.default_rng(4).standard_normal((4000, 24)).astype(np.float32)
+    return v.astype(float), spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<float>")
+
+
+def neighbours(df, **more):
+    got = collections.defaultdict(set)
+    for r in prefix_forest.nearest(df, F.col("id") % 100 == 0, k=10, **more).collect():
+        got[r.query_id].add(r.id)
+    return got
+
+
+def test_forest_shards_hide_nothing(directions):
+    """A query ascends over the edges of its shards: 30 shards a tree and more give what one gives."""
+    v, df = directions
+    one, many = neighbours(df, floor=0), neighbours(df, floor=0, shard=128)
+    assert one == many and len(one) == 40
+
+
 # HTML
 
 
