@@ -217,8 +217,8 @@ def _verify(k: int, percent: int):
     return run
 
 
-def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, parts: int | None = None) -> DataFrame:
-    """documents: doc_id, text, ... -> rk, doc_id, n_shingles, component_id (the smallest doc_id reachable)."""
+def clustered(documents: DataFrame, k: int = 5, percent: int = 80, parts: int | None = None) -> DataFrame:
+    """documents: doc_id, text, ... -> rk, doc_id, n_shingles, component (null for empty sets), component_id (the smallest doc_id reachable)."""
     spark = documents.sparkSession
     parts = parts or T.scale(spark, documents)
     keyed = documents.withColumn("rk", T.row_key(["doc_id", "text"]))
@@ -238,12 +238,25 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, parts:
     found = C.labels(links).withColumnsRenamed({"u": "node"})
     joined = nodes.select("node", "least").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_node = joined.join(least, "component").select("node", "component_id")
-    return signed.drop("symbols").join(of_node, "node", "left").select("rk", "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    of_node = joined.join(least, "component").select("node", "component", "component_id")
+    return signed.drop("symbols").join(of_node, "node", "left").select("rk", "doc_id", "n_shingles", "component", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, parts: int | None = None) -> DataFrame:
+    """documents: doc_id, text, ... -> rk, doc_id, n_shingles, component_id (the smallest doc_id reachable)."""
+    return clustered(documents, k, percent, parts).drop("component")
 
 
 def keep_one(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without all but the first (by doc_id) of each near-duplicate group; rows that repeat doc_id and text stay together."""
-    gone = near_duplicates(documents, k, percent).filter("doc_id <> component_id").select(F.col("rk").alias(T.KEY)).distinct()
+    """One row of each near-duplicate group, the first by doc_id (null ids last), and all rows with an empty set."""
+    rows = clustered(documents, k, percent).filter("component is not null")
+    each = rows.groupBy("rk").agg(F.first("component").alias("component"), F.first("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rk"))
+    chosen = each.groupBy("component").agg(first.alias("first"), F.sum("n").alias("rows")).filter("rows > 1")
+    kept = (F.col("rk") == F.col("first.rk")).alias("kept")
+    marked = T.checkpoint(each.join(chosen, "component").filter("rk <> first.rk OR n > 1").select(F.col("rk").alias(T.KEY), kept))
     keyed = documents.withColumn(T.KEY, T.row_key(["doc_id", "text"]))
-    return keyed.join(gone, T.KEY, "left_anti").drop(T.KEY)
+    others = keyed.join(marked.select(T.KEY), T.KEY, "left_anti").drop(T.KEY)
+    # rows that repeat doc_id and text: one of them
+    again = keyed.join(marked.filter("kept"), T.KEY, "left_semi").groupBy(T.KEY).agg(F.min(F.struct(*documents.columns)).alias("row"))
+    return others.unionByName(again.select("row.*"))

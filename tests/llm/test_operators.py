@@ -533,3 +533,15 @@ def test_pipeline(spark, folder, make, tmp_path):
             assert ids == sorted(x for x, _, n, _ in brute_hits(rows, items, 10) if not n)
         else:
             assert docs.groupBy("doc_id").agg((F.count("*") <= 2).alias("ok"), (F.max("taken") <= 2 * F.max("size")).alias("cap")).filter("not (ok and cap)").count() == 0
+
+
+def test_pipeline_keeps_one_of_repeated_rows(spark, make):
+    import corpus_pipeline as c
+
+    r = random.Random(11)
+    one, two, three, four = (" ".join(words(r, 90, 5000)) for _ in range(4))
+    near = " ".join(two.split()[:-1] + ["other"])
+    rows = [(1, one, "en", "a"), (1, one, "en", "a"), (2, two, "en", "a"), (None, two, "en", "a"), (None, near, "en", "b"), (None, three, "en", "a"), (None, three, "en", "b"), (4, four, "en", "a")]
+    docs = c.drop_near_duplicates(spark, make(rows), "")
+    left = c.drop_repeated_passages(spark, docs, "").collect()
+    assert sorted(((x.doc_id, x.text) for x in left), key=repr) == sorted([(1, one), (2, two), (None, three), (4, four)], key=repr)
