@@ -115,7 +115,6 @@ FORMS = (
     (4, 0.8, r"(?:license|licence)(?: type)? (?:is )?(?:the )?(?:NAME)"),
     (5, 0.7, r"(?:NAME) (?:public )?(?:license|licence)"),
 )
-MARKS = frozenset(b"license licence licensed licenced licenses spdx copyright rights cc cc0 proprietary unauthorized redistribution permission warranty unencumbered gpl lgpl agpl gplv2 gplv3 lgplv3 agplv3 mpl epl cddl wtfpl unlicense odbl sspl eupl commons released distributed published".split())
 
 
 @dataclass(frozen=True)
@@ -125,6 +124,7 @@ class Rule:
     confidence: float
     pattern: re.Pattern
     needs: frozenset[str]
+    holds: tuple[str, ...]  # literals of every match
 
 
 def _needs(expression: str) -> frozenset[str]:
@@ -135,11 +135,30 @@ def _needs(expression: str) -> frozenset[str]:
     return frozenset(re.findall(r"(?<![^ \0])[a-z][a-z0-9]+(?= [a-z0-9]| \0|$)", flat.replace("\0", " \0 ").replace("  ", " ")))
 
 
+def _literals(expression: str) -> tuple[str, ...]:
+    """Runs of characters, of two and more, that every match holds; the rarest kinds (short ones) first."""
+    out: set[str] = set()
+
+    def walk(parsed) -> None:
+        run = ""
+        for op, arg in [*parsed, (None, None)]:
+            if str(op) == "LITERAL":
+                run += chr(arg)
+                continue
+            out.add(run)
+            run = ""
+            if str(op) == "SUBPATTERN":
+                walk(arg[3])
+
+    walk(re._parser.parse(expression))
+    return tuple(sorted((x for x in out if len(x) > 1), key=lambda x: (len(x), x)))
+
+
 def rules() -> tuple[Rule, ...]:
     out = []
 
     def add(label: str, priority: int, confidence: float, expression: str, name: str = "") -> None:
-        out.append(Rule(label, priority, confidence, re.compile(rf"(?<!\S)(?:{expression})(?!\S)"), _needs(name) or _needs(expression)))
+        out.append(Rule(label, priority, confidence, re.compile(rf"(?<!\S)(?:{expression})(?!\S)"), _needs(name) or _needs(expression), _literals(expression)))
 
     for line in FAMILIES.strip().splitlines():
         label, tag, names = (x.strip() for x in line.split(" | ", 2))
@@ -161,14 +180,31 @@ def rules() -> tuple[Rule, ...]:
     return tuple(sorted(out, key=lambda r: (r.priority, r.label, r.pattern.pattern)))
 
 
-_RULES: list[tuple[Rule, ...]] = []
+_RULES: list[dict[str, list[tuple[int, Rule]]]] = []
+
+
+def _by_word() -> dict[str, list[tuple[int, Rule]]]:
+    """The rules by a word that they need ("" for those that need none), with their ranks."""
+    if not _RULES:
+        by: dict[str, list[tuple[int, Rule]]] = {}
+        for i, r in enumerate(rules()):
+            by.setdefault(max(r.needs, key=lambda w: (len(w), w), default=""), []).append((i, r))
+        _RULES.append(by)
+    return _RULES[0]
 
 
 def detect(text: str, words: set[str]) -> list[tuple[int, int, Rule]]:
     """Detections that remain, by place. text: normalised words joined by one space; words: those in it."""
-    if not _RULES:
-        _RULES.append(rules())
-    found = [(m.start(), m.end(), r) for r in _RULES[0] if r.needs <= words for m in r.pattern.finditer(text)]
+    by = _by_word()
+    here: dict[str, bool] = {}
+
+    def holds(literal: str) -> bool:
+        if literal not in here:
+            here[literal] = literal in text
+        return here[literal]
+
+    tried = sorted((x for w in (by.keys() & words) | {""} for x in by.get(w, ()) if x[1].needs <= words and all(map(holds, x[1].holds))), key=lambda x: x[0])
+    found = [(m.start(), m.end(), r) for _, r in tried for m in r.pattern.finditer(text)]
     found.sort(key=lambda x: (x[2].priority, x[0] - x[1], x[0], x[2].label))
     kept: list[tuple[int, int, Rule]] = []
     for a, b, r in found:
@@ -185,8 +221,8 @@ _NONE = (0, None, None, "", "", 0.0, [])
 def scan_text(text: str | None) -> tuple:
     """The columns of SCHEMA."""
     words = text.encode().translate(_TABLE).split() if text else []
-    if MARKS.isdisjoint(words):
-        return (len(words), *_NONE)
+    if not words:
+        return (0, *_NONE)
     joined = b" ".join(words).decode()
     starts = [(joined.count(" ", 0, m.start()), label) for p, label in _BASE for m in p.finditer(joined)]
     found = detect(joined, set(joined.split(" ")))

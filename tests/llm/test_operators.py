@@ -535,6 +535,37 @@ def test_pipeline(spark, folder, make, tmp_path):
             assert docs.groupBy("doc_id").agg((F.count("*") <= 2).alias("ok"), (F.max("taken") <= 2 * F.max("size")).alias("cap")).filter("not (ok and cap)").count() == 0
 
 
+def shortest(parsed, last=False):
+    """A text that the parsed expression matches: nothing optional, the first (or last) of alternatives."""
+    out = ""
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(arg)
+        elif name == "IN":
+            kind, what = str(arg[0][0]), arg[0][1]
+            out += chr(what) if kind == "LITERAL" else chr(what[0]) if kind == "RANGE" else "x"
+        elif name == "MAX_REPEAT":
+            out += shortest(arg[2], last) * arg[0]
+        elif name == "SUBPATTERN":
+            out += shortest(arg[3], last)
+        elif name == "BRANCH":
+            out += shortest(arg[1][-1 if last else 0], last)
+        else:
+            assert name == "ASSERT_NOT"
+    return out
+
+
+def test_each_license_rule_fires_alone():
+    for rule in license_scan.rules():
+        for last in (False, True):
+            text = shortest(re._parser.parse(rule.pattern.pattern), last)
+            assert rule.pattern.fullmatch(text) and rule.needs <= set(text.split()), (rule, text)
+            row = license_scan.scan_text(text)
+            assert row[5] and row[6] > 0 and any(d["first"] == 0 and d["end"] == len(text.split()) for d in row[7]), (rule, text)
+    assert license_scan.scan_text("available under the MIT")[5] == "mit" and license_scan.scan_text("no such words here")[5:] == ("", 0.0, [])
+
+
 def test_pipeline_keeps_one_of_repeated_rows(spark, make):
     import corpus_pipeline as c
 
