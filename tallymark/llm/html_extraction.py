@@ -31,7 +31,9 @@ ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'
 #: Fixed sets of element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 OPAQUE = frozenset("script style title textarea noscript template iframe svg math select button head object canvas audio video noframes xmp".split())
-RAW = frozenset("script style title textarea noscript iframe xmp noframes template svg math select object canvas audio video".split())
+RAW = frozenset("script style title textarea iframe xmp noframes".split())
+#: Elements that a slash closes.
+FOREIGN = frozenset("svg math".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -62,6 +64,35 @@ class Node:
     children: int = 0
 
 
+def opaque_end(page: str, tag: str, at: int, around: set[str]) -> int:
+    """Where the content of an opaque element that starts at ``at`` ends. Raw text without an end tag takes the rest of the page; any other
+    element without one of its own, before an element around it ends, holds nothing."""
+    end = re.compile(rf"</{re.escape(tag)}\s*>", re.I)
+    found = end.search(page, at)
+    if tag in RAW:
+        return found.end() if found else len(page)
+    if not found:
+        return at
+    start, inside = at, {tag: 1}
+    while m := TOKEN.search(page, at):
+        at = m.end()
+        name = m[2] and m[2].lower()
+        if not name:
+            continue
+        if m[1]:
+            if inside.get(name):
+                inside[name] -= 1
+                if name == tag and not inside[name]:
+                    return at
+            elif name in around:
+                break
+        elif name in RAW:
+            at = opaque_end(page, name, at, around)
+        elif name not in VOID and not m[3].endswith("/"):
+            inside[name] = inside.get(name, 0) + 1
+    return start
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """Block nodes in document order (parents first), and the text blocks in page order with their nodes."""
     nodes = [Node("html", -1, "")]
@@ -117,9 +148,8 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if tag in OPAQUE:
             if tag in CONTROLS:
                 nodes[stack[-1][1]].controls += 1
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            if tag in RAW or end:
-                at = end.end() if end else n
+            if tag in RAW or not (tag in FOREIGN and m[3].endswith("/")):
+                at = opaque_end(page, tag, at, {t for t, _ in stack})
             if tag not in ("noscript",):
                 held.append(" ")
             continue

@@ -535,6 +535,17 @@ def test_pipeline(spark, folder, make, tmp_path):
             assert docs.groupBy("doc_id").agg((F.count("*") <= 2).alias("ok"), (F.max("taken") <= 2 * F.max("size")).alias("cap")).filter("not (ok and cap)").count() == 0
 
 
+@pytest.mark.parametrize("tag", ["<svg class=icon/>", "<math/>", "<video src=a>", "<audio>", "<object data=a>", "<canvas>", "<select>", "<button>", "<template>", "<noscript>"])
+def test_html_opaque_tags_without_end(tag):
+    """Such a tag takes neither the rest of the page nor all up to the next end tag of its name."""
+    name = re.match(r"<(\w+)", tag)[1]
+    later = f"<div><{name}>gone</{name}></div>"
+    for tail in ("", later):
+        texts = [text for _, text in html_extraction.parse(f"<body><div>{tag}</div><article><p>the whole article</p></article>{tail}</body>")[1]]
+        assert texts == ["the whole article"]
+    assert [text for _, text in html_extraction.parse(f"<body>{tag}<p>one</p>{later}<p>two</p>")[1]] == ["one", "two"]
+
+
 def shortest(parsed, last=False):
     """A text that the parsed expression matches: nothing optional, the first (or last) of alternatives."""
     out = ""
