@@ -309,7 +309,7 @@ def test_license_rules(odd, empty):
 
 
 def test_containment_is_suppressed():
-    words = "licensed under the gnu lesser general public license version 2 1"
+    words = b"licensed under the gnu lesser general public license version 2 1"
     assert [r.label for _, _, r in license_scan.detect(words, set(words.split()))] == ["lgpl-2.1"]
 
 
@@ -547,15 +547,15 @@ def test_html_opaque_tags_without_end(tag):
 
 
 def shortest(parsed, last=False):
-    """A text that the parsed expression matches: nothing optional, the first (or last) of alternatives."""
-    out = ""
+    """A text that the parsed expression (of bytes) matches: nothing optional, the first (or last) of alternatives."""
+    out = b""
     for op, arg in parsed:
         name = str(op)
         if name == "LITERAL":
-            out += chr(arg)
+            out += bytes([arg])
         elif name == "IN":
             kind, what = str(arg[0][0]), arg[0][1]
-            out += chr(what) if kind == "LITERAL" else chr(what[0]) if kind == "RANGE" else "x"
+            out += bytes([what]) if kind == "LITERAL" else bytes([what[0]]) if kind == "RANGE" else b"x"
         elif name == "MAX_REPEAT":
             out += shortest(arg[2], last) * arg[0]
         elif name == "SUBPATTERN":
@@ -572,11 +572,37 @@ def test_each_license_rule_fires_alone():
         for last in (False, True):
             text = shortest(re._parser.parse(rule.pattern.pattern), last)
             assert rule.pattern.fullmatch(text) and rule.needs <= set(text.split()), (rule, text)
-            row = license_scan.scan_text(text)
+            row = license_scan.scan_text(text.decode())
             assert row[5] and row[6] > 0 and any(d["first"] == 0 and d["end"] == len(text.split()) for d in row[7]), (rule, text)
     assert license_scan.scan_text("available under the MIT")[5] == "mit" and license_scan.scan_text("no such words here")[5:] == ("", 0.0, [])
 
 
+def brute_license(text):
+    """n_words, n_base, first_word, last_word, base_labels by comparing word lists at every place."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+    at = [(i, label) for phrase, label in license_scan.BASE.items() for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split()]
+    return len(words), len(at), min((i for i, _ in at), default=None), max((i for i, _ in at), default=None), ",".join(sorted({x for _, x in at}))
+
+
+def test_license_base_columns_brute_force():
+    """Words of any alphabet and white space of Unicode, which belongs to words, between and in the phrases."""
+    r = random.Random(6)
+    pool = [w for phrase in license_scan.BASE for w in phrase.split()] + ["Under THE mit License"] * 3 + ["CC-BY\nNC", "Apache License, Version 2", "é", "Ж", "日本", "x", "\u0130", "K"]
+    for _ in range(3000):
+        text = "".join(r.choice(pool) + r.choice([" "] * 6 + ["\u00a0", "\u3000", "\u2028", "\x85", "\x1c", "-", "\n", ".", ""]) for _ in range(r.randrange(14)))
+        assert license_scan.scan_text(text)[:5] == brute_license(text), repr(text)
+    assert license_scan.scan_text("x\u00a0under the mit license")[:5] == (4, 0, None, None, "")
+
+
+def test_license_scan_of_long_texts_is_quick():
+    import time
+
+    for text in ("released under the MIT license, see GPL v3 license. " * 20_000, "license " * 130_000, "all rights reserved neither the name of a b c d e " * 20_000):
+        began = time.process_time()
+        got = license_scan.scan_text(text)
+        assert time.process_time() - began < 6 and got[5] != "mit" and all(a["first"] <= b["first"] for a, b in itertools.pairwise(got[7]))
+
+
 def test_pipeline_keeps_one_of_repeated_rows(spark, make):
     import corpus_pipeline as c
 
