@@ -7,13 +7,16 @@ limit / weight, so sums over that order give it without a loop.
 
 Positions: a source's weight schedule g(t) on training time 0..1 is linear; its integral is the
 demand D(t) of the source's words up to t. Documents stand in each source in the order of a hash of
-their id; the word offset c of a document, as a part of the source's target, is inverted to its training
-position t = D^-1(c), in closed form. Whole passes over a source come first, then a last pass up to the target;
-one document at most is cut. Running sums are taken in two levels (hash buckets, then inside a bucket), so
-a source with most of the rows is spread over all tasks. The result is range-sorted by position.
-
-Defined cases: null or empty texts have size 0 and take nothing; the null source is a source of
-its own, ranked last; an empty table gives no rows; repeated rows take part each on their own.
+their id; a pass over a document begins at a word offset, which, as a part of the source's target, is inverted to its training
+position D^-1, in closed form. The mix takes a pass as far as its words are demanded before the end of training, so what a
+document gives is the sum over its positions: whole passes over a source first, then a last one up to the target, in which
+one document at most is cut. Running sums are taken in levels (prefixes of the hash, then inside a bucket), so
+a source with most of the rows is spread over all tasks. Rows carry their own columns along and are range-sorted by position; no key joins them back.
+
+Defined cases: null or empty texts have size 0 and take nothing; rows without an id are ordered by their text's hash; the null source is a source of
+its own, ranked last; an empty table gives no rows; repeated rows take part each on their own (which of them is the one that is cut is
+open, as they are equal); rows of one id in several sources belong each to its own; columns of the documents keep their names, and a column of the mix
+that would clash is named with ``mix_`` before.
 """
 
 from __future__ import annotations
@@ -55,34 +58,57 @@ def inverse_demand(part: Column, slope: Column) -> Column:
     return F.when(slope == 0, part).otherwise((F.sqrt(b * b + 4 * slope * part) - b) / (2 * slope))
 
 
-def curriculum(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, slopes: tuple[float, ...] = SLOPES, share: float = 1.5, repeat: int = 2, rows_per_bucket: int = 4096) -> DataFrame:
-    """documents: doc_id, text, source -> rk, doc_id, source, size, source_size, target, taken, positions (of each pass that takes words)."""
-    sizes = T.checkpoint(documents.select(T.row_key(["doc_id", "text"]).alias("rk"), "doc_id", "source", size_of(F.col("text")).alias("size"), F.sha2(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), 256).alias("u")))
-    digits = max(1, math.ceil(math.log(max(1, sizes.count() / rows_per_bucket), 16)))
-    sizes = sizes.withColumn("bucket", F.substring("u", 1, digits))
-    goal = T.checkpoint(targets(sizes, weights, share, repeat))
-    goal = goal.withColumnRenamed("source", "_source")
-    sums = sizes.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
-    base = sums.withColumn("base", F.sum("bucket_size").over(W.partitionBy("source").orderBy("bucket")) - F.col("bucket_size")).select(F.col("source").alias("_source"), F.col("bucket").alias("_bucket"), "base")
-    inside = W.partitionBy("source", "bucket").orderBy("u", "size", "rk").rowsBetween(W.unboundedPreceding, -1)
-    local = sizes.withColumn("local", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    same = F.col("source").eqNullSafe(F.col("_source"))
-    placed = local.join(base, same & (F.col("bucket") == F.col("_bucket"))).drop("_source", "_bucket")
-    d = placed.join(goal, same).drop("_source")
-    words = F.floor("target")
-    d = d.withColumn("offset", F.col("base") + F.col("local")).withColumn("passes", F.when(F.col("source_size") > 0, F.floor(words / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
-    d = d.withColumn("last", F.least(F.col("size"), F.greatest(F.lit(0), words - F.col("passes") * F.col("source_size") - F.col("offset"))))
+def running(sums: DataFrame, digits: int, step: int = 3) -> DataFrame:
+    """sums: _source, _bucket (of ``digits`` digits), n -> _source, _bucket, _base: what stands before each bucket of its source.
+
+    Sums are taken inside prefixes that are ``step`` digits shorter, level by level, so no window holds more than 16 ** step rows."""
+    short = max(0, digits - step)
+    window = W.partitionBy("_source", F.substring("_bucket", 1, short)).orderBy("_bucket")
+    here = sums.select("_source", "_bucket", (F.sum("n").over(window) - F.col("n")).alias("_base"))
+    if not short:
+        return here
+    above = running(sums.groupBy("_source", F.substring("_bucket", 1, short).alias("_bucket")).agg(F.sum("n").alias("n")), short, step).select(F.col("_source").alias("_s"), F.col("_bucket").alias("_b"), F.col("_base").alias("_before"))
+    both = here.join(above, F.col("_source").eqNullSafe(F.col("_s")) & (F.substring("_bucket", 1, short) == F.col("_b")))
+    return both.select("_source", "_bucket", (F.col("_base") + F.col("_before")).alias("_base"))
+
+
+def curriculum(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, slopes: tuple[float, ...] = SLOPES, share: float = 1.5, repeat: int = 2, rows_per_bucket: int = 1024) -> DataFrame:
+    """documents: doc_id, text, source and more -> doc (a struct of all columns), size, source_size, target, taken, passes.
+
+    passes: a struct<position, words> for each pass over the document that gives words, in training order."""
+    digits = max(1, math.ceil(math.log(max(1, documents.count() / rows_per_bucket), 16)))
+    place = F.sha2(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null "), F.sha2(F.coalesce("text", F.lit("")), 256))), 256)
+    rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("doc"), F.col("source").alias("_source"), size_of(F.col("text")).alias("size"), place.alias("_u")).withColumn("_bucket", F.substring("_u", 1, digits))
+    sums = T.checkpoint(rows.groupBy("_source", "_bucket").agg(F.sum("size").alias("n")))
+    goal = T.checkpoint(targets(sums.select(F.col("_source").alias("source"), F.col("n").alias("size")), weights, share, repeat)).withColumnRenamed("source", "_g")
+    base = running(sums, digits).select(F.col("_source").alias("_s"), F.col("_bucket").alias("_b"), "_base")
+    inside = W.partitionBy("_source", "_bucket").orderBy("_u", "size").rowsBetween(W.unboundedPreceding, -1)
+    local = rows.withColumn("_local", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    placed = local.join(base, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b"))).join(goal, F.col("_source").eqNullSafe(F.col("_g")))
     slope = F.element_at(F.array(*map(F.lit, slopes)), (F.col("rank") % len(slopes) + 1).cast("int"))
-    used = F.expr("filter(sequence(0, passes), p -> size > 0 and (p < passes or last > 0))")
-    return d.select("rk", "doc_id", "source", "size", "source_size", "target", (F.col("passes") * F.col("size") + F.col("last")).cast("long").alias("taken"), F.transform(used, lambda p: inverse_demand(F.least(F.lit(1.0), (p * F.col("source_size") + F.col("offset")) / F.col("target")), slope)).alias("positions"))
+    begin = lambda p: p * F.col("source_size") + F.col("_base") + F.col("_local")
+    demanded = lambda p: F.least(F.col("size"), F.floor("target") - begin(p)).cast("long")
+    passes = F.transform(F.array(*(F.lit(p).cast("long") for p in range(repeat))), lambda p: F.struct(inverse_demand(F.least(F.lit(1.0), begin(p) / F.col("target")), slope).alias("position"), demanded(p).alias("words")))
+    placed = placed.withColumn("passes", F.filter(passes, lambda x: x["words"] > 0))
+    return placed.select("doc", "size", "source_size", "target", F.aggregate("passes", F.lit(0).cast("long"), lambda a, x: a + x["words"]).alias("taken"), "passes")
+
+
+def schedule(documents: DataFrame, **parameters) -> DataFrame:
+    """A row for each document, range-sorted by the position of its first pass (those that give nothing last): doc_id, size, source_size, target,
+    taken, n_passes, first_position, last_position."""
+    placed = curriculum(documents, **parameters)
+    at = lambda i: F.try_element_at("passes", F.lit(i))["position"]
+    out = placed.select(F.col("doc")["doc_id"].alias("doc_id"), "size", "source_size", "target", "taken", F.size("passes").alias("n_passes"), at(1).alias("first_position"), at(-1).alias("last_position"))
+    order = [F.col("first_position").asc_nulls_last(), F.col("doc_id").asc_nulls_last()]
+    return out.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def mix(documents: DataFrame, **parameters) -> DataFrame:
-    """One row for each pass over a document that the mix takes, range-sorted by ``position``.
-
-    The document's columns, then size, source_size, target, taken, position; columns of the document with those names give way."""
-    own = ["size", "source_size", "target", "taken", "positions"]
-    placed = curriculum(documents, **parameters).filter("taken > 0").select(F.col("rk").alias(T.KEY), *own).dropDuplicates([T.KEY])
-    keyed = documents.drop(*own, "position").withColumn(T.KEY, T.row_key(["doc_id", "text"]))
-    out = keyed.join(placed, T.KEY).drop(T.KEY).withColumn("position", F.explode("positions")).drop("positions")
-    return out.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
+    """One row for each pass over a document that the mix takes, range-sorted by ``position``: the document's columns, then size, source_size, target, taken, position, words."""
+    taken = set(documents.columns)
+    name = lambda c: c if c not in taken else name(f"mix_{c}")
+    out = curriculum(documents, **parameters).withColumn("pass", F.explode("passes"))
+    own = {"size": "size", "source_size": "source_size", "target": "target", "taken": "taken", "position": "pass.position", "words": "pass.words"}
+    out = out.select(*(F.col("doc")[c].alias(c) for c in documents.columns), *(F.col(c).alias(name(n)) for n, c in own.items()))
+    order = [F.col(name("position")), F.col("doc_id").asc_nulls_last()]
+    return out.repartitionByRange(*order).sortWithinPartitions(*order)

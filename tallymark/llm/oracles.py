@@ -16,16 +16,18 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 _OP9 = r"""
-WITH s AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, sha256(coalesce(CAST(doc_id AS VARCHAR), '')) AS u FROM documents),
+WITH s AS (SELECT row_number() OVER () AS rid, doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, sha256(coalesce(CAST(doc_id AS VARCHAR), 'null ' || sha256(coalesce(text, '')))) AS u FROM documents),
 src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM s GROUP BY source),
 w AS (SELECT *, CASE rank % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight FROM src),
 l AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(source_size * 2) OVER f, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER f, 0)) AS level, (source_size * 2)::DOUBLE / weight AS ratio
       FROM w WINDOW f AS (ORDER BY (source_size * 2)::DOUBLE / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-t AS (SELECT source, source_size, CASE WHEN ratio <= level THEN source_size * 2.0::DOUBLE ELSE (SELECT max(level) FROM l WHERE ratio > level) * weight END AS target FROM l),
-o AS (SELECT s.*, source_size, target, coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY u, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off, CAST(floor(target) AS BIGINT) AS words
+t AS (SELECT source, source_size, CASE rank % 3 WHEN 0 THEN -0.8::DOUBLE WHEN 1 THEN 0.0::DOUBLE ELSE 0.8::DOUBLE END AS slope, CASE WHEN ratio <= level THEN source_size * 2.0::DOUBLE ELSE (SELECT max(level) FROM l WHERE ratio > level) * weight END AS target FROM l),
+o AS (SELECT s.*, source_size, target, slope, coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY u, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
       FROM s JOIN t ON s.source IS NOT DISTINCT FROM t.source),
-p AS (SELECT *, CASE WHEN source_size > 0 THEN words // source_size ELSE 0 END AS passes FROM o)
-SELECT doc_id, size, source_size, target, CAST(passes * size + least(size, greatest(0, words - passes * source_size - off)) AS BIGINT) AS taken FROM p
+p AS (SELECT *, off + pass * source_size AS b, least(size, CAST(floor(target) AS BIGINT) - (off + pass * source_size)) AS n FROM o, (VALUES (0), (1)) v(pass)),
+q AS (SELECT *, n > 0 AS used, CASE WHEN slope = 0 THEN b / target ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * least(1.0::DOUBLE, b / target)) - (1 - slope)) / (2 * slope) END AS pos FROM p)
+SELECT doc_id, size, source_size, target, CAST(coalesce(sum(n) FILTER (used), 0) AS BIGINT) AS taken, CAST(count(*) FILTER (used) AS INTEGER) AS n_passes, min(pos) FILTER (used) AS first_position, max(pos) FILTER (used) AS last_position
+FROM q GROUP BY rid, doc_id, size, source_size, target
 """
 
 _OP6 = r"""

@@ -398,21 +398,47 @@ def test_suffix_tree_grows_with_the_corpus(make):
 
 def test_mixing(odd, empty):
     got = mixing.curriculum(odd, rows_per_bucket=2).collect()
-    sizes = {(r[0], r[1]): len((r[1] or "").split()) for r in odd_rows()}
-    assert len(got) == len(odd_rows()) and sorted(r.size for r in got) == sorted([*sizes.values(), 120])
+    sizes = [len((r[1] or "").split()) for r in odd_rows()]
+    assert sorted(r.size for r in got) == sorted(sizes)
     by = collections.defaultdict(lambda: [0, 0, 0.0])
     for r in got:
-        assert 0 <= r.taken <= 2 * r.size and all(0 <= p <= 1 for p in r.positions)
-        by[r.source][0] += r.size
-        by[r.source][1] += r.taken
-        by[r.source][2] = r.target
+        assert 0 <= r.taken <= 2 * r.size and all(0 <= p.position <= 1 and p.words > 0 for p in r.passes) and sum(p.words for p in r.passes) == r.taken
+        by[r.doc.source][0] += r.size
+        by[r.doc.source][1] += r.taken
+        by[r.doc.source][2] = r.target
     total = sum(x[0] for x in by.values())
     assert abs(sum(x[2] for x in by.values()) - 1.5 * total) < 1e-6 and all(abs(x[1] - x[2]) <= 1 and x[2] <= 2 * x[0] for x in by.values())
     again = mixing.curriculum(odd, rows_per_bucket=1000).collect()
-    assert sorted((r.doc_id or 0, r.taken) for r in got) == sorted((r.doc_id or 0, r.taken) for r in again)
+    assert sorted((r.doc.doc_id or 0, r.taken) for r in got) == sorted((r.doc.doc_id or 0, r.taken) for r in again)
     out = mixing.mix(odd)
-    assert out.columns[:5] == odd.columns[:5] and [r.position for r in out.collect()] == sorted(r.position for r in out.collect())
-    assert mixing.curriculum(empty).count() == 0
+    assert out.columns == [*odd.columns, "mix_size", "source_size", "target", "taken", "position", "words"]
+    rows = out.collect()
+    assert [r.position for r in rows] == sorted(r.position for r in rows) and sum(r.words for r in rows) == sum(r.taken for r in got)
+    assert mixing.curriculum(empty).count() == 0 and mixing.schedule(empty).count() == 0 and mixing.mix(empty).count() == 0
+
+
+def test_mixing_positions_invert_the_demand(make):
+    """Positions by numeric integration of the schedules; one id and text in two sources belongs to each."""
+    r = random.Random(12)
+    rows = [(i, " ".join(words(r, r.randrange(1, 30))), "en", "abc"[i % 3]) for i in range(300)] + [(5, "same text", "en", "a"), (5, "same text", "en", "b"), (None, "x y z", "en", "c"), (None, "x y z", "en", "c")]
+    got = mixing.curriculum(make(rows), rows_per_bucket=4).collect()
+    assert {x.doc.source for x in got if x.doc.text == "same text"} == {"a", "b"}
+    t = np.linspace(0, 1, 20001)
+    for source, slope in zip("abc", mixing.SLOPES):
+        own = [x for x in got if x.doc.source == source]
+        demand = np.cumsum(np.concatenate(([0], 1 + slope * (2 * (t[1:] + t[:-1]) / 2 - 1)))) / 20000 * own[0].target
+        passes = sorted((p.position, p.words) for x in own for p in x.passes)
+        begun = np.concatenate(([0], np.cumsum([n for _, n in passes])[:-1]))
+        # the words of all passes that stand before a position are what is demanded up to it
+        assert np.allclose([np.interp(p, t, demand) for p, _ in passes], begun, atol=0.5)
+        assert sum(n for _, n in passes) == math.floor(own[0].target)
+
+
+def test_running_sums(spark):
+    r = random.Random(2)
+    rows = [(s, f"{b:04x}", r.randrange(9)) for s in ("a", None) for b in r.sample(range(16**4), 300)]
+    got = {(x._source, x._bucket): x._base for x in mixing.running(spark.createDataFrame(rows, "_source string, _bucket string, n long"), 4, 1).collect()}
+    assert got == {(s, b): sum(n for t, c, n in rows if t == s and c < b) for s, b, _ in rows}
 
 
 # nearest neighbours
@@ -532,7 +558,7 @@ def test_pipeline(spark, folder, make, tmp_path):
             items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text").collect()]
             assert ids == sorted(x for x, _, n, _ in brute_hits(rows, items, 10) if not n)
         else:
-            assert docs.groupBy("doc_id").agg((F.count("*") <= 2).alias("ok"), (F.max("taken") <= 2 * F.max("size")).alias("cap")).filter("not (ok and cap)").count() == 0
+            assert docs.groupBy("doc_id").agg((F.count("*") <= 2).alias("ok"), (F.sum("words") == F.max("taken")).alias("sum"), (F.max("taken") <= 2 * F.max("size")).alias("cap")).filter("not (ok and sum and cap)").count() == 0
 
 
 @pytest.mark.parametrize("tag", ["<svg class=icon/>", "<math/>", "<video src=a>", "<audio>", "<object data=a>", "<canvas>", "<select>", "<button>", "<template>", "<noscript>"])
