@@ -6,7 +6,9 @@ by kind of child. Both are trained on labelled pages. Sum-product messages run u
 parent), then downward, and give each node's exact content marginal; a node's own text is kept if that is over 1/2.
 
 Defined cases: a null or empty page gives the empty text; whatever stands in head, script, style and
-the like is no text; unclosed and crossing tags are mended as they come; repeated rows give a row each;
+the like is no text; unclosed and crossing tags are mended as they come; a comment, tag or raw element that never ends takes the
+rest of the page, a quote that never ends is taken as ended by the next >, and any other opaque element without an end holds nothing; repeated
+rows give a row each; very long pages are read whole, in time that grows with their length, well-formed or not;
 other columns may have any name and are carried only if asked for.
 """
 
@@ -26,8 +28,10 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from . import html_pages
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+#: A tag as far as it goes: quotes count only after an equals sign. Possessive, so that a failed match is not tried again.
+TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])))*+)""")
+COMMENT_END = re.compile(r"--!?>")
+ATTRIBUTE = re.compile(r"""([^\s=/"'>]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
 #: Fixed sets of element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 OPAQUE = frozenset("script style title textarea noscript template iframe svg math select button head object canvas audio video noframes xmp".split())
@@ -39,6 +43,7 @@ CLOSES_P = frozenset("address article aside blockquote center details dialog dir
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 FENCES = frozenset("ul ol dl table tbody thead tfoot tr".split())
 CONTROLS = frozenset("input select textarea button label".split())
+ASIDE = frozenset("nav header footer aside form ins menu".split())
 NAMED = ("nav", "header", "footer", "aside", "form", "article", "main", "section", "p", "h1", "h2", "h3", "h4", "li", "ul", "ol", "td", "tr", "table", "div", "blockquote", "pre", "figure", "figcaption", "body", "html", "ins", "fieldset")
 WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 KIND_OF_NAME = {w: kind for kind, names in html_pages.CLASSES.items() if kind != "plain" for name in names for w in name.split("-")}
@@ -46,7 +51,8 @@ for _w in ("site", "box", "top", "body", "bar", "list", "main", "text", "bottom"
     KIND_OF_NAME.pop(_w, None)
 KIND_OF_NAME |= {"post": "content", "body": "content", "text": "content", "main": "content", "banner": "advert", "hidden": "notice", "complementary": "sidebar", "navigation": "menu", "contentinfo": "footer"}
 KINDS = tuple(sorted(set(KIND_OF_NAME.values())))
-FEATURES = tuple(f"tag {t}" for t in NAMED) + tuple(f"name {k}" for k in KINDS) + tuple(f"above {k}" for k in KINDS) + ("other tag", "bias", "links some", "links most", "no text", "short", "long", "controls", "mark ©", "holds paragraphs", "leaf")
+RAW_END = {t: re.compile(rf"</{t}[\s/>]", re.I) for t in RAW}
+FEATURES = tuple(f"tag {t}" for t in NAMED) + tuple(f"name {k}" for k in KINDS) + tuple(f"above {k}" for k in KINDS) + ("other tag", "bias", "links some", "links most", "no text", "short", "long", "controls", "mark ©", "holds paragraphs", "direct paragraphs", "own text", "plain page", "leaf")
 INDEX = {f: i for i, f in enumerate(FEATURES)}
 
 
@@ -61,136 +67,186 @@ class Node:
     size: int = 0
     linked: int = 0
     paragraphs: int = 0
+    direct: int = 0
     children: int = 0
 
 
-def opaque_end(page: str, tag: str, at: int, around: set[str]) -> int:
-    """Where the content of an opaque element that starts at ``at`` ends. Raw text without an end tag takes the rest of the page; any other
-    element without one of its own, before an element around it ends, holds nothing."""
-    end = re.compile(rf"</{re.escape(tag)}\s*>", re.I)
-    found = end.search(page, at)
-    if tag in RAW:
-        return found.end() if found else len(page)
-    if not found:
-        return at
-    start, inside = at, {tag: 1}
-    while m := TOKEN.search(page, at):
-        at = m.end()
-        name = m[2] and m[2].lower()
-        if not name:
-            continue
-        if m[1]:
-            if inside.get(name):
-                inside[name] -= 1
-                if name == tag and not inside[name]:
-                    return at
-            elif name in around:
+def tokens(page: str) -> list:
+    """Texts (str) and tags (closing, name, attributes) in page order; raw elements are start tags alone. Linear in the page: whatever fails to match is passed over whole."""
+    out: list = []
+    at, n = 0, len(page)
+    while at < n:
+        here = page.find("<", at)
+        if here < 0:
+            out.append(page[at:])
+            break
+        if here > at:
+            out.append(page[at:here])
+        m = TAG.match(page, here)
+        if m:
+            at = m.end()
+            if at < n and page[at] != ">":  # an equals sign before a quote that never ends
+                at = page.find(">", at)
+            if not 0 <= at < n:
                 break
-        elif name in RAW:
-            at = opaque_end(page, name, at, around)
-        elif name not in VOID and not m[3].endswith("/"):
-            inside[name] = inside.get(name, 0) + 1
-    return start
+            name = m[2].lower()
+            out.append((bool(m[1]), name, page[m.start(3) : at]))
+            at += 1
+            if name in RAW and not m[1]:
+                end = RAW_END[name].search(page, at)
+                close = page.find(">", end.end() - 1) if end else -1
+                at = close + 1 if close >= 0 else n
+        elif page.startswith("<!--", here):
+            if page.startswith((">", "->"), here + 4):
+                at = page.index(">", here) + 1
+            else:
+                end = COMMENT_END.search(page, here + 4)
+                at = end.end() if end else n
+        elif page.startswith(("<!", "<?", "</"), here) and here + 2 < n:
+            close = page.find(">", here)
+            at = close + 1 if close >= 0 else n
+        else:
+            out.append("<")
+            at = here + 1
+    return out
+
+
+class Stack:
+    """Open elements, with the depths of each name and of all blocks at hand, so that no end tag searches."""
+
+    def __init__(self) -> None:
+        self.open: list[tuple[str, int, bool]] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, name: str, value: int, block: bool) -> None:
+        self.places.setdefault(name, []).append(len(self.open))
+        if block:
+            self.blocks.append(len(self.open))
+        self.open.append((name, value, block))
+
+    def pop(self) -> tuple[str, int, bool]:
+        out = self.open.pop()
+        self.places[out[0]].pop()
+        if out[2]:
+            self.blocks.pop()
+        return out
+
+    def depth(self, name: str) -> int:
+        """The depth of the latest open element of that name, or -1."""
+        held = self.places.get(name)
+        return held[-1] if held else -1
+
+    def ended_by(self, name: str) -> int:
+        """The depth of what an end tag ends, or -1: an inline end tag does not reach over a block."""
+        d = self.depth(name)
+        return d if d >= 0 and (self.open[d][2] or not self.blocks or self.blocks[-1] < d) else -1
+
+
+def opaque_ends(parts: list) -> dict[int, int]:
+    """For each opaque element with an end tag of its own, before an element around it ends: the places of its tags."""
+    out, stack = {}, Stack()
+    for i, part in enumerate(parts):
+        if type(part) is str:
+            continue
+        closing, name, attributes = part
+        if closing:
+            d = stack.ended_by(name)
+            if d >= 0:
+                if name in OPAQUE:
+                    out[stack.open[d][1]] = i
+                while len(stack.open) > d:
+                    stack.pop()
+        elif name not in VOID and name not in RAW and not (name in FOREIGN and attributes.endswith("/")):
+            stack.push(name, i, name not in INLINE)
+    return out
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """Block nodes in document order (parents first), and the text blocks in page order with their nodes."""
-    nodes = [Node("html", -1, "")]
-    stack: list[tuple[str, int]] = [("html", 0)]
+    parts = tokens(page)
+    ends = opaque_ends(parts)
+    nodes, stack = [Node("html", -1, "")], Stack()
+    stack.push("html", 0, True)
     blocks: list[tuple[int, str]] = []
     held: list[str] = []
-    links, at, n = 0, 0, len(page)
+    links = 0
 
     def flush() -> None:
         if held:
             text = " ".join(entities.unescape("".join(held)).split())
             held.clear()
             if text:
-                blocks.append((stack[-1][1], text))
-                node = nodes[stack[-1][1]]
-                node.size += len(text)
+                at = stack.open[-1][1]
+                blocks.append((at, text))
+                nodes[at].size += len(text)
 
     def leave(depth: int) -> None:
         nonlocal links
-        while len(stack) > depth:
-            tag, _ = stack[-1]
-            if tag not in INLINE:
+        while len(stack.open) > depth:
+            tag, _, block = stack.open[-1]
+            if block:
                 flush()
             elif tag == "a":
                 links -= 1
             stack.pop()
 
-    def hear(text: str) -> None:
-        held.append(text)
-        if links and not text.isspace():
-            nodes[stack[-1][1]].linked += len(text)
-
-    while at < n:
-        m = TOKEN.search(page, at)
-        if m is None:
-            hear(page[at:])
-            break
-        if m.start() > at:
-            hear(page[at : m.start()])
-        at = m.end()
-        tag = m[2]
-        if tag is None:
+    skip = -1
+    for i, part in enumerate(parts):
+        if i <= skip:
             continue
-        tag = tag.lower()
-        if m[1]:
-            for d in range(len(stack) - 1, 0, -1):
-                if stack[d][0] == tag:
-                    leave(d)
-                    break
-                if tag in INLINE and stack[d][0] not in INLINE:
-                    break
+        if type(part) is str:
+            held.append(part)
+            if links and not part.isspace():
+                nodes[stack.open[-1][1]].linked += len(part)
+            continue
+        closing, tag, attributes = part
+        if closing:
+            d = stack.ended_by(tag)
+            if d > 0:
+                leave(d)
+            elif tag == "br":
+                held.append(" ")
+            elif tag == "p":  # an empty paragraph
+                flush()
             continue
         if tag in OPAQUE:
             if tag in CONTROLS:
-                nodes[stack[-1][1]].controls += 1
-            if tag in RAW or not (tag in FOREIGN and m[3].endswith("/")):
-                at = opaque_end(page, tag, at, {t for t, _ in stack})
-            if tag not in ("noscript",):
+                nodes[stack.open[-1][1]].controls += 1
+            skip = ends.get(i, -1)
+            if tag != "noscript":
                 held.append(" ")
             continue
         if tag == "html":
-            nodes[0].label = int('data-y="1"' in m[3])
+            nodes[0].label = int('data-y="1"' in attributes)
             continue
-        if tag in INLINE or tag in VOID:
+        if tag in VOID:
             if tag == "br" or tag == "hr":
                 held.append(" ")
             if tag in CONTROLS:
-                nodes[stack[-1][1]].controls += 1
+                nodes[stack.open[-1][1]].controls += 1
             if tag == "hr":
-                leave(len(stack))
                 flush()
-            if tag not in VOID:
-                if tag == "ins" and m[3].strip():
-                    pass
-                else:
-                    links += tag == "a"
-                    stack.append((tag, stack[-1][1]))
-                    continue
-            else:
-                continue
-        closes = ("p",) if tag in CLOSES_P else ()
-        closes += SIBLINGS.get(tag, ())
-        for d in range(len(stack) - 1, 0, -1):
-            if stack[d][0] in closes:
+            continue
+        if tag in INLINE and not (tag == "ins" and attributes.strip()):
+            links += tag == "a"
+            stack.push(tag, stack.open[-1][1], False)
+            continue
+        closes = SIBLINGS.get(tag, ())
+        if closes:
+            fence = max(stack.depth(t) for t in FENCES if t not in closes)
+            while (d := max(map(stack.depth, closes))) > fence:
                 leave(d)
-            elif stack[d][0] in FENCES and tag in SIBLINGS and not (tag == "tr" and stack[d][0] == "tr"):
-                break
-            elif stack[d][0] not in INLINE and not closes:
-                break
-            elif stack[d][0] not in INLINE and stack[d][0] not in closes and tag not in SIBLINGS:
-                break
+        if tag in CLOSES_P and (d := stack.depth("p")) > 0 and stack.blocks[-1] == d:
+            leave(d)
         flush()
-        given = {a.lower(): b or c or d for a, b, c, d in ATTRIBUTE.findall(m[3])} if m[3] else {}
+        given = {a.lower(): b or c or d for a, b, c, d in reversed(ATTRIBUTE.findall(attributes))} if attributes else {}
         names = " ".join(given.get(k, "") for k in ("class", "id", "role")) + (" hidden" if "hidden" in given or given.get("aria-hidden") == "true" else "")
-        parent = stack[-1][1]
+        parent = stack.open[-1][1]
         nodes[parent].children += 1
+        nodes[parent].direct += tag == "p"
         nodes.append(Node(tag, parent, names, int(given.get("data-y") == "1")))
-        stack.append((tag, len(nodes) - 1))
+        stack.push(tag, len(nodes) - 1, True)
     leave(1)
     flush()
     return nodes, blocks
@@ -209,6 +265,8 @@ def features(nodes: list[Node], blocks: list[tuple[int, str]]) -> list[list[int]
         controls[p] += controls[i]
         paragraphs[p] += paragraphs[i] + (nodes[i].tag == "p")
     out, above = [], []
+    # nothing on the page is linked, named as anything but content, or of an element made for something else
+    plain = not linked[0] and not controls[0] and not any(x.tag in ASIDE or (x.names and any(KIND_OF_NAME.get(w, "content") != "content" for w in WORDS.findall(x.names))) for x in nodes)
     for i, x in enumerate(nodes):
         own = {KIND_OF_NAME[w] for w in WORDS.findall(x.names) if w in KIND_OF_NAME} if x.names else set()
         inherited = above[x.parent] if x.parent >= 0 else frozenset()
@@ -225,6 +283,12 @@ def features(nodes: list[Node], blocks: list[tuple[int, str]]) -> list[list[int]
             f.append(INDEX["mark ©"])
         if paragraphs[i] > 1:
             f.append(INDEX["holds paragraphs"])
+        if x.direct > 1:
+            f.append(INDEX["direct paragraphs"])
+        if x.size > 80:
+            f.append(INDEX["own text"])
+        if plain:
+            f.append(INDEX["plain page"])
         if not x.children:
             f.append(INDEX["leaf"])
         out.append(f)
@@ -242,7 +306,7 @@ def edge_kind(tag: str) -> str:
     return tag if tag in ("p", "li", "div", "section", "article", "main", "aside", "nav", "form", "header", "footer", "ul", "h1", "td") else "other"
 
 
-def train(pages: list[str], rounds: int = 160, rate: float = 1.5) -> Model:
+def train(pages: list[str], rounds: int = 250, rate: float = 1.5) -> Model:
     rows, labels, counts, root = [], [], {}, [1.0, 1.0]
     for page in pages:
         nodes, blocks = parse(page)
