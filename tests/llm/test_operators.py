@@ -485,11 +485,48 @@ def neighbours(df, **more):
     return got
 
 
+def recall(v, got, k=10):
+    hit = 0
+    for q, found in got.items():
+        s = v @ v[q]
+        s[q] = -np.inf
+        hit += len(found & set(np.argsort(-s)[:k].tolist()))
+    return hit / k / len(got)
+
+
 def test_forest_shards_hide_nothing(directions):
     """A query ascends over the edges of its shards: 30 shards a tree and more give what one gives."""
     v, df = directions
-    one, many = neighbours(df, floor=0), neighbours(df, floor=0, shard=128)
-    assert one == many and len(one) == 40
+    one, many = neighbours(df, candidates=6000), neighbours(df, candidates=6000, shard=128 * 24)
+    assert one == many and len(one) == 40 and recall(v, one) < 1
+
+
+def test_forest_reach_follows_the_data(directions, spark):
+    """Directions without structure need about as many candidates as there are vectors; clusters need a fraction."""
+    v, df = directions
+    assert recall(v, neighbours(df)) >= 0.9
+    r = np.random.default_rng(5)
+    c = np.repeat(r.standard_normal((100, 24)), 40, 0) + 0.25 * r.standard_normal((4000, 24))
+    c = c.astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(c)], "id long, v array<float>")
+    assert recall(c, neighbours(df)) >= 0.9 and recall(c, neighbours(df, candidates=1000)) >= 0.9  # 16 trees together: a quarter of the vectors
+
+
+def test_forest_splits_a_prefix_that_is_too_full(spark):
+    """One direction holds most vectors: its prefix can't be cut, so it is dealt to several shards."""
+    r = np.random.default_rng(6)
+    v = np.concatenate((np.ones((900, 8)) + 1e-4 * r.standard_normal((900, 8)), r.standard_normal((300, 8)))).astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, x.tolist(), "a", 1) for i, x in enumerate(v)], "id long, v array<float>, entry string, codes int")
+    assert recall(v, neighbours(df, shard=64 * 8)) >= 0.9
+    assert neighbours(df, candidates=400, shard=64 * 8) == neighbours(df, candidates=400)
+
+
+def test_forest_takes_integers_and_ties_as_they_are(spark):
+    """Exactly equal products of different vectors: the smaller ids."""
+    rows = [(i, [float(i % 5), 1.0, float(i // 5 % 5)]) for i in range(200)]
+    got = prefix_forest.nearest(spark.createDataFrame(rows, "id long, v array<double>"), F.col("id") == 44, k=20, candidates=1 << 40).orderBy("rank").collect()
+    want = sorted(((-sum(a * b for a, b in zip(rows[44][1], x)), i) for i, x in rows if i != 44))[:20]
+    assert [(-x.score, x.id) for x in got] == want
 
 
 # HTML
