@@ -1,7 +1,7 @@
 """Connected components of an undirected graph, by alternating large-star and small-star steps.
 
-Every step is an aggregation with map-side combine and an equi-join, so a centre with very many
-neighbours is not gathered in one task; nothing but two numbers for the test of convergence
+Every step is an aggregation with map-side combine and an equi-join, in which the edges of a centre with over a thousandth of all
+edges stay where they are (the few such centres are broadcast), so none is gathered in one task; nothing but two numbers for the test of convergence
 goes to the driver. Each step is checkpointed.
 """
 
@@ -18,16 +18,16 @@ def _mark(edges: DataFrame) -> tuple:
     return r.n, r.x
 
 
-def _large(edges: DataFrame) -> DataFrame:
+def _large(edges: DataFrame, n: int) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    return T.join_counted(both.filter("v > u"), least, "u", 2 * n).select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
 
 
-def _small(edges: DataFrame) -> DataFrame:
+def _small(edges: DataFrame, n: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    moved = T.join_counted(down, least, "u", n).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
@@ -36,7 +36,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = T.checkpoint(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before, mark = None, _mark(now)
     while mark != before and mark[0]:
-        before, now = mark, T.checkpoint(_small(_large(now)))
+        before, now = mark, T.checkpoint(_small(_large(now, mark[0]), mark[0]))
         mark = _mark(now)
     return now.select("u", F.col("v").alias("component"))
 

@@ -17,15 +17,26 @@ KEY = "_row_key"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; only where none is set (tests on one machine) a temporary folder is."""
+    """The session's spark.checkpoint.dir; only where none is set and the master is this machine (tests) a temporary folder is."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        import tempfile
-
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallymark-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not folder:
+            import tempfile
+
+            folder = tempfile.mkdtemp(prefix="tallymark-")
+        context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    """Removes a folder of any file system that the session can write."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Written to the shared checkpoint folder, so that lost executors lose nothing."""
     shared_folder(df.sparkSession)
@@ -48,6 +59,15 @@ def size_in_bytes(df: DataFrame) -> int:
     return sum(x for x in sizes if x < 1 << 55)
 
 
+def join_counted(rows: DataFrame, table: DataFrame, key: str, total: int, share: int = 1000) -> DataFrame:
+    """rows joined with a table of one row for each ``key`` and ``n``, its number of rows (``total`` in all): the rows of a key that holds over 1 / share of
+    all stay where they are. Such keys are under ``share``, so they are broadcast; all other keys are met by a shuffle."""
+    rest = [c for c in table.columns if c not in (key, "n")]
+    hot = F.col("n") * share > total
+    near = rows.join(F.broadcast(table.filter(hot).select(key, F.struct(*rest).alias("_hot"))), key, "left")
+    return near.filter("_hot IS NOT NULL").select(*rows.columns, "_hot.*").unionByName(near.filter("_hot IS NULL").drop("_hot").join(table.filter(~hot).drop("n"), key).select(*rows.columns, *rest))
+
+
 def union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
