@@ -228,17 +228,17 @@ def clustered(documents: DataFrame, k: int = 5, percent: int = 80, parts: int |
     clusters = C.labels(index.repartition(parts, "key").mapInArrow(_forests, "u long, v long"))
     clusters = T.checkpoint(clusters.withColumnsRenamed({"u": "node", "component": "cluster"}))
     T.release(spark)
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / GRID).cast("int").alias("blocks"))
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / GRID).cast("int").alias("blocks"), F.count("*").alias("n"))
     block = F.pmod(F.xxhash64("node"), "blocks").cast("int")
-    placed = clusters.join(sizes, "cluster").withColumn("block", block).join(nodes.select("node", "rk"), "node")
+    placed = T.join_counted(clusters, sizes, "cluster", clusters.count()).withColumn("block", block).join(nodes.select("node", "rk"), "node")
     texts = keyed.select("rk", "text").join(placed, "rk")
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
     tasks = texts.select("node", "text", F.explode(F.transform(others, lambda o: F.xxhash64("cluster", F.least("block", o), F.greatest("block", o)))).alias("task"))
     links = tasks.repartition(parts, "task").mapInArrow(_verify(k, percent), "u long, v long")
     found = C.labels(links).withColumnsRenamed({"u": "node"})
-    joined = nodes.select("node", "least").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_node = joined.join(least, "component").select("node", "component", "component_id")
+    joined = T.checkpoint(nodes.select("node", "least").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    least = joined.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
+    of_node = T.join_counted(joined, least, "component", joined.count()).select("node", "component", "component_id")
     return signed.drop("symbols").join(of_node, "node", "left").select("rk", "doc_id", "n_shingles", "component", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
@@ -252,9 +252,9 @@ def keep_one(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     rows = clustered(documents, k, percent).filter("component is not null")
     each = rows.groupBy("rk").agg(F.first("component").alias("component"), F.first("doc_id").alias("doc_id"), F.count("*").alias("n"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rk"))
-    chosen = each.groupBy("component").agg(first.alias("first"), F.sum("n").alias("rows")).filter("rows > 1")
-    kept = (F.col("rk") == F.col("first.rk")).alias("kept")
-    marked = T.checkpoint(each.join(chosen, "component").filter("rk <> first.rk OR n > 1").select(F.col("rk").alias(T.KEY), kept))
+    # firsts and others meet by their own keys, never by their component
+    chosen = each.groupBy("component").agg(first.alias("first")).select(F.col("first.rk").alias("rk"), F.lit(True).alias("kept"))
+    marked = T.checkpoint(each.join(chosen, "rk", "left").filter("kept IS NULL OR n > 1").select(F.col("rk").alias(T.KEY), F.col("kept").isNotNull().alias("kept")))
     keyed = documents.withColumn(T.KEY, T.row_key(["doc_id", "text"]))
     others = keyed.join(marked.select(T.KEY), T.KEY, "left_anti").drop(T.KEY)
     # rows that repeat doc_id and text: one of them
