@@ -47,8 +47,8 @@ def anchors(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray,
     if n < length:
         return none, none, none, none, none.astype(np.uint64)
     h = A.window_hashes(A.byte_prefix(data), GRAM)
-    bits = max(1, int(n).bit_length())
-    low = np.uint64((1 << bits) - 1)
+    # the upper half of the hash, then the place: equal windows have equal anchors wherever they stand, ties going to the earlier place
+    low = np.uint64(0xFFFFFFFF)
     v = h & ~low
     v |= np.arange(len(h), dtype=np.uint64)
     step = 1
@@ -68,8 +68,9 @@ def anchors(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray,
 def copies(docs: DataFrame) -> DataFrame:
     """rk of the documents whose whole text (not empty) an earlier document has."""
     d = docs.select("rk", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("o"), F.xxhash64("text").alias("t"), F.sha2(F.col("text").cast("binary"), 256).alias("s")).filter("s IS NOT NULL")
-    first = d.groupBy("t", "s").agg(F.min(F.struct("o", "rk")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    return d.join(first.drop("n"), ["t", "s"]).filter("rk <> first.rk").select("rk").distinct()
+    # the first of each text and all others meet by their own keys, so the copies of one text are spread
+    first = d.groupBy("t", "s").agg(F.min(F.struct("o", "rk")).alias("first")).select(F.col("first.rk").alias("rk"))
+    return d.select("rk").join(first, "rk", "left_anti").distinct()
 
 
 def _owned_copies(parts: int):
