@@ -3,8 +3,8 @@
 Training counts n-grams of 1 to ``orders`` code points (A-Z lower-cased), hashed into
 ``1 << bits`` buckets, of a bounded sample of labelled rows: of each language all rows if it
 has at most ``per_lang``, else those whose key hash falls under per_lang / rows of the
-language (so about per_lang). The log-probability matrix (buckets x languages) is broadcast; its size is
-bounded by the number of languages, which may be ``MAX_LANGS`` at most. Scoring reads whole
+language (so about per_lang). Of a column with very many labels the ``max_langs`` most frequent ones are learned (ties: those that
+sort first), which bounds the log-probability matrix (buckets x languages) that is broadcast. Scoring reads whole
 texts: each n-gram gathers a row of the matrix, and rows are summed for each document.
 
 Defined cases: a text that is null or holds no letter is ``und`` with score 0; so is every
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from . import arrays as A
 
 UNKNOWN = "und"
-MAX_LANGS = 1000
+#: Labels that a model learns at most: 64 MiB of log probabilities.
+MAX_LANGS = 256
 
 
 @dataclass(frozen=True)
@@ -65,11 +66,9 @@ def buckets(points: np.ndarray, offsets: np.ndarray, order: int, bits: int) -> n
     return out
 
 
-def train(labelled: DataFrame, per_lang: int = 5000, orders: int = 3, bits: int = 16, alpha: float = 0.5) -> Model:
+def train(labelled: DataFrame, per_lang: int = 5000, orders: int = 3, bits: int = 16, alpha: float = 0.5, max_langs: int = MAX_LANGS) -> Model:
     """labelled: doc_id, text, lang (not null)."""
-    rows = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGS + 1).collect()}
-    if len(rows) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
+    rows = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()}
     langs = tuple(sorted(rows))
     if not langs:
         return Model((), np.zeros(0), np.zeros((0, (1 << bits) + 1), np.float32), orders, bits)
