@@ -3,8 +3,8 @@
 The benchmark's windows (``length`` consecutive words; a shorter item is one window) are a small
 table, broadcast if a count of its words proves it small, else joined by shuffle. Documents are not
 joined window by window: a document is cut into consecutive blocks of s words, and any window of
-2s-1 or 2s words that occurs in it covers one block. So only blocks (an s-th of the words) are looked
-up among the windows' own s-grams; around the few that hit, the windows are built, and verified by a
+2s-1 or 2s words that occurs in it covers one block and lies within its two neighbours. So only blocks (an s-th of the words) are looked
+up among the windows' own s-grams, each with its neighbours and never with its whole text; around the few that hit, the windows are built, and verified by a
 join on their whole text. One pass over the documents is made for each s in use (one, if every item has
 2s-1 words or more).
 
@@ -25,6 +25,8 @@ _TO = "".join(c.lower() if c.isupper() else " " for c in _FROM)
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # words as they are before A-Z is lower-cased
 #: Largest benchmark, in words, whose windows are broadcast: about 100 bytes a window.
 BROADCAST_WORDS = 500_000
+#: Most keys of hit documents that are broadcast.
+BROADCAST_KEYS = 1_000_000
 
 
 def normalised(text: Column) -> Column:
@@ -51,10 +53,10 @@ def _grams(found: DataFrame, s: int) -> DataFrame:
 
 
 def _around(m: int, s: int) -> Column:
-    """The runs of m words that cover the block of s words at word ``at``."""
+    """The runs of m words that cover the block of s words; ``w``: its words and its neighbours', ``ahead``: how many of them stand before it, ``at``: its first word's place."""
     return F.transform(
-        F.sequence(F.greatest(F.lit(0), F.col("at") - (m - s)), F.col("at")),
-        lambda i: F.struct(i.alias("first"), F.array_join(F.slice(F.col("w"), i + 1, m), " ").alias("window")),
+        F.sequence(F.greatest(F.lit(0), F.col("ahead") - (m - s)), F.col("ahead")),
+        lambda i: F.struct((F.col("at") - F.col("ahead") + i).alias("first"), F.array_join(F.slice(F.col("w"), i + 1, m), " ").alias("window")),
     )
 
 
@@ -69,8 +71,11 @@ def occurrences(documents: DataFrame, benchmark: DataFrame, length: int = 10) ->
     for s in sorted({(m + 1) // 2 for m in lengths}):
         own = [m for m in lengths if (m + 1) // 2 == s]
         grams = _grams(found.filter(F.col("m").isin(own)), s)
-        block = docs.select("rk", "norm", F.posexplode(F.regexp_extract_all(F.concat("norm", F.lit(" ")), F.lit(f"(?:[^ ]++ ){{{s}}}"), F.lit(0))).alias("b", "block"))
-        hit = block.join(near(grams), "block", "left_semi").select("rk", (F.col("b") * s).alias("at"), F.split("norm", " ").alias("w"))
+        cut = docs.select("rk", F.regexp_extract_all(F.concat("norm", F.lit(" ")), F.lit(f"(?:[^ ]++ ){{1,{s}}}"), F.lit(0)).alias("blocks"))
+        none = F.array(F.lit(""))
+        three = F.arrays_zip(F.col("blocks").alias("block"), F.concat(none, "blocks").alias("before"), F.concat(F.slice("blocks", 2, F.greatest(F.size("blocks"), F.lit(1))), none).alias("after"))
+        block = cut.select("rk", F.posexplode(three).alias("b", "x")).select("rk", "b", "x.block", "x.before", "x.after").filter("block IS NOT NULL")
+        hit = block.join(near(grams), "block", "left_semi").select("rk", (F.col("b") * s).alias("at"), F.when(F.col("before") == "", 0).otherwise(s).alias("ahead"), F.split(F.rtrim(F.concat("before", "block", "after")), " ").alias("w"))
         out.append(hit.select("rk", F.explode(F.concat(*(_around(m, s) for m in own))).alias("x")).select("rk", "x.first", "x.window"))
     if not out:
         return docs.select("rk").filter("false").select("rk", F.lit(0).alias("first"), F.lit(0).alias("m"), F.array(F.lit("")).alias("items"))
@@ -109,7 +114,9 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, length: int = 10,
     hits = contamination(documents.select(T.row_key(["doc_id", "text"]).alias("rk"), "text"), benchmark, length).withColumnRenamed("rk", T.KEY)
     keyed = documents.withColumn(T.KEY, T.row_key(["doc_id", "text"]))
     if remove == "documents":
-        return keyed.join(hits, T.KEY, "left_anti").drop(T.KEY)
+        found = T.checkpoint(hits.select(T.KEY))
+        # a key is 8 bytes: the corpus is shuffled only if very many documents are hit
+        return keyed.join(F.broadcast(found) if found.count() <= BROADCAST_KEYS else found, T.KEY, "left_anti").drop(T.KEY)
     joined = keyed.join(hits.select(T.KEY, F.col("spans").alias("_spans")), T.KEY, "left")
     rest = F.array_join(F.filter(F.split(normalised(F.col("text")), " "), lambda w, i: ~F.exists("_spans", lambda s: (s["first"] <= i) & (i < s["end"]))), " ")
     return joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(rest)).select(*documents.columns)
