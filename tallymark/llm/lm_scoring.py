@@ -1,8 +1,8 @@
 """Language-model scoring: a unigram base score, and a probabilistic suffix tree over bytes.
 
-Tokens: counts of all training tokens (as 64-bit hashes) stay a distributed table. The most frequent
-tokens, ``HOT`` at most, are broadcast and scored in the pass over the texts; all other
-tokens meet their counts in a shuffle join, in which no key is hot any more.
+Tokens: counts of all tokens (as 64-bit hashes) stay a distributed table, with how often they stand in training texts. The most frequent
+tokens of all texts, ``HOT`` at most, are broadcast and scored in the pass over the texts; all other
+tokens meet their counts in a shuffle join, in which no key is hot any more, whichever texts held it.
 
 Suffix tree: next-byte counts are taken after each context of ``DEPTH`` bytes of all training texts (A-Z
 lower-cased; a text begins after NULs and ends with an end symbol) and summed up for its
@@ -87,15 +87,16 @@ def _counter(keys_of, name: str):
     return run
 
 
-def token_counts(training: DataFrame) -> DataFrame:
-    """h, c of all words (not the end) of the training texts."""
-    counted = training.select("text").mapInArrow(_counter(lambda data, at: A.word_hashes(data, at, A.NOT_SPACE, lower=True)[0], "h"), "h long, n long")
-    return counted.groupBy("h").agg(F.sum("n").alias("c"))
+def token_counts(training: DataFrame, held_out: DataFrame) -> DataFrame:
+    """h, c (in the training texts), a (in all) of all words (not the end)."""
+    words = _counter(lambda data, at: A.word_hashes(data, at, A.NOT_SPACE, lower=True)[0], "h")
+    sides = [texts.select("text").mapInArrow(words, "h long, n long").withColumn("c", c) for texts, c in ((training, F.col("n")), (held_out, F.lit(0).cast("long")))]
+    return T.union(sides).groupBy("h").agg(F.sum("c").alias("c"), F.sum("n").alias("a"))
 
 
 def frequent_tokens(counts: DataFrame, most: int) -> DataFrame:
-    """The tokens above a count that leaves at most ``most`` of them; the cut is found in a histogram of a few hundred classes."""
-    klass = F.floor(F.log2("c") * 16)
+    """The tokens above a count (in all texts) that leaves at most ``most`` of them; the cut is found in a histogram of a few hundred classes."""
+    klass = F.floor(F.log2("a") * 16)
     rows = {r.k: r.n for r in counts.groupBy(klass.alias("k")).agg(F.count("*").alias("n")).collect()}
     cut, total = max(rows, default=0) + 1, 0
     for k in sorted(rows, reverse=True):
@@ -295,8 +296,8 @@ def score(documents: DataFrame, held_out: Column, hot: int = HOT, most: int = SL
     """documents: doc_id, text -> doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     keyed = documents.select(T.row_key(["doc_id", "text"]).alias("rk"), "doc_id", held_out.alias("held_out"), "text")
     training = keyed.filter(~F.col("held_out")).select("text")
-    counts = T.checkpoint(token_counts(training))
-    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    counts = T.checkpoint(token_counts(training, keyed.filter("held_out").select("text")))
+    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
     ends = training.count()
     n, v = sums.n + ends, sums.v + (ends > 0)
     z = n + 0.5 * (v + 1)
@@ -305,12 +306,12 @@ def score(documents: DataFrame, held_out: Column, hot: int = HOT, most: int = SL
     order = np.argsort(keys)
     context = documents.sparkSession.sparkContext
     slices = [context.broadcast(tree) for tree in grow_slices(context_counts(training), context_counts(training, TOP), most=most)]
-    shared = context.broadcast((keys[order], np.log10((values[order] + 0.5) / z)))
+    shared = context.broadcast((keys[order], np.log10((values[order] + 0.5) / z), values[order] > 0))
     T.release(documents.sparkSession)
     end_score = float(np.log10((ends + 0.5) / z))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, logs = shared.value
+        keys, logs, trained = shared.value
         for batch in batches:
             known_places = _resolver(slices, batch.column("text"))
             for i, j, data, at in A.blocks(batch.column("text"), 1 << 20):
@@ -319,7 +320,7 @@ def score(documents: DataFrame, held_out: Column, hot: int = HOT, most: int = SL
                 place = np.minimum(np.searchsorted(keys, h), max(0, len(keys) - 1))
                 known = keys[place] == h if len(keys) else np.zeros(len(h), bool)
                 gained = np.concatenate(([0.0], np.cumsum(np.where(known, logs[place] if len(keys) else 0.0, 0.0))))
-                seen = np.concatenate(([0], np.cumsum(known)))
+                seen = np.concatenate(([0], np.cumsum(known & trained[place] if len(keys) else known)))
                 doc = np.repeat(np.arange(j - i), words)[~known]
                 cold = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=j - i)))).astype(np.int32)), pa.array(h[~known].view(np.int64)))
                 yield pa.RecordBatch.from_arrays([
@@ -329,13 +330,10 @@ def score(documents: DataFrame, held_out: Column, hot: int = HOT, most: int = SL
 
     more = StructType.fromDDL("n_tokens long, hot_known long, hot_score double, score double, cold array<long>")
     first = T.checkpoint(keyed.mapInArrow(run, StructType([keyed.schema[c] for c in ("rk", "doc_id", "held_out")] + more.fields)))
-    # a marker (null) for each row: repeated rows have one rk, and its sums are divided by their number
-    each = first.filter(F.size("cold") > 0).select("rk", F.explode(F.concat(F.array(F.lit(None).cast("long")), "cold")).alias("h"))
-    tokens = each.join(counts, "h", "left").groupBy("rk").agg(
-        F.sum(F.when(F.col("h").isNotNull(), F.log10((F.coalesce("c", F.lit(0)) + 0.5) / z)).otherwise(0.0)).alias("cold_score"),
-        F.count("c").alias("cold_known"),
-        F.count_if(F.col("h").isNull()).alias("times"),
-    )
+    scored = first.filter(F.size("cold") > 0).select("rk", F.explode("cold").alias("h")).join(counts.select("h", "c"), "h").select("rk", F.log10((F.col("c") + 0.5) / z).alias("s"), (F.col("c") > 0).cast("long").alias("k"), F.lit(0).alias("row"))
+    # repeated rows have one rk, whose sums are divided by their number; a row for each of them is counted beside the join
+    marks = first.filter(F.size("cold") > 0).select("rk", F.lit(0.0).alias("s"), F.lit(0).cast("long").alias("k"), F.lit(1).alias("row"))
+    tokens = scored.unionByName(marks).groupBy("rk").agg(F.sum("s").alias("cold_score"), F.sum("k").alias("cold_known"), F.sum("row").alias("times"))
     return first.drop("cold").join(tokens, "rk", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("hot_known") + F.coalesce(F.col("cold_known") / F.col("times"), F.lit(0)) + int(ends > 0)).cast("long").alias("n_known"),
