@@ -72,13 +72,13 @@ def running(sums: DataFrame, digits: int, step: int = 3) -> DataFrame:
     return both.select("_source", "_bucket", (F.col("_base") + F.col("_before")).alias("_base"))
 
 
-def curriculum(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, slopes: tuple[float, ...] = SLOPES, share: float = 1.5, repeat: int = 2, rows_per_bucket: int = 1024) -> DataFrame:
-    """documents: doc_id, text, source and more -> doc (a struct of all columns), size, source_size, target, taken, passes.
+def curriculum(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, slopes: tuple[float, ...] = SLOPES, share: float = 1.5, repeat: int = 2, rows_per_bucket: int = 1024, keep: list[str] | None = None) -> DataFrame:
+    """documents: doc_id, text, source and more -> doc (a struct of the columns of ``keep``, all if not given; only those are shuffled), size, source_size, target, taken, passes.
 
     passes: a struct<position, words> for each pass over the document that gives words, in training order."""
     digits = max(1, math.ceil(math.log(max(1, documents.count() / rows_per_bucket), 16)))
     place = F.sha2(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null "), F.sha2(F.coalesce("text", F.lit("")), 256))), 256)
-    rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("doc"), F.col("source").alias("_source"), size_of(F.col("text")).alias("size"), place.alias("_u")).withColumn("_bucket", F.substring("_u", 1, digits))
+    rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in keep or documents.columns)).alias("doc"), F.col("source").alias("_source"), size_of(F.col("text")).alias("size"), place.alias("_u")).withColumn("_bucket", F.substring("_u", 1, digits))
     sums = T.checkpoint(rows.groupBy("_source", "_bucket").agg(F.sum("size").alias("n")))
     goal = T.checkpoint(targets(sums.select(F.col("_source").alias("source"), F.col("n").alias("size")), weights, share, repeat)).withColumnRenamed("source", "_g")
     base = running(sums, digits).select(F.col("_source").alias("_s"), F.col("_bucket").alias("_b"), "_base")
@@ -96,7 +96,7 @@ def curriculum(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, slopes:
 def schedule(documents: DataFrame, **parameters) -> DataFrame:
     """A row for each document, range-sorted by the position of its first pass (those that give nothing last): doc_id, size, source_size, target,
     taken, n_passes, first_position, last_position."""
-    placed = curriculum(documents, **parameters)
+    placed = curriculum(documents, keep=["doc_id"], **parameters)
     at = lambda i: F.try_element_at("passes", F.lit(i))["position"]
     out = placed.select(F.col("doc")["doc_id"].alias("doc_id"), "size", "source_size", "target", "taken", F.size("passes").alias("n_passes"), at(1).alias("first_position"), at(-1).alias("last_position"))
     order = [F.col("first_position").asc_nulls_last(), F.col("doc_id").asc_nulls_last()]
