@@ -9,6 +9,9 @@
 3. In a shard equal strings are merged, then a suffix array (Larsson and Sadakane) with common prefixes (Kasai) over the rest
    gives the classes of equal windows, byte by byte, not by hash. All but the earliest window of each class (by doc_id, then place) are removed.
 
+An anchor that very many documents hold with different surroundings has a string for each. Such a group is never one suffix array: its windows are hashed, those that
+occur once are dropped, and the others go through suffix arrays of their own, in slices of whole hash classes.
+
 Whole copies of a document are found first, by its hash, and take no part. Copies of a string within a task are merged before
 they are sent: a passage that a third of the documents hold sends one string for each task.
 
@@ -34,7 +37,7 @@ from . import tables as T
 
 GRAM = 40
 BLOCK, FLUSH = 1 << 20, 12 << 20
-#: Strings that one suffix array takes, whole anchors only: about 100 bytes of memory for each of their bytes.
+#: Strings that one suffix array takes, at about 100 bytes of memory for each of their bytes. An anchor with more of them is cut up by window.
 AT_ONCE = 4000
 COPY = np.uint32(0xFFFFFFFF)  # as a place: the document is a whole copy of an earlier one
 _LAST = np.iinfo(np.int64).max
@@ -200,12 +203,41 @@ def removed_windows(h: np.ndarray, o: np.ndarray, rk: np.ndarray, first: np.ndar
     return np.concatenate(out_rk), np.concatenate(out_runs)
 
 
+def _cut_up(g: dict, x: np.ndarray, begins: np.ndarray, length: int, at_once: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """removed_windows of one anchor's strings (rows x of g), slice by slice: a window goes where all windows with its hash go."""
+    n = g["n"][x].astype(np.int64)
+    ends = np.cumsum(n)
+    h = np.empty(int(n.sum()), np.uint64)
+    for i in range(0, len(x), 16_384):
+        some = slice(i, i + 16_384)
+        sizes = n[some] + length - 1
+        text = g["text"][A.ranges(begins[x[some]], sizes)]
+        at = np.concatenate(([0], np.cumsum(sizes)))
+        h[ends[i] - n[i] : ends[min(i + 16_384, len(x)) - 1]] = A.window_hashes(A.byte_prefix(text), length)[A.window_rows(at, length)[0]]
+    order = np.argsort(h, kind="stable")
+    s = h[order]
+    edges = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1], [True])))
+    often = np.repeat(np.diff(edges) > 1, np.diff(edges))
+    order, s = order[often], s[often]
+    edges = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1], [True]))) if len(s) else np.zeros(1, np.int64)
+    a = 0
+    while a < len(s):
+        b = int(edges[max(np.searchsorted(edges, a + at_once, "right") - 1, np.searchsorted(edges, a, "right"))])
+        own = order[a:b]
+        row = np.searchsorted(ends, own, "right")
+        column = own - (ends[row] - n[row])
+        of = x[row]
+        one = np.ones(len(own), np.int64)
+        yield removed_windows(s[a:b], g["o"][of], g["rk"][of], g["first"][of].astype(np.int64) + column, one, g["text"][A.ranges(begins[of] + column, one * length)], length)
+        a = b
+
+
 def _row_keys(matrix: np.ndarray, n: np.ndarray) -> np.ndarray:
     wide = np.concatenate((matrix, n.astype(np.uint8)[:, None]), 1)
     return np.ascontiguousarray(wide).view(np.dtype((np.void, wide.shape[1]))).ravel()
 
 
-def _shard(length: int, parts: int):
+def _shard(length: int, parts: int, at_once: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = {"h": np.uint64, "o": np.int64, "rk": np.int64, "first": np.uint32, "n": np.uint8, "text": np.uint8}
         of: dict[int, list[dict]] = {}
@@ -227,16 +259,21 @@ def _shard(length: int, parts: int):
             edges = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1], [True])))
             found, a = [], 0
             while a < len(h):
-                b = int(edges[max(np.searchsorted(edges, a + AT_ONCE, "right") - 1, np.searchsorted(edges, a, "right"))])
+                b = int(edges[max(np.searchsorted(edges, a + at_once, "right") - 1, np.searchsorted(edges, a, "right"))])
                 x = order[a:b]
+                if b - a > at_once:
+                    found += _cut_up(g, x, begins, length, at_once)
+                    a = b
+                    continue
                 found.append(removed_windows(g["h"][x], g["o"][x], g["rk"][x], g["first"][x].astype(np.int64), g["n"][x].astype(np.int64), g["text"][A.ranges(begins[x], sizes[x])], length))
                 a = b
-            yield from K.owned_rows(*(np.concatenate(x) for x in zip(*found, strict=True)), parts)
+            if found:
+                yield from K.owned_rows(*(np.concatenate(x) for x in zip(*found, strict=True)), parts)
 
     return run
 
 
-def strip_repeats(documents: DataFrame, length: int = 100, keep: tuple[str, ...] = ("doc_id",), parts: int | None = None) -> DataFrame:
+def strip_repeats(documents: DataFrame, length: int = 100, keep: tuple[str, ...] = ("doc_id",), parts: int | None = None, at_once: int = AT_ONCE) -> DataFrame:
     """The columns of ``keep``, n_bytes, n_removed, n_spans, kept (binary: the bytes that stay)."""
     spark = documents.sparkSession
     parts = parts or T.scale(spark, documents, 6 << 20)
@@ -246,7 +283,7 @@ def strip_repeats(documents: DataFrame, length: int = 100, keep: tuple[str, ...]
     T.release(spark)
     ordered = docs.select("rk", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("o"), "text")
     strings = S.with_places(ordered, hits.unionByName(same), parts, lambda rows, places: _strings(rows, places, length, parts), STRINGS)
-    found = T.checkpoint(strings.repartition(parts, "part").mapInArrow(_shard(length, parts), S.OWNED))
+    found = T.checkpoint(strings.repartition(parts, "part").mapInArrow(_shard(length, parts, at_once), S.OWNED))
     T.release(spark)
     marked = same.withColumn("copy", F.lit(True)).unionByName(found.withColumn("copy", F.lit(False)))
     rows = docs.select("rk", *(F.col(c) for c in keep), F.col("text").alias("_text"))
