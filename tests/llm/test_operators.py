@@ -151,8 +151,37 @@ def test_suffix_dedup_random(make):
     r = random.Random(8)
     pool = ["".join(r.choice("ab cé") for _ in range(400)) for _ in range(3)] + ["ab" * 200]
     rows = [(i, "".join(r.choice("xyz ") for _ in range(r.randrange(80))) + (p := r.choice(pool))[(a := r.randrange(200)) : a + r.randrange(200)] + "".join(r.choice("xyz ") for _ in range(r.randrange(60)))) for i in range(200)]
-    got = suffix_dedup.strip_repeats(make(rows), 100, parts=4).collect()
-    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == sorted(brute_bytes(rows, 100))
+    for at_once in (suffix_dedup.AT_ONCE, 2):
+        got = suffix_dedup.strip_repeats(make(rows), 100, parts=4, at_once=at_once).collect()
+        assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == sorted(brute_bytes(rows, 100))
+
+
+def test_a_hot_anchor_is_cut_up():
+    """50,000 strings around one line: memory by the window, not by the suffix array's bytes."""
+    r = np.random.default_rng(3)
+    line = r.integers(97, 123, 60, np.uint8)
+    n = 50_000
+    text = r.integers(97, 123, (n, 160), np.uint8)
+    text[:, 50:110] = line
+    text[7, :] = text[3, :]
+    text[11, 20:130] = text[5, 20:130]
+    g = {"h": np.zeros(n, np.uint64), "o": np.arange(n), "rk": np.arange(n), "first": np.zeros(n, np.uint32), "n": np.full(n, 61, np.uint8), "text": text.ravel()}
+    found = list(suffix_dedup._cut_up(g, np.arange(n), np.arange(n) * 160, 100, 4000))
+    rk, runs = (np.concatenate(x) for x in zip(*found))
+    gone = sorted((int(k), int(x >> 8) + i) for k, x in zip(rk, runs.astype(np.int64)) for i in range(int(x & 255)))
+    assert gone == [(7, c) for c in range(61)] + [(11, c) for c in range(20, 31)]
+
+
+def test_equal_windows_have_equal_anchors_in_any_block():
+    r = np.random.default_rng(4)
+    same = r.integers(97, 123, 300, np.uint8)
+    found = []
+    for before, after in ((0, 0), (1000, 5), (300_000, 200_000)):
+        data = np.concatenate((r.integers(97, 123, before, np.uint8), same, r.integers(97, 123, after, np.uint8)))
+        _, first, n, place, h = suffix_dedup.anchors(data, np.array([0, len(data)]), 100)
+        of = {int(f) + i - before: (int(p) - before, int(x)) for f, c, p, x in zip(first, n, place, h) for i in range(int(c))}
+        found.append([of[i] for i in range(201)])
+    assert found[0] == found[1] == found[2]
 
 
 def test_suffix_dedup_of_nothing(empty, make):
@@ -730,3 +759,86 @@ def test_pipeline_keeps_one_of_repeated_rows(spark, make):
     docs = c.drop_near_duplicates(spark, make(rows), "")
     left = c.drop_repeated_passages(spark, docs, "").collect()
     assert sorted(((x.doc_id, x.text) for x in left), key=repr) == sorted([(1, one), (2, two), (None, three), (4, four)], key=repr)
+
+
+def test_pipeline_on_odd_rows(spark, make, empty, folder, tmp_path):
+    """Nulls, repeated rows, equal texts, one id and text in two sources, white texts, a very long text; and no rows at all."""
+    import corpus_pipeline as p
+
+    rows = odd_rows() + [(20, "a text of its own that stands in two sources", "en", "a"), (20, "a text of its own that stands in two sources", "en", "c")]
+    for name, docs in (("odd", make(rows)), ("empty", empty)):
+        counts = []
+        for i, (_, stage) in enumerate(p.STAGES):
+            before = docs
+            stage(spark, docs, folder).write.parquet(str(tmp_path / f"{name}-{i}"))
+            docs = spark.read.parquet(str(tmp_path / f"{name}-{i}"))
+            assert i == 4 or docs.columns == before.columns
+            counts.append({(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()})
+        if name == "empty":
+            assert counts == [set()] * 5
+        else:
+            texts = {t for _, t in counts[4]}
+            base = rows[4][1]
+            assert not {1, 2, 3, 12} & {i for i, _ in counts[0]}  # without a letter
+            assert sum(t == base for _, t in counts[1]) == 1  # of all its copies and repeats one stays
+            assert " ".join(base.split()[50:]) in texts  # row 10 holds its first 50 words twice
+            assert rows[8][1] in texts and "a text of its own that stands in two sources" in texts
+
+
+def test_join_counted(spark):
+    """Hot keys by broadcast, the others by shuffle: the rows of a plain join."""
+    from tallymark.llm import tables
+
+    r = random.Random(5)
+    rows = [(7, i) for i in range(3000)] + [(r.randrange(2000), i) for i in range(3000)]
+    big = spark.createDataFrame(rows, "u long, v long")
+    small = big.groupBy("u").agg(F.max("v").alias("m"), F.count("*").alias("n")).filter("u % 5 <> 1")
+    got = sorted(map(tuple, tables.join_counted(big, small, "u", len(rows)).select("u", "v", "m").collect()))
+    most = collections.defaultdict(int)
+    for u, v in rows:
+        most[u] = max(most[u], v)
+    assert got == sorted((u, v, most[u]) for u, v in rows if u % 5 != 1)
+
+
+def test_language_id_brute_force(make):
+    """Scores by counting n-grams one by one, in plain Python."""
+    r = random.Random(3)
+    alphabets = {"aa": "abcdefg é", "bb": "fghijkl ü", "cc": "abjxyz Ж"}
+    rows = [(i, "".join(r.choice(alphabets[lang]) for _ in range(r.randrange(1, 60))), lang) for i in range(60) for lang in [r.choice("aa aa bb cc".split())]]
+    model = language_id.train(make(rows).select("doc_id", "text", "lang"), bits=10)
+    grams = lambda t: [int(language_id.buckets(np.array(list(map(ord, t.lower() if t.isascii() else "".join(c.lower() if c.isascii() else c for c in t))), np.uint32), np.array([0, len(t)]), k, 10)[i]) for k in (1, 2, 3) for i in range(len(t) - k + 1)]
+    counts = {lang: collections.Counter(b for _, t, of in rows if of == lang for b in grams(t)) for lang in alphabets}
+    seen = collections.Counter(lang for _, _, lang in rows)
+    got = {x.doc_id: (x.lang_pred, x.score) for x in language_id.predict(make(rows), model, ["doc_id"]).collect()}
+    for i, t, _ in rows:
+        if not any(c.isalpha() for c in t):
+            assert got[i] == ("und", 0.0)
+            continue
+        joint = {lang: math.log(seen[lang] / len(rows)) + sum(math.log((c[b] + 0.5) / (c.total() + 0.5 * 1024)) for b in grams(t)) for lang, c in counts.items()}
+        best = max(joint, key=lambda x: (joint[x], x))
+        assert got[i][0] == best and abs(got[i][1] - 1 / sum(math.exp(v - joint[best]) for v in joint.values())) < 1e-3
+
+
+def test_language_id_learns_the_most_frequent_labels(make):
+    rows = [(i, f"word number {i}", f"l{i // 3}") for i in range(30)] + [(100 + i, "eins zwei drei vier", "de") for i in range(9)]
+    model = language_id.train(make(rows).select("doc_id", "text", "lang"), max_langs=3)
+    assert model.langs == ("de", "l0", "l1")
+
+
+def test_tokens_frequent_in_held_out_texts_alone(make):
+    """They are hot by their count in all texts, and known in none."""
+    rows = [(i, "common words here", "en", "a") for i in range(40)] + [(100 + i, "unseen " * 30, "en", "a") for i in range(40)]
+    got = lm_scoring.score(make(rows), F.col("doc_id") >= 100, hot=1).collect()
+    held = [x.doc_id >= 100 for x in got]
+    want = brute_base([(i, t) for i, t, *_ in rows], [i >= 100 for i, *_ in rows])
+    assert any(held) and sorted((x.doc_id, x.n_tokens, x.n_known, x.train_tokens, round(x.base_score, 4)) for x in got) == sorted(want)
+
+
+def test_decontamination_of_a_long_hit_document(spark, make):
+    """Windows at the edges of blocks, at both ends, one after another, in a text of 50,000 words."""
+    r = random.Random(4)
+    w = words(r, 50_000, 30_000)
+    items = [(i, " ".join(w[a : a + n])) for i, (a, n) in enumerate([(0, 10), (49_990, 10), (7, 11), (12_345, 25), (20_000, 10), (20_010, 10), (30_001, 4), (49_997, 3)])]
+    docs = [(1, " ".join(w)), (2, " ".join(w[20_000:20_020])), (3, " ".join(w[5:14]))]
+    got = decontamination.report(make(docs), spark.createDataFrame(items, "item_id long, text string")).select("doc_id", "n_words", "n_hit", "items").collect()
+    assert sorted(map(tuple, got)) == brute_hits(docs, items, 10)
