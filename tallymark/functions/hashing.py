@@ -33,11 +33,16 @@ def json_object(**fields: Column) -> Column:
 
 
 def json_multiset(pairs: Column) -> Column:
-    """array<struct<value,n>> -> [["value",n],...], sorted by value. Values are hex or keys that need no escape."""
-    each = F.transform(F.array_sort(pairs), lambda x: F.concat(F.lit('["'), x["value"], F.lit('",'), x["n"].cast("string"), F.lit("]")))
+    """array<struct<value,n>> -> [["value",n],...], sorted by value. Values are hex or ASCII keys, in which a NUL may stand between parts."""
+    each = F.transform(F.array_sort(pairs), lambda x: F.concat(F.lit("["), F.replace(json_text(x["value"], True), F.lit("\0"), F.lit("\\u0000")), F.lit(","), x["n"].cast("string"), F.lit("]")))
     return F.concat(F.lit("["), F.array_join(each, ","), F.lit("]"))
 
 
+def joined(*parts: Column) -> Column:
+    """Parts of a key joined by NUL, which no part holds; a missing part is the word null between its NULs, as nothing may be skipped."""
+    return F.concat(*[x for i, p in enumerate(parts) for x in ((F.lit("\0"), F.coalesce(p.cast("string"), F.lit("null"))) if i else (F.coalesce(p.cast("string"), F.lit("null")),))])
+
+
 def domain_hash(domain: str, text: Column) -> Column:
     return F.sha2(F.concat(F.lit(domain + "\0"), text).cast("binary"), 256)
 

@@ -15,7 +15,8 @@ from .latest import current_manifest
 
 
 def process(captures: DataFrame) -> DataFrame:
-    """Captures with their content hash and outcome; the parse branches are filters on capture_kind and ACCEPTED."""
+    """Captures with their content hash and outcome; the parse branches are filters on capture_kind and ACCEPTED. A capture of a kind without a structural
+    contract is UNDECIDABLE: it goes to no branch."""
     return captures.withColumn("content_hash", F.sha2(F.col("html").cast("binary"), 256)).withColumn("outcome", V.outcome(F.col("html"), F.col("capture_kind")))
 
 
@@ -51,20 +52,29 @@ def finalize(manifests: DataFrame, groups: DataFrame, accepted: DataFrame, criti
 
 
 def idempotency_keys(accepted: DataFrame, run: str, spec: str, parts: list[str]) -> DataFrame:
-    """Of each run and spec: a hash of the run, the spec and the multiset of accepted captures."""
-    m = P.multiset(accepted.select(run, spec, F.concat_ws("|", *parts).alias("v")), [run, spec], "v")
+    """Of each run and spec: a hash of the run, the spec and the multiset of accepted captures (category, group, capture)."""
+    m = P.multiset(accepted.select(run, spec, H.joined(*map(F.col, parts)).alias("v")), [run, spec], "v")
     text = lambda c: H.json_text(F.col(c).cast("string"), True)
     return m.select(run, spec, H.domain_hash("snapshot-idempotency:v1", H.json_object(captures=H.json_multiset(F.col("pairs")), run_id=text(run), spec_key=text(spec))).alias("k"))
 
 
 def signature(rows: DataFrame, keys: list[str], order: list[str], values: list[str]) -> DataFrame:
     """An order-sensitive hash of each group's rows."""
-    listed = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*order, F.concat_ws("|", *values).alias("_v")))).alias("l"))
+    listed = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*order, H.joined(*map(F.col, values)).alias("_v")))).alias("l"))
     return listed.select(*keys, F.sha2(F.array_join(F.col("l._v"), ";").cast("binary"), 256).alias("signature"))
 
 
 def same_signature(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    return a.join(b.withColumnRenamed("signature", "other"), keys).select(*keys, (F.col("signature") == F.col("other")).alias("same"))
+    """Groups that either side has: whether their parts are the same, in the same order."""
+    d = a.join(b.withColumnRenamed("signature", "other"), keys, "full_outer")
+    return d.select(*keys, F.col("signature").eqNullSafe(F.col("other")).alias("same"))
+
+
+def image_presence(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """a, b: keys, image (null: none) -> keys, with_a, with_b: of each group, how many parts have an image on each side, where that differs."""
+    has = F.col("image").isNotNull().cast("long")
+    sides = a.select(*keys, has.alias("x"), F.lit(0).cast("long").alias("y")).unionByName(b.select(*keys, F.lit(0).cast("long").alias("x"), has.alias("y")))
+    return sides.groupBy(*keys).agg(F.sum("x").alias("with_a"), F.sum("y").alias("with_b")).filter("with_a <> with_b")
 
 
 def violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:

@@ -39,6 +39,11 @@ def allowed(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     return df.join(wanted, key, "left_semi")
 
 
+def first_specs(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The first n keys: a top-k on each task, then one; never a sort of all."""
+    return df.select(key).distinct().orderBy(key).limit(n)
+
+
 def unknown(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     """Wanted keys that don't exist: rows, where a driver program would raise."""
     return wanted.join(df, key, "left_anti")

@@ -2,8 +2,12 @@
 
 The checkpoint machine is folded in two levels: events of a key and time slice become a transition of all
 four states (a small struct), and slices are composed in order. So a key with very many events is
-worked on in many tasks. Leases and the limiter depend on clock values that only their whole history
-gives; they fold the (few) grant-changing events of one resource or run.
+worked on in many tasks.
+
+No history of a key is gathered in one row or sorted in one task. Running values (the last grant, the highest token, the challenges of the last minutes) are taken
+inside time slices of a key and carried over slices by a small table of one row for each slice. Leases start anew after every pause of a lease's length, so claims are folded pause by
+pause. The limiter's raises between two cuts follow from the ticks after the cut alone, so they are found by minima, segment by segment; what is left is a number of
+workers that is moved by cuts and raises, composed as above.
 """
 
 from __future__ import annotations
@@ -29,32 +33,59 @@ def _step(acc: Column, event: Column) -> Column:
         (acc["attempts"] + F.when((event["kind"] == "START") & legal & ~done, 1).otherwise(0)).cast("long").alias("attempts"),
         (acc["ignored"] + F.when(~legal | done, 1).otherwise(0)).cast("long").alias("ignored"),
         F.when(legal & ~done & (to == 2), event["ts"]).otherwise(acc["accepted_at"]).alias("accepted_at"),
+        F.when(legal & ~done & (to == 2), event["capture"]).otherwise(acc["capture"]).alias("capture"),
+        F.when(legal & ~done & (event["kind"] == "START"), event["ts"]).otherwise(acc["last_attempt_at"]).alias("last_attempt_at"),
     )
 
 
 def _start(state: int) -> Column:
-    return F.struct(F.lit(state).cast("int").alias("state"), F.lit(0).cast("long").alias("attempts"), F.lit(0).cast("long").alias("ignored"), F.lit(None).cast("timestamp").alias("accepted_at"))
+    return F.struct(F.lit(state).cast("int").alias("state"), F.lit(0).cast("long").alias("attempts"), F.lit(0).cast("long").alias("ignored"), F.lit(None).cast("timestamp").alias("accepted_at"), F.lit(None).cast("string").alias("capture"), F.lit(None).cast("timestamp").alias("last_attempt_at"))
 
 
 def checkpoint_states(events: DataFrame, slice_seconds: int = 86_400) -> DataFrame:
-    """events: key, ts, seq, kind -> key, status, attempts, ignored, accepted_at."""
-    sliced = events.groupBy("key", F.floor(F.unix_timestamp("ts") / slice_seconds).alias("slice")).agg(F.array_sort(F.collect_list(F.struct("ts", "seq", "kind"))).alias("events"))
+    """events: key, ts, seq, kind, capture (if there) -> key, status, attempts, ignored, accepted_at, raw_capture_id (of the accepted attempt), last_attempt_at."""
+    events = events if "capture" in events.columns else events.withColumn("capture", F.lit(None).cast("string"))
+    sliced = events.groupBy("key", F.floor(F.unix_timestamp("ts") / slice_seconds).alias("slice")).agg(F.array_sort(F.collect_list(F.struct("ts", "seq", "kind", "capture"))).alias("events"))
     moves = sliced.select("key", "slice", F.array(*(F.aggregate("events", _start(i), _step) for i in range(len(STATES)))).alias("moves"))
     ordered = moves.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("slice", "moves"))).alias("slices"))
 
     def compose(acc: Column, s: Column) -> Column:
         m = F.element_at(s["moves"], acc["state"] + 1)
-        return F.struct(m["state"].alias("state"), (acc["attempts"] + m["attempts"]).alias("attempts"), (acc["ignored"] + m["ignored"]).alias("ignored"), F.coalesce(acc["accepted_at"], m["accepted_at"]).alias("accepted_at"))
+        return F.struct(m["state"].alias("state"), (acc["attempts"] + m["attempts"]).alias("attempts"), (acc["ignored"] + m["ignored"]).alias("ignored"), F.coalesce(acc["accepted_at"], m["accepted_at"]).alias("accepted_at"), F.coalesce(acc["capture"], m["capture"]).alias("capture"), F.coalesce(m["last_attempt_at"], acc["last_attempt_at"]).alias("last_attempt_at"))
 
     final = F.aggregate("slices", _start(0), compose)
-    return ordered.select("key", final.alias("f")).select("key", F.element_at(F.array(*map(F.lit, STATES)), F.col("f.state") + 1).alias("status"), "f.attempts", "f.ignored", "f.accepted_at")
+    return ordered.select("key", final.alias("f")).select("key", F.element_at(F.array(*map(F.lit, STATES)), F.col("f.state") + 1).alias("status"), "f.attempts", "f.ignored", "f.accepted_at", F.col("f.capture").alias("raw_capture_id"), "f.last_attempt_at")
+
+
+def _carried(slices: DataFrame, key: str, value: str) -> DataFrame:
+    """slices: key, slice, value -> key, slice, ``before``: the greatest value of all earlier slices of the key."""
+    earlier = W.partitionBy(key).orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
+    return slices.select(key, "slice", F.max(value).over(earlier).alias("before"))
+
+
+def running_max(events: DataFrame, key: str, value: Column, name: str, own: bool, slice_seconds: int = 86_400) -> DataFrame:
+    """events: key, ts, seq -> with ``name``: the greatest value of the key's earlier events (``own``: and of the event itself), in two levels."""
+    d = events.withColumn("slice", F.floor(F.unix_timestamp("ts") / slice_seconds)).withColumn("_v", value)
+    before = _carried(d.groupBy(key, "slice").agg(F.max("_v").alias("m")), key, "m")
+    inside = W.partitionBy(key, "slice").orderBy("ts", "seq").rowsBetween(W.unboundedPreceding, 0 if own else -1)
+    d = d.withColumn("_m", F.max("_v").over(inside)).join(before, [key, "slice"])
+    return d.withColumn(name, F.greatest("_m", "before")).drop("_m", "before", "_v", "slice")
+
+
+def sessions(events: DataFrame, key: str, gap: int, slice_seconds: int = 86_400) -> DataFrame:
+    """events: key, ts, seq -> with ``session``: (ts, seq) of the first event after a pause of ``gap`` seconds or more."""
+    last = running_max(events, key, F.col("ts"), "_last", False, slice_seconds)
+    pause = F.col("_last").isNull() | (F.unix_micros("ts") - F.unix_micros("_last") >= gap * 1_000_000)
+    begun = last.withColumn("_begin", F.when(pause, F.struct("ts", "seq")))
+    return running_max(begun, key, F.col("_begin"), "session", True, slice_seconds).drop("_last", "_begin")
 
 
 def lease_states(claims: DataFrame, seconds: int) -> DataFrame:
     """claims: resource, ts, seq, owner -> resource, owner, token, expires_at, denied.
 
-    Granted if there is no lease, the owner is the same, or it has expired; the token grows with every grant."""
-    lists = claims.groupBy("resource").agg(F.array_sort(F.collect_list(F.struct("ts", "seq", "owner"))).alias("events"))
+    Granted if there is no lease, the owner is the same, or it has expired; the token grows with every grant. After a pause of a lease's length the next claim is granted whoever
+    holds the lease, so each pause ends a fold, and grants and denials are summed up."""
+    lists = sessions(claims, "resource", seconds).groupBy("resource", "session").agg(F.array_sort(F.collect_list(F.struct("ts", "seq", "owner"))).alias("events"))
     zero = F.struct(F.lit(None).cast("long").alias("owner"), F.lit(0).cast("long").alias("token"), F.lit(None).cast("timestamp").alias("expires_at"), F.lit(0).cast("long").alias("denied"))
 
     def claim(acc: Column, e: Column) -> Column:
@@ -64,7 +95,9 @@ def lease_states(claims: DataFrame, seconds: int) -> DataFrame:
             F.when(ok, e["ts"] + F.make_dt_interval(secs=F.lit(seconds))).otherwise(acc["expires_at"]).alias("expires_at"), (acc["denied"] + (~ok).cast("long")).alias("denied"),
         )
 
-    return lists.select("resource", F.aggregate("events", zero, claim).alias("f")).select("resource", "f.*")
+    folded = lists.select("resource", "session", F.aggregate("events", zero, claim).alias("f"))
+    final = folded.groupBy("resource").agg(F.max_by("f", "session").alias("f"), F.sum("f.token").alias("token"), F.sum("f.denied").alias("denied"))
+    return final.select("resource", "f.owner", "token", "f.expires_at", "denied")
 
 
 def release_or_renew(leases: DataFrame, actions: DataFrame, seconds: int) -> DataFrame:
@@ -77,30 +110,53 @@ def release_or_renew(leases: DataFrame, actions: DataFrame, seconds: int) -> Dat
 
 def fencing_violations(writes: DataFrame) -> DataFrame:
     """writes: resource, ts, seq, token -> those whose token is below one that was seen before."""
-    w = W.partitionBy("resource").orderBy("ts", "seq").rowsBetween(W.unboundedPreceding, -1)
-    return writes.withColumn("highest", F.max("token").over(w)).filter("token < highest")
+    return running_max(writes, "resource", F.col("token"), "highest", False).filter("token < highest")
 
 
-def limiter_states(events: DataFrame, most: int, threshold: int, window: int, stability: int) -> DataFrame:
-    """events: run, ts, seq, is_challenge (else: a tick) -> run, concurrency, cuts, raises.
+def recent_count(events: DataFrame, key: str, flag: Column, window: int, name: str, slice_seconds: int = 86_400) -> DataFrame:
+    """events: key, ts, seq -> with ``name``: how many flagged events of the key stand in the ``window`` seconds up to each. A slice also gets the flagged events of the window before it, for counting only."""
+    width = max(slice_seconds, window + 1)
+    own = F.floor(F.unix_seconds("ts") / width)
+    d = events.withColumn("_f", flag.cast("int")).withColumn("_slice", own).withColumn("_ghost", F.lit(False))
+    late = F.unix_seconds("ts") >= (F.col("_slice") + 1) * width - window
+    ghosts = d.filter((F.col("_f") == 1) & late).withColumn("_slice", F.col("_slice") + 1).withColumn("_ghost", F.lit(True))
+    w = W.partitionBy(key, "_slice").orderBy(F.unix_seconds("ts")).rangeBetween(-window, 0)
+    return d.unionByName(ghosts).withColumn(name, F.sum("_f").over(w)).filter("NOT _ghost").drop("_f", "_slice", "_ghost")
+
+
+def limiter_states(events: DataFrame, most: int, threshold: int, window: int, stability: int, slice_seconds: int = 86_400) -> DataFrame:
+    """events: run, ts, seq, is_challenge (else: a tick) -> run, concurrency, cuts, raises. A run starts with ``most``; one without events has no row.
 
     A challenge, if the window of seconds up to it holds ``threshold``, takes one off (down to 1) and restarts the clock; a tick
-    adds one if the clock has run for ``stability`` seconds and concurrency is below ``most``."""
-    w = W.partitionBy("run").orderBy(F.unix_seconds("ts")).rangeBetween(-window, 0)
-    seen = events.withColumn("recent", F.sum(F.col("is_challenge").cast("int")).over(w))
-    lists = seen.groupBy("run").agg(F.array_sort(F.collect_list(F.struct("ts", "seq", "is_challenge", "recent"))).alias("events"))
-    zero = F.struct(F.lit(most).alias("c"), F.lit(None).cast("timestamp").alias("since"), F.lit(0).alias("cuts"), F.lit(0).alias("raises"))
-
-    def step(acc: Column, e: Column) -> Column:
-        since = F.coalesce(acc["since"], e["ts"])
-        cut = e["is_challenge"] & (e["recent"] >= threshold)
-        up = ~e["is_challenge"] & (acc["c"] < most) & (F.unix_seconds(e["ts"]) - F.unix_seconds(since) >= stability)
-        return F.struct(
-            F.when(cut, F.greatest(F.lit(1), acc["c"] - 1)).when(up, acc["c"] + 1).otherwise(acc["c"]).alias("c"), F.when(cut | up, e["ts"]).otherwise(since).alias("since"),
-            (acc["cuts"] + cut.cast("int")).alias("cuts"), (acc["raises"] + up.cast("int")).alias("raises"),
-        )
+    adds one and restarts it if the clock has run for ``stability`` (over 0) seconds and concurrency is below ``most``. Between two cuts the raises there may be are the first tick after a
+    stable time, the first one a stable time after that, and so on, most - 1 times at most; how many of them count depends on the concurrency at the cut alone."""
+    seen = recent_count(events, "run", F.col("is_challenge"), window, "recent", slice_seconds).withColumn("cut", F.col("is_challenge") & (F.col("recent") >= threshold))
+    marked = running_max(seen, "run", F.when(F.col("cut"), F.struct("ts", "seq")), "segment", True, slice_seconds)
+    # a run's first segment begins with its first event, and with no cut
+    segments = marked.groupBy("run", "segment").agg(F.min("ts").alias("first")).select("run", "segment", F.coalesce("segment.ts", "first").alias("at"), F.lit(0).alias("raises"), F.coalesce("segment.ts", "first").alias("clock"))
+    ticks = marked.filter("NOT is_challenge").select("run", "segment", "ts")
+    same = (F.col("run") == F.col("_run")) & F.col("segment").eqNullSafe(F.col("_segment"))
+    for _ in range(most - 1):
+        clocks = segments.select(F.col("run").alias("_run"), F.col("segment").alias("_segment"), "clock")
+        up = ticks.join(clocks, same).filter(F.unix_seconds("ts") - F.unix_seconds("clock") >= stability).groupBy("_run", "_segment").agg(F.min("ts").alias("up"))
+        segments = segments.join(up, same, "left").select("run", "segment", "at", (F.col("raises") + F.col("up").isNotNull().cast("int")).alias("raises"), F.coalesce("up", "clock").alias("clock"))
+
+    def start(c: int) -> Column:
+        return F.struct(F.lit(c).alias("c"), F.lit(0).cast("long").alias("cuts"), F.lit(0).cast("long").alias("raises"))
+
+    def move(acc: Column, e: Column) -> Column:
+        low = F.when(e["cut"], F.greatest(F.lit(1), acc["c"] - 1)).otherwise(acc["c"])
+        up = F.least(e["raises"], most - low)
+        return F.struct((low + up).alias("c"), (acc["cuts"] + e["cut"].cast("int")).alias("cuts"), (acc["raises"] + up).alias("raises"))
+
+    def compose(acc: Column, s: Column) -> Column:
+        m = F.element_at(s["moves"], acc["c"])
+        return F.struct(m["c"].alias("c"), (acc["cuts"] + m["cuts"]).alias("cuts"), (acc["raises"] + m["raises"]).alias("raises"))
 
-    return lists.select("run", F.aggregate("events", zero, step).alias("f")).select("run", F.col("f.c").alias("concurrency"), "f.cuts", "f.raises")
+    steps = segments.select("run", F.floor(F.unix_seconds("at") / slice_seconds).alias("slice"), F.struct(F.col("segment").isNotNull().alias("later"), "at", F.coalesce("segment.seq", F.lit(0)).alias("seq"), F.col("segment").isNotNull().alias("cut"), "raises").alias("e"))
+    sliced = steps.groupBy("run", "slice").agg(F.array_sort(F.collect_list("e")).alias("events")).select("run", "slice", F.array(*(F.aggregate("events", start(c), move) for c in range(1, most + 1))).alias("moves"))
+    ordered = sliced.groupBy("run").agg(F.array_sort(F.collect_list(F.struct("slice", "moves"))).alias("slices"))
+    return ordered.select("run", F.aggregate("slices", start(most), compose).alias("f")).select("run", F.col("f.c").alias("concurrency"), F.col("f.cuts").cast("int").alias("cuts"), F.col("f.raises").cast("int").alias("raises"))
 
 
 def dispositions(events: DataFrame) -> DataFrame:

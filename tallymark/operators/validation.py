@@ -23,8 +23,10 @@ STRUCTURE = {
     "MARKET_INDEX": ("epcVariations",),
     "SPEC_NAVIGATION": ("epcVariation__details", "epcVariation__schemaGroups", "epcVariation__schemas"),
 }
-_DIV = re.compile(r"<div\b|</div\s*>")
-_BENIGN = re.compile(r"id\s*=\s*([\"'])\s*(?:" + "|".join(map(re.escape, BENIGN_IDS)) + r")\s*\1")
+_DIV = re.compile(r"<(/?)div\b[^>]*>?")
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)')""")
+#: The outcome of a capture whose kind has no structural contract, where neither challenge nor translation decides.
+UNDECIDABLE = "UNDECIDABLE"
 
 
 def any_of(text: Column, markers: tuple[str, ...]) -> Column:
@@ -35,28 +37,41 @@ def any_of(text: Column, markers: tuple[str, ...]) -> Column:
 
 
 def benign_spans(low: str) -> list[tuple[int, int]]:
-    """The div elements with an approved id, by counting opening and closing tags in the raw text."""
-    spans = []
-    for m in _BENIGN.finditer(low):
-        start = low.rfind("<div", 0, m.start())
-        if start < 0:
-            continue
-        depth, end = 0, len(low)
-        for t in _DIV.finditer(low, start):
-            depth += 1 if t[0] == "<div" else -1
-            if depth == 0:
-                end = t.end()
-                break
-        spans.append((start, end))
-    return spans
-
-
-def unproven_widget(low: str | None) -> bool:
-    """Whether a widget stands outside all benign spans: what can't be proven benign counts."""
-    if not low or WIDGET not in low:
+    """The div elements with an approved id, by counting opening and closing tags in the raw text: one pass with a stack."""
+    spans, open_at = [], []
+    for m in _DIV.finditer(low):
+        if m[1]:
+            if open_at:
+                begin, approved = open_at.pop()
+                if approved:
+                    spans.append((begin, m.end()))
+        else:
+            ids = [(x or y).strip() for name, x, y in _ATTRIBUTE.findall(m[0]) if name == "id"]
+            open_at.append((m.start(), any(i in BENIGN_IDS for i in ids)))
+    return spans + [(begin, len(low)) for begin, approved in open_at if approved]
+
+
+def unproven_widget(html: str | None) -> bool:
+    """Whether a widget stands outside all benign spans: what can't be proven benign counts. Elements of that class add to it, and never take away."""
+    low = html.lower() if html else ""
+    if WIDGET not in low:
         return False
     spans = benign_spans(low)
-    return any(not any(a <= m.start() < b for a, b in spans) for m in re.finditer(WIDGET, low))
+    return any(not any(a <= m.start() < b for a, b in spans) for m in re.finditer(WIDGET, low)) or unproven_element(html)
+
+
+def unproven_element(html: str) -> bool:
+    """Whether the parsed page holds an element of the widget's class outside all approved elements, whatever the raw text's tags say."""
+    from .pages import tree
+
+    def benign(e) -> bool:
+        while e is not None:
+            if e.attrs.get("id") in BENIGN_IDS:
+                return True
+            e = e.parent
+        return False
+
+    return any(WIDGET in e.classes and not benign(e.parent) for e in tree(html).walk())
 
 
 @F.pandas_udf(BooleanType())
@@ -65,14 +80,18 @@ def _unproven(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield s.map(unproven_widget).astype(bool)
 
 
+def unproven(html: Column) -> Column:
+    """The Python rule sees only pages that hold the widget's name: others are sent as null."""
+    return F.coalesce(_unproven(F.when(F.contains(F.lower(html), F.lit(WIDGET)), html)), F.lit(False))
+
+
 def title(low: Column) -> Column:
     return F.regexp_extract(low, r"(?s)<title[^>]*>(.*?)</title>", 1)
 
 
 def challenge(html: Column) -> Column:
     low = F.lower(html)
-    # the Python rule sees only pages that hold the widget's name: others are sent as null
-    return any_of(title(low), TITLE_MARKERS) | any_of(low, ELEMENT_MARKERS + TEXT_MARKERS) | F.coalesce(_unproven(F.when(F.contains(low, F.lit(WIDGET)), low)), F.lit(False))
+    return any_of(title(low), TITLE_MARKERS) | any_of(low, ELEMENT_MARKERS + TEXT_MARKERS) | unproven(html)
 
 
 def translated(html: Column) -> Column:
@@ -99,7 +118,8 @@ def without_structure(html: Column, kind: Column) -> Column:
 
 
 def precedence(is_challenge: Column, is_translated: Column, is_invalid: Column, is_incomplete: Column) -> Column:
-    return F.when(is_challenge, "CHALLENGE").when(is_translated, "TRANSLATION_CONTAMINATED").when(is_invalid, "INVALID").when(is_incomplete, "INCOMPLETE").otherwise("ACCEPTED")
+    """A null structure (no contract for the kind) decides nothing: the outcome is UNDECIDABLE, where a driver program would raise."""
+    return F.when(is_challenge, "CHALLENGE").when(is_translated, "TRANSLATION_CONTAMINATED").when(is_invalid.isNull(), UNDECIDABLE).when(is_invalid, "INVALID").when(is_incomplete, "INCOMPLETE").otherwise("ACCEPTED")
 
 
 def outcome(html: Column, kind: Column) -> Column:

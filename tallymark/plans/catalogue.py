@@ -80,8 +80,8 @@ def limit_per_spec(t):
 
 
 @query(f"""SELECT count(*) AS considered, count(DISTINCT k) AS distinct_hashes, count(DISTINCT k) FILTER (n >= 2) AS clusters, count(DISTINCT k) FILTER (n = 1) AS isolated, coalesce(max(n), 0) AS largest,
-    CASE WHEN count(*) > 0 THEN (count(*) - count(DISTINCT k)) / count(*) ELSE 0 END AS ratio
-    FROM (SELECT k, count(*) OVER (PARTITION BY k) AS n FROM (SELECT scope || fingerprint_version || spec_parts_hash AS k FROM snapshots WHERE {ELIGIBLE}))""")
+    CASE WHEN count(*) > 0 THEN (count(*) - count(DISTINCT k)) / count(*) ELSE 0 END AS ratio, count(DISTINCT structure_hash) AS distinct_structure_hash, count(DISTINCT schema_semantic_hash) AS distinct_schema_semantic_hash, count(DISTINCT image_hash) AS distinct_image_hash
+    FROM (SELECT k, structure_hash, schema_semantic_hash, image_hash, count(*) OVER (PARTITION BY k) AS n FROM (SELECT scope || fingerprint_version || spec_parts_hash AS k, structure_hash, schema_semantic_hash, image_hash FROM snapshots WHERE {ELIGIBLE}))""")
 def redundancy_summary(t):
     return E.redundancy(t("snapshots"))
 
@@ -92,6 +92,33 @@ def redundancy_clusters(t):
     return E.clusters(t("snapshots"))
 
 
+_KEYED = f"k AS (SELECT sha256(scope || chr(0) || normalizer_version || chr(0) || fingerprint_version || chr(0) || spec_parts_hash) AS cluster_key, * FROM snapshots WHERE {ELIGIBLE})"
+
+
+@query(f"WITH {_KEYED}, c AS (SELECT cluster_key, min(spec_parts_hash) AS h, count(*) AS size FROM k GROUP BY 1 HAVING count(*) >= 2) SELECT row_number() OVER (ORDER BY size DESC, h, cluster_key) AS place, cluster_key, size FROM c")
+def redundancy_report(t):
+    from pyspark.sql import Window as W
+
+    # the clusters' order is a range sort; places over all of them are for the comparison only
+    return E.ordered_clusters(t("snapshots")).select(F.row_number().over(W.orderBy(F.desc("size"), "spec_parts_hash", "cluster_key")).cast("long").alias("place"), "cluster_key", "size")
+
+
+@query(f"WITH {_KEYED}, c AS (SELECT cluster_key FROM k GROUP BY 1 HAVING count(*) >= 2) SELECT cluster_key, spec_key, model_code, catalog_id, k.parts, row_number() OVER (PARTITION BY cluster_key ORDER BY model_code, catalog_id, spec_key, snapshot_id) AS place FROM k SEMI JOIN c USING (cluster_key) JOIN specs USING (spec_key)")
+def cluster_members(t):
+    return E.cluster_members(t("snapshots"), t("specs")).withColumn("place", F.col("place").cast("long"))
+
+
+@query(f"""WITH {_KEYED}, r AS (SELECT cluster_key, spec_key AS representative FROM k WHERE state = 'VALID' QUALIFY row_number() OVER (PARTITION BY cluster_key ORDER BY images DESC, collected_at DESC, parts DESC, spec_key, snapshot_id) = 1)
+    SELECT cluster_key, count(*) AS size, min(representative) AS representative FROM k LEFT JOIN r USING (cluster_key) GROUP BY cluster_key""")
+def equivalence_classes(t):
+    return E.classes(E.with_cluster(t("snapshots")).select("cluster_key", "spec_key", "state", "images", "collected_at", "parts"))
+
+
+@query("SELECT spec AS spec_key, min(nullif(image_url, '')) AS image FROM parts GROUP BY spec")
+def own_image(t):
+    return E.own_images(t("parts").select(F.col("spec").alias("spec_key"), F.col("image_url").alias("image")))
+
+
 @query(f"""WITH m AS (SELECT sha256(scope || chr(0) || normalizer_version || chr(0) || fingerprint_version || chr(0) || spec_parts_hash) AS cluster_key, * FROM snapshots WHERE {ELIGIBLE})
     SELECT cluster_key, spec_key, images, collected_at FROM m WHERE state = 'VALID' QUALIFY row_number() OVER (PARTITION BY cluster_key ORDER BY images DESC, collected_at DESC, parts DESC, spec_key, snapshot_id) = 1""")
 def representative(t):
@@ -107,9 +134,9 @@ def image_resolution(t):
     return E.resolve_images(m)
 
 
-@query("SELECT schema_id, string_agg(DISTINCT brand, ',' ORDER BY brand) AS oems FROM parts WHERE brand <> '' GROUP BY schema_id")
+@query("SELECT schema_id, string_agg(DISTINCT oem, ',' ORDER BY oem) AS oems FROM parts WHERE oem <> '' GROUP BY schema_id")
 def oem_reference(t):
-    return t("parts").filter("brand <> ''").groupBy("schema_id").agg(F.array_join(F.array_sort(F.collect_set("brand")), ",").alias("oems"))
+    return t("parts").filter("oem <> ''").groupBy("schema_id").agg(F.array_join(F.array_sort(F.collect_set("oem")), ",").alias("oems"))
 
 
 _PAIR = f"""WITH {LATEST}, p AS (SELECT x.spec_key AS a, y.spec_key AS b, x.*, y.scope AS ys, y.normalizer_version AS yn, y.fingerprint_version AS yf, y.collection_complete AS yc, y.state AS yst,
@@ -143,11 +170,41 @@ def compare_pairs(t):
     return _pairs(t).select("a", "b", "reasons")
 
 
-@query("""WITH a AS (SELECT DISTINCT conv_id, text FROM conversations WHERE role = 'user'), b AS (SELECT DISTINCT conv_id, text FROM conversations WHERE role <> 'user')
-    SELECT coalesce(a.conv_id, b.conv_id) AS conv_id, md5(coalesce(a.text, b.text)) AS k, CASE WHEN b.text IS NULL THEN 'only_a' WHEN a.text IS NULL THEN 'only_b' ELSE 'both' END AS side FROM a FULL JOIN b USING (conv_id, text)""")
+def _report(t):
+    pairs = t("specs").select(F.col("spec_key").alias("a"), (F.col("spec_key") + 1).alias("b"))
+    groups = L.current_manifest(t("manifests")).select("spec_key", "id").join(t("manifest_groups"), "id", "left")
+    return E.comparison_report(pairs, _latest(t), groups, F.lit("EMPTY"))
+
+
+_REPORT = f"""{_PAIR}, {CURRENT}, g AS (SELECT DISTINCT spec_key, category, group_id FROM cur JOIN manifest_groups USING (id)),
+    d AS (SELECT a, b, count(*) FILTER (n = 1) AS only_a, count(*) FILTER (n = 2) AS only_b, count(*) FILTER (n = 3) AS shared FROM (SELECT a, b, category, group_id, sum(m) AS n FROM
+        (SELECT s.spec_key AS a, s.spec_key + 1 AS b, category, group_id, 1 AS m FROM specs s JOIN g ON g.spec_key = s.spec_key UNION ALL SELECT s.spec_key, s.spec_key + 1, category, group_id, 2 FROM specs s JOIN g ON g.spec_key = s.spec_key + 1) GROUP BY ALL) GROUP BY a, b),
+    rep AS (SELECT s.spec_key AS a, s.spec_key + 1 AS b, r.valid, r.rel_parts, r.rel_schemas, CASE WHEN r.valid AND r.structure_hash IS NOT NULL AND r.yh IS NOT NULL THEN CASE WHEN r.structure_hash = r.yh THEN 'EQUAL' ELSE 'DIFFERENT' END ELSE 'UNAVAILABLE' END AS structure_equal,
+        x.parts AS parts_a, x."groups" AS groups_a, y.parts AS parts_b, CASE WHEN ma.spec_key IS NOT NULL AND mb.spec_key IS NOT NULL THEN coalesce(only_a, 0) END AS only_a, CASE WHEN ma.spec_key IS NOT NULL AND mb.spec_key IS NOT NULL THEN coalesce(only_b, 0) END AS only_b,
+        CASE WHEN ma.spec_key IS NOT NULL AND mb.spec_key IS NOT NULL THEN coalesce(shared, 0) END AS shared,
+        nullif(concat_ws(',', CASE WHEN x.spec_key IS NULL THEN CAST(s.spec_key AS VARCHAR) END, CASE WHEN y.spec_key IS NULL THEN CAST(s.spec_key + 1 AS VARCHAR) END), '') AS no_snapshot,
+        nullif(concat_ws(',', CASE WHEN ma.spec_key IS NULL THEN CAST(s.spec_key AS VARCHAR) END, CASE WHEN mb.spec_key IS NULL THEN CAST(s.spec_key + 1 AS VARCHAR) END), '') AS no_manifest
+        FROM specs s LEFT JOIN latest x ON x.spec_key = s.spec_key LEFT JOIN latest y ON y.spec_key = s.spec_key + 1 LEFT JOIN r ON r.a = s.spec_key LEFT JOIN d ON d.a = s.spec_key LEFT JOIN cur ma ON ma.spec_key = s.spec_key LEFT JOIN cur mb ON mb.spec_key = s.spec_key + 1)"""
+
+
+@query(_REPORT + " SELECT a, b, valid, rel_parts AS parts, rel_schemas AS schemas, structure_equal, parts_a, groups_a, parts_b, only_a, only_b, shared, no_snapshot, no_manifest FROM rep")
+def comparison_report(t):
+    return _report(t).select("a", "b", "valid", "parts", "schemas", "structure_equal", F.col("counts_a.parts").alias("parts_a"), F.col("counts_a.groups").alias("groups_a"), F.col("counts_b.parts").alias("parts_b"), "only_a", "only_b", "shared", "no_snapshot", "no_manifest")
+
+
+@query(_REPORT + """ SELECT a, b, CASE WHEN no_manifest IS NULL THEN printf('  groups: only in a %d, only in b %d, shared %d', only_a, only_b, shared) ELSE '  groups: unavailable - no complete manifest of ' || no_manifest END AS line FROM rep""")
+def comparison_text(t):
+    return R.comparison_lines(_report(t)).filter("line_no = 5").select("a", "b", "line")
+
+
+_GROUPS_OF = f"{CURRENT}, g AS (SELECT DISTINCT spec_key, category, group_id FROM cur JOIN manifest_groups USING (id)), a AS (SELECT spec_key AS pair, category, group_id FROM g), b AS (SELECT spec_key - 1 AS pair, category, group_id FROM g)"
+
+
+@query(f"WITH {_GROUPS_OF} SELECT coalesce(a.pair, b.pair) AS pair, coalesce(a.category, b.category) AS category, coalesce(a.group_id, b.group_id) AS group_id, CASE WHEN b.pair IS NULL THEN 'only_a' WHEN a.pair IS NULL THEN 'only_b' ELSE 'both' END AS side FROM a FULL JOIN b ON a.pair = b.pair AND a.category = b.category AND a.group_id = b.group_id")
 def group_diff(t):
-    c = t("conversations")
-    return L.key_diff(c.filter("role = 'user'"), c.filter("role <> 'user'"), ["conv_id", "text"]).select("conv_id", F.md5("text").alias("k"), "side")
+    g = _expected(t)
+    keys = ["category", "group_id"]
+    return L.key_diff(g.select(F.col("spec_key").alias("pair"), *keys), g.select((F.col("spec_key") - 1).alias("pair"), *keys), ["pair", *keys])
 
 
 def _expected(t):
@@ -226,6 +283,16 @@ def freshness_candidates(t):
     return d.filter(S.stale_candidate(F.timestamp_seconds("collected_at"), F.col("ended_at"), F.col("now"))).select("spec_key")
 
 
+@query("""WITH n AS (SELECT max(collected_at) AS now FROM snapshots), d AS (SELECT s.*, now - collected_at >= (CASE WHEN ended_at IS NULL THEN 30 ELSE 180 END) * 86400 AS due FROM snapshots s JOIN specs USING (spec_key), n)
+    SELECT snapshot_id, CASE WHEN due AND state = 'VALID' THEN 'STALE' ELSE state END AS state, CASE WHEN due AND state <> 'VALID' THEN 'not VALID: ' || state END AS error FROM d""")
+def mark_stale(t):
+    from ..operators import records
+
+    now = t("snapshots").agg(F.timestamp_seconds(F.max("collected_at")).alias("now"))
+    d = t("snapshots").join(t("specs").select("spec_key", "ended_at"), "spec_key").join(F.broadcast(now))
+    return records.mark_stale(d, S.stale_candidate(F.timestamp_seconds("collected_at"), F.col("ended_at"), F.col("now"))).select("snapshot_id", "state", "error")
+
+
 @query("""WITH s AS (SELECT CAST(doc_id AS STRING) AS k, n_chars % 2 = 0 AS crit, n_chars % 3 = 0 AS comp FROM documents) SELECT k, CASE WHEN crit THEN 'INVALID' WHEN comp THEN 'VALID' ELSE 'INCOMPLETE' END AS state FROM s""")
 def snapshot_states(t):
     return t("documents").select(F.col("doc_id").cast("string").alias("k"), S.snapshot_state(F.col("n_chars") % 2 == 0, F.col("n_chars") % 3 == 0).alias("state"))
@@ -234,22 +301,26 @@ def snapshot_states(t):
 @query(f"""WITH {LATEST}, m AS (SELECT sha256(scope || chr(0) || normalizer_version || chr(0) || fingerprint_version || chr(0) || spec_parts_hash) AS cluster_key, * FROM snapshots WHERE {ELIGIBLE}),
     r AS (SELECT cluster_key, spec_key AS rep FROM m WHERE state = 'VALID' QUALIFY row_number() OVER (PARTITION BY cluster_key ORDER BY images DESC, collected_at DESC, parts DESC, spec_key, snapshot_id) = 1),
     c AS (SELECT spec_key, cluster_key FROM m SEMI JOIN latest USING (snapshot_id, spec_key))
-    SELECT s.spec_key, s.model_code, l.snapshot_id, c.cluster_key, coalesce(r.rep = s.spec_key, false) AS is_representative FROM specs s LEFT JOIN latest l USING (spec_key) LEFT JOIN c USING (spec_key) LEFT JOIN r USING (cluster_key)""")
+    SELECT s.spec_key, s.model_code, l.snapshot_id, c.cluster_key, coalesce(r.rep = s.spec_key, false) AS is_representative, l.state, l.collected_at, own.image, coalesce(h.n, 0) AS categories, h.tree FROM specs s LEFT JOIN latest l USING (spec_key) LEFT JOIN c USING (spec_key) LEFT JOIN r USING (cluster_key)
+    LEFT JOIN (SELECT spec AS spec_key, min(nullif(image_url, '')) AS image FROM parts GROUP BY 1) own USING (spec_key)
+    LEFT JOIN (SELECT spec_key, count(*) AS n, string_agg(category || '=' || gs, ';' ORDER BY category) AS tree FROM (SELECT spec AS spec_key, category, string_agg(DISTINCT grp, ',' ORDER BY grp) AS gs FROM parts GROUP BY ALL) GROUP BY 1) h USING (spec_key)""")
 def export_view(t):
     m = E.with_cluster(t("snapshots"))
     reps = E.representatives(m.select("cluster_key", "spec_key", "state", "images", "collected_at", "parts")).select("cluster_key", F.col("spec_key").alias("rep"))
     last = _latest(t)
     of = m.join(last.select("snapshot_id"), "snapshot_id", "left_semi").select("spec_key", "cluster_key")
-    d = t("specs").select("spec_key", "model_code").join(last.select("spec_key", "snapshot_id"), "spec_key", "left").join(of, "spec_key", "left").join(reps, "cluster_key", "left")
-    return d.select("spec_key", "model_code", "snapshot_id", "cluster_key", F.coalesce(F.col("rep") == F.col("spec_key"), F.lit(False)).alias("is_representative"))
+    images = E.own_images(t("parts").select(F.col("spec").alias("spec_key"), F.col("image_url").alias("image")))
+    view = E.export_view(t("specs").select("spec_key", "model_code"), last, of, reps, images, t("parts").select(F.col("spec").alias("spec_key"), "category", "grp"))
+    tree = F.array_join(F.transform("hierarchy", lambda c: F.concat(c["category"], F.lit("="), F.array_join(c["groups"], ","))), ";")
+    return view.select("spec_key", "model_code", "snapshot.snapshot_id", "cluster_key", "is_representative", "snapshot.state", "snapshot.collected_at", "image", F.coalesce(F.size("hierarchy"), F.lit(0)).cast("long").alias("categories"), tree.alias("tree"))
 
 
-@query("SELECT spec_key, count(*) AS snapshots, max(collected_at) AS last_at, arg_max(state, collected_at * 10 + CAST(right(snapshot_id, 1) AS INT)) AS state FROM snapshots GROUP BY spec_key")
+@query("""SELECT o_custkey AS stable_key, arg_min(o_orderpriority, o_orderkey) AS market, arg_min(o_orderstatus, o_orderkey) AS model_code, arg_max(o_orderpriority, o_orderkey) AS grade, arg_max(o_orderstatus, o_orderkey) AS configuration, max(o_orderkey) AS seq FROM orders GROUP BY 1""")
 def identity_upsert(t):
-    s = t("snapshots")
-    even, odd = s.filter("collected_at % 172800 = 0"), s.filter("collected_at % 172800 <> 0")
-    won = L.upsert(even, odd, ["spec_key"], ["collected_at", "snapshot_id"])
-    return won.select("spec_key", "state", F.col("collected_at").alias("last_at")).join(s.groupBy("spec_key").agg(F.count("*").alias("snapshots")), "spec_key").select("spec_key", "snapshots", "last_at", "state")
+    from ..operators import records
+
+    o = t("orders").select(F.col("o_custkey").alias("stable_key"), F.col("o_orderpriority").alias("market"), F.col("o_orderstatus").alias("model_code"), F.col("o_orderpriority").alias("grade"), F.col("o_orderstatus").alias("configuration"), F.col("o_orderkey").alias("seq"))
+    return records.upsert_identities(o.filter("seq % 2 = 0"), o.filter("seq % 2 = 1"), "seq")
 
 
 @query("""WITH old AS (SELECT DISTINCT spec_parts_hash FROM snapshots WHERE collected_at < 1705000000) SELECT spec_parts_hash, arg_min(snapshot_id, snapshot_id) AS snapshot_id FROM snapshots WHERE collected_at >= 1705000000 AND spec_parts_hash NOT IN (SELECT * FROM old) GROUP BY 1""")
@@ -258,8 +329,37 @@ def insert_or_get(t):
     return L.insert_missing(s.filter("collected_at < 1705000000").select("spec_parts_hash").distinct(), s.filter("collected_at >= 1705000000").select("spec_parts_hash", "snapshot_id"), ["spec_parts_hash"], ["snapshot_id"])
 
 
-@query("SELECT spec_key, manufacturer || ':' || vehicle_model || ':' || market AS expected_scope, CASE WHEN manufacturer <> 'en' THEN 'manufacturer' END AS diverges FROM specs")
+@query("""SELECT spec_key, concat_ws(';', CASE WHEN model_code <> 'C' || CAST(spec_key % 89 AS VARCHAR) THEN 'model_code:C' || CAST(spec_key % 89 AS VARCHAR) || '/' || model_code END,
+    CASE WHEN spec_key % 3 <> 0 AND market IS DISTINCT FROM 'm' || CAST(spec_key % 5 AS VARCHAR) THEN 'market:m' || CAST(spec_key % 5 AS VARCHAR) || '/' || market END) AS diverges FROM specs""")
 def identity_divergence(t):
-    s = t("specs")
-    found = F.map_filter(F.create_map(F.lit("manufacturer"), F.struct(F.lit("en").alias("expected"), F.col("manufacturer").alias("actual"))), lambda k, v: v["expected"] != v["actual"])
-    return s.select("spec_key", F.concat_ws(":", "manufacturer", "vehicle_model", "market").alias("expected_scope"), F.nullif(F.array_join(F.map_keys(found), ","), F.lit("")).alias("diverges"))
+    s = t("specs").withColumn("want_market", F.when(F.col("spec_key") % 3 != 0, F.concat(F.lit("m"), (F.col("spec_key") % 5).cast("string")))).withColumn("want_code", F.concat(F.lit("C"), (F.col("spec_key") % 89).cast("string")))
+    found = E.divergence({"model_code": (F.col("want_code"), F.col("model_code")), "market": (F.col("want_market"), F.col("market"))})
+    return s.select("spec_key", F.array_join(F.transform(found, lambda x: F.concat(x["field"], F.lit(":"), x["expected"], F.lit("/"), x["actual"])), ";").alias("diverges"))
+
+
+@query(f"""WITH {LATEST}, z AS (SELECT s.scope, count(*) AS discovered, count(l.spec_key) AS n, min("groups") AS lo, max("groups") AS hi, avg("groups") AS mean, median("groups") AS med, CAST(coalesce(sum(parts), 0) AS BIGINT) AS parts FROM specs s LEFT JOIN latest l USING (spec_key) GROUP BY s.scope)
+    SELECT scope, 0 AS line_no, 'Summary - ' || scope AS line FROM z UNION ALL SELECT scope, 1, '  specs discovered: ' || replace(format('{{:,}}', discovered), ',', '.') FROM z UNION ALL SELECT scope, 7, '  parts: ' || replace(format('{{:,}}', parts), ',', '.') FROM z
+    UNION ALL SELECT scope, 8, CASE WHEN n = 0 THEN '  groups/spec: no specs with a snapshot' ELSE printf('  groups/spec: min=%d max=%d mean=%.2f median=%.2f (n=%d)', lo, hi, mean, med, n) END FROM z""")
+def summary_text(t):
+    return R.summary_lines(R.scope_summary(t("specs").select("scope", "spec_key"), _latest(t).drop("scope"), ["scope"])).filter("line_no IN (0, 1, 7, 8)")
+
+
+@query(_FINDINGS + " SELECT spec_key, '  [' || severity || '] ' || code || ': ' || CAST(spec_key AS VARCHAR) AS line FROM f")
+def quality_text(t):
+    return R.finding_lines(_quality(t)).select("spec_key", "line")
+
+
+@query(f"WITH {_KEYED}, c AS (SELECT cluster_key FROM k GROUP BY 1 HAVING count(*) >= 2) SELECT cluster_key, printf('    %s | catalog %s | %s parts | key=%s', model_code, catalog_id, CAST(k.parts AS VARCHAR), CAST(spec_key AS VARCHAR)) AS line FROM k SEMI JOIN c USING (cluster_key) JOIN specs USING (spec_key)")
+def redundancy_text(t):
+    return R.member_lines(E.cluster_members(t("snapshots"), t("specs"))).select("cluster_key", "line")
+
+
+@query(_FINDINGS + """ SELECT spec_key, code, '{"code":"' || code || '","severity":"' || severity || '","spec_key":' || spec_key || '}' AS json FROM f""")
+def quality_json(t):
+    found = _quality(t).select("spec_key", "code", "severity")
+    return R.json_rows(found, ["spec_key", "code"])
+
+
+@query("""SELECT '{"event":"' || event_type || '","run_id":"r' || CAST(user_id % 4 AS VARCHAR) || '","seq":' || seq || ',"timestamp":' || t_s || '}' AS line FROM run_events""")
+def event_log(t):
+    return R.log_lines(t("run_events").select(F.concat(F.lit("r"), (F.col("user_id") % 4).cast("string")).alias("run_id"), F.col("event_type").alias("event"), F.col("t_s").alias("timestamp"), "seq"))

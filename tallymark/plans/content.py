@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..functions import hashing as H
 from ..functions import text as X
+from ..operators import assembly as A
 from ..operators import equivalence as E
 from ..operators import fingerprints as P
 from ..operators import ingest as I
@@ -23,9 +26,9 @@ def normalize_text(t):
     return t(_TEXTS).select("doc_id", F.md5(X.normalize_text(F.col("text"))).alias("h"))
 
 
-@query("SELECT page_id, upper(regexp_replace(url, '\\s+', '', 'g')) AS oem, upper(trim(url)) AS pnc FROM pages WHERE regexp_matches(url, '^[\\x00-\\x7F]*$')")
+@query("SELECT page_id, upper(regexp_replace(url, '\\s+', '', 'g')) AS oem, upper(trim(url)) AS pnc FROM pages")
 def normalize_codes(t):
-    return t("pages").filter(F.col("url").rlike(r"^[\x00-\x7F]*$")).select("page_id", X.normalize_oem(F.col("url")).alias("oem"), X.normalize_pnc(F.col("url")).alias("pnc"))
+    return t("pages").select("page_id", X.normalize_oem(F.col("url")).alias("oem"), X.normalize_pnc(F.col("url")).alias("pnc"))
 
 
 @query("SELECT p_partkey, array_to_string(list_sort([upper(x) for x in string_split(p_name, ' ')]), ',') AS codes FROM part")
@@ -86,13 +89,25 @@ def manifest_decode(t):
 
 
 def _parts(t):
-    none = F.lit(None).cast("string")
-    fp = P.part_fingerprint(True, description=none, details=none, oem=F.col("brand"), period=none, pnc=F.col("brand"), quantity=F.col("quantity"), schema_id=F.col("schema_id"))
-    return t("parts").withColumn("part_fp", fp)
+    return A.part_key(A.normalize_parts(t("parts")), True)
+
+
+#: Normal forms of ASCII text, and a part's fingerprint, in SQL.
+_NORMAL = r"""regexp_replace(regexp_replace(regexp_replace({}, '[ \t]+', ' ', 'g'), '\n{{2,}}', chr(10), 'g'), '^\s+|\s+$', '', 'g')"""
+_TEXT = lambda c: f"nullif({_NORMAL.format(c)}, '')"
+_JSON = lambda c: f"""coalesce('"' || {c} || '"', 'null')"""  # noqa: E731  # the test tables hold no quotes
+
 
+def _fp(source, keys):
+    """CTEs of normalised parts with part_fp."""
+    fields = {c: _JSON(c) for c in ("description", "details", "oem", "period", "pnc", "quantity", "schema_id")}
+    body = "'{' || " + " || ',' || ".join(f"""'"{c}":' || {x}""" for c, x in fields.items()) + " || '}'"
+    return rf"""norm AS (SELECT {keys}, category, grp, {_NORMAL.format("schema_id")} AS schema_id, upper({_NORMAL.format("pnc")}) AS pnc, regexp_replace(upper({_NORMAL.format("oem")}), '\s+', '', 'g') AS oem, {_TEXT("description")} AS description, {_TEXT("details")} AS details, {_TEXT("period")} AS period,
+        {_TEXT("quantity")} AS quantity, image_url FROM {source}), fp AS (SELECT *, CASE WHEN pnc IS NOT NULL THEN sha256('part:v1' || chr(0) || {body}) END AS part_fp FROM norm)"""
 
-_PART = """fp AS (SELECT *, sha256('part:v1' || chr(0) || '{"description":null,"details":null,"oem":"' || replace(brand, '"', '') || '","period":null,"pnc":"' || brand || '","quantity":"' || quantity || '","schema_id":"' || schema_id || '"}') AS part_fp FROM parts)"""
-_MULTI = "'[' || string_agg('[\"' || v || '\",' || CAST(n AS STRING) || ']', ',' ORDER BY v) || ']'"
+
+_PART = _fp("parts", "spec")
+_MULTI = "'[' || coalesce(string_agg('[\"' || replace(v, chr(0), '\\u0000') || '\",' || CAST(n AS STRING) || ']', ',' ORDER BY v) FILTER (v IS NOT NULL), '') || ']'"
 
 
 def _level(name, source, keys, child, domain, head, field):
@@ -102,15 +117,20 @@ def _level(name, source, keys, child, domain, head, field):
 _GROUPS = _level("group_fp", "fp", "spec, category, grp", "part_fp", "group:v1", '"group_id":"\' || grp || \'",', "part_fingerprints_multiset")
 _CATS = _level("category_fp", "group_fp", "spec, category", "group_fp", "category:v1", '"category_slug":"\' || category || \'",', "group_fingerprints_multiset")
 _SPEC = _level("spec_parts_hash", "category_fp", "spec", "category_fp", "spec-parts:v1", "", "category_fingerprints_multiset")
-_SCHEMAS = "sc AS (SELECT DISTINCT spec, category, grp, schema_id FROM parts)"
+_SCHEMAS = "sc AS (SELECT DISTINCT spec, category, grp, schema_id FROM fp)"
 _SEM = _level("schema_semantic_hash", "sc", "spec", "schema_id", "schema-semantic:v1", "", "schema_ids_multiset")
-_IMG = """im AS (SELECT spec, image_url AS v, count(*) AS n FROM parts GROUP BY ALL), image_hash AS (SELECT spec, sha256('image:v1' || chr(0) || '{"images_multiset":[' || coalesce(string_agg('["' || v || '",' || CAST(n AS STRING) || ']', ',' ORDER BY v) FILTER (v IS NOT NULL), '') || ']}') AS image_hash FROM im GROUP BY spec)"""
+_IMG = _level("image_hash", "fp", "spec", "nullif(image_url, '')", "image:v1", "", "images_multiset")
+
+
+def _shape(name, rows):
+    return f"{name} AS (SELECT spec, {_MULTI} AS {name} FROM ({rows}) GROUP BY spec)"
 
 
-_STRUCT = """ca AS (SELECT spec, '[' || string_agg('["' || v || '",1]', ',' ORDER BY v) || ']' AS ca FROM (SELECT DISTINCT spec, category AS v FROM sc) GROUP BY spec),
-    gr AS (SELECT spec, '[' || string_agg('["' || v || '",1]', ',' ORDER BY v) || ']' AS gr FROM (SELECT DISTINCT spec, category || '|' || grp AS v FROM sc) GROUP BY spec),
-    ss AS (SELECT spec, '[' || string_agg('["' || v || '",' || CAST(n AS STRING) || ']', ',' ORDER BY v) || ']' AS ss FROM (SELECT spec, grp || '|' || schema_id AS v, count(*) AS n FROM sc GROUP BY ALL) GROUP BY spec),
-    structure_hash AS (SELECT spec, sha256('structure:v1' || chr(0) || '{"categories":' || ca || ',"groups":' || gr || ',"schemas":' || ss || '}') AS structure_hash FROM ca JOIN gr USING (spec) JOIN ss USING (spec))"""
+_STRUCT = ", ".join([
+    _shape("ca", "SELECT DISTINCT spec, category AS v, 1 AS n FROM sc"), _shape("gr", "SELECT DISTINCT spec, category || chr(0) || grp AS v, 1 AS n FROM sc"), _shape("ss", "SELECT spec, grp || chr(0) || schema_id AS v, count(*) AS n FROM sc GROUP BY ALL"),
+    """structure_hash AS (SELECT spec, sha256('structure:v1' || chr(0) || '{"categories":' || ca || ',"groups":' || gr || ',"schemas":' || ss || '}') AS structure_hash FROM ca JOIN gr USING (spec) JOIN ss USING (spec))""",
+])
+_ALL = f"{_GROUPS}, {_CATS}, {_SPEC}, {_SCHEMAS}, {_STRUCT}, {_SEM}, {_IMG}"
 
 
 @query(f"WITH {_PART} SELECT spec, category, grp, part_fp, count(*) AS n FROM fp GROUP BY ALL")
@@ -133,22 +153,22 @@ def spec_parts_hash(t):
     return P.spec_parts_hash(P.category_fingerprints(P.group_fingerprints(_parts(t))))
 
 
-@query(f"WITH {_SCHEMAS}, {_STRUCT} SELECT spec, structure_hash FROM structure_hash")
+@query(f"WITH {_PART}, {_SCHEMAS}, {_STRUCT} SELECT spec, structure_hash FROM structure_hash")
 def structure_hash(t):
     return P.structure_hash(t("parts").select("spec", "category", "grp", "schema_id").distinct())
 
 
-@query(f"WITH {_SCHEMAS}, {_SEM} SELECT spec, schema_semantic_hash FROM schema_semantic_hash")
+@query(f"WITH {_PART}, {_SCHEMAS}, {_SEM} SELECT spec, schema_semantic_hash FROM schema_semantic_hash")
 def schema_semantic_hash(t):
     return P.schema_semantic_hash(t("parts").select("spec", "category", "grp", "schema_id").distinct())
 
 
-@query(f"WITH {_IMG} SELECT spec, image_hash FROM image_hash")
+@query(f"WITH {_PART}, {_IMG} SELECT spec, image_hash FROM image_hash")
 def image_hash(t):
     return P.image_hash(t("parts").select("spec", "image_url"))
 
 
-@query(f"WITH {_PART}, {_GROUPS}, {_CATS}, {_SPEC}, {_SCHEMAS}, {_STRUCT}, {_SEM}, {_IMG} SELECT spec, spec_parts_hash, structure_hash, schema_semantic_hash, image_hash FROM spec_parts_hash JOIN structure_hash USING (spec) JOIN schema_semantic_hash USING (spec) JOIN image_hash USING (spec)")
+@query(f"WITH {_PART}, {_ALL} SELECT spec, spec_parts_hash, structure_hash, schema_semantic_hash, image_hash FROM spec_parts_hash JOIN structure_hash USING (spec) JOIN schema_semantic_hash USING (spec) JOIN image_hash USING (spec)")
 def fingerprint_set(t):
     return P.fingerprint_set(_parts(t))
 
@@ -158,58 +178,97 @@ def tree_counts(t):
     return P.tree_counts(_parts(t))
 
 
-_AFTER = "b AS (SELECT * FROM category_fp), a AS (SELECT spec, category, CASE WHEN spec % 5 = 0 THEN md5(category_fp) ELSE category_fp END AS category_fp FROM category_fp WHERE NOT (spec % 7 = 0 AND category LIKE '1%'))"
+def _after(t):
+    """The parts as they are found again: a category gone, a group gone, quantities and images changed, a group added."""
+    p = t("parts").filter("NOT (spec % 7 = 0 AND category LIKE '1%') AND NOT (spec % 11 = 3 AND grp = 'NO')")
+    p = p.withColumn("quantity", F.when((F.col("spec") % 5 == 0) & (F.col("grp") == "AF"), F.concat("quantity", F.lit("0"))).otherwise(F.col("quantity"))).withColumn("image_url", F.when(F.col("spec") % 6 == 1, "new.png").otherwise(F.col("image_url")))
+    more = p.filter("spec % 13 = 4 AND grp = 'RF'").withColumn("grp", F.lit("ZZ"))
+    return A.part_key(A.normalize_parts(p.unionByName(more)), True)
+
+
+_AFTER = """again AS (SELECT * REPLACE (CASE WHEN spec % 5 = 0 AND grp = 'AF' THEN quantity || '0' ELSE quantity END AS quantity, CASE WHEN spec % 6 = 1 THEN 'new.png' ELSE image_url END AS image_url) FROM parts WHERE NOT (spec % 7 = 0 AND category LIKE '1%') AND NOT (spec % 11 = 3 AND grp = 'NO')),
+    again2 AS (SELECT * FROM again UNION ALL SELECT * REPLACE ('ZZ' AS grp) FROM again WHERE spec % 13 = 4 AND grp = 'RF')"""
+
+
+def _both_sides():
+    """The CTEs of a chain twice: over the parts before (b_) and after (a_)."""
+    out = [_AFTER]
+    for side, source in (("b", "parts"), ("a", "again2")):
+        chain = _fp(source, "spec") + ", " + _ALL
+        for n in ("norm", "fp", "group_fp", "category_fp", "spec_parts_hash", "sc", "ca", "gr", "ss", "structure_hash", "schema_semantic_hash", "image_hash"):
+            chain = re.sub(rf"(?<![\w\".]){n} AS \(SELECT", f"{side}_{n} AS (SELECT", chain)
+            chain = re.sub(rf"\b(FROM|JOIN) {n}\b", rf"\1 {side}_{n}", chain)
+        out.append(chain)
+    return "WITH " + ", ".join(out) + " "
+
+
+_FULL = "(SELECT coalesce(b.spec, a.spec) AS spec, b.{0} AS x, a.{0} AS y FROM b_{0} b FULL JOIN a_{0} a ON a.spec = b.spec)"
 
 
-@query(f"WITH {_PART}, {_GROUPS}, {_CATS}, {_AFTER} SELECT b.spec, b.category, CASE WHEN a.category_fp IS NULL THEN 'REMOVED' ELSE 'CHANGED' END AS change FROM b LEFT JOIN a USING (spec, category) WHERE a.category_fp IS DISTINCT FROM b.category_fp")
+@query(_both_sides() + "SELECT coalesce(b.spec, a.spec) AS spec, coalesce(b.category, a.category) AS category, CASE WHEN b.category_fp IS NULL THEN 'ADDED' WHEN a.category_fp IS NULL THEN 'REMOVED' ELSE 'CHANGED' END AS change FROM b_category_fp b FULL JOIN a_category_fp a ON a.spec = b.spec AND a.category = b.category WHERE a.category_fp IS DISTINCT FROM b.category_fp")
 def revalidation(t):
-    b = P.category_fingerprints(P.group_fingerprints(_parts(t)))
-    a = b.filter("NOT (spec % 7 = 0 AND category LIKE '1%')").withColumn("category_fp", F.when(F.col("spec") % 5 == 0, F.md5("category_fp")).otherwise(F.col("category_fp")))
-    return E.revalidate(b, a)
+    return E.revalidate(P.category_fingerprints(P.group_fingerprints(_parts(t))), P.category_fingerprints(P.group_fingerprints(_after(t))))
 
 
-@query("SELECT spec_key, bool_or(structure_hash IS DISTINCT FROM p) AS structure_changed, bool_or(state IS DISTINCT FROM 'x') AS any_row FROM (SELECT spec_key, state, structure_hash, structure_hash AS p FROM snapshots) GROUP BY spec_key")
+@query(_both_sides() + "SELECT coalesce(b.spec, a.spec) AS spec, coalesce(b.category, a.category) AS category, coalesce(b.grp, a.grp) AS grp, CASE WHEN b.group_fp IS NULL THEN 'ADDED' WHEN a.group_fp IS NULL THEN 'REMOVED' ELSE 'CHANGED' END AS change FROM b_group_fp b FULL JOIN a_group_fp a ON a.spec = b.spec AND a.category = b.category AND a.grp = b.grp WHERE a.group_fp IS DISTINCT FROM b.group_fp")
+def revalidation_groups(t):
+    return E.revalidate_trees(_parts(t), _after(t))[1]
+
+
+@query(_both_sides() + "SELECT spec, s.x IS DISTINCT FROM s.y AS structure_changed, p.x IS DISTINCT FROM p.y AS spec_parts_changed, m.x IS DISTINCT FROM m.y AS schema_semantic_changed, i.x IS DISTINCT FROM i.y AS image_changed, s.x IS DISTINCT FROM s.y OR p.x IS DISTINCT FROM p.y OR m.x IS DISTINCT FROM m.y AS is_stale FROM " + " JOIN ".join(_FULL.format(n) + f" {a}" + (" USING (spec)" if a != "s" else "") for n, a in (("structure_hash", "s"), ("spec_parts_hash", "p"), ("schema_semantic_hash", "m"), ("image_hash", "i"))))
 def revalidation_flags(t):
-    s = t("snapshots").groupBy("spec_key").agg(*(F.max(h).alias(h) for h in E.HASHES)).withColumnRenamed("spec_key", "spec")
-    f = E.changed_flags(s, s)
-    return f.select(F.col("spec").alias("spec_key"), "structure_changed", (~F.col("is_stale")).alias("any_row"))
+    return E.revalidate_trees(_parts(t), _after(t))[0]
 
 
-@query("""WITH g AS (SELECT DISTINCT run_id, spec_key, category || '|' || group_id AS v FROM accepted) SELECT run_id, spec_key, sha256('snapshot-idempotency:v1' || chr(0) || '{"captures":[' || string_agg('["' || v || '",1]', ',' ORDER BY v) || '],"run_id":"' || run_id || '","spec_key":"' || CAST(spec_key AS STRING) || '"}') AS k FROM g GROUP BY run_id, spec_key""")
+@query("""WITH g AS (SELECT run_id, spec_key, category || chr(0) || group_id || chr(0) || raw_capture_id AS v FROM accepted_captures) SELECT run_id, spec_key, sha256('snapshot-idempotency:v1' || chr(0) || '{"captures":[' || string_agg('["' || replace(v, chr(0), '\\u0000') || '",1]', ',' ORDER BY v) || '],"run_id":"' || run_id || '","spec_key":"' || CAST(spec_key AS STRING) || '"}') AS k FROM g GROUP BY run_id, spec_key""")
 def idempotency_key(t):
-    return I.idempotency_keys(t("accepted"), "run_id", "spec_key", ["category", "group_id"])
+    return I.idempotency_keys(t("accepted_captures"), "run_id", "spec_key", ["category", "group_id", "raw_capture_id"])
 
 
 _LOW = "lower(html)"
+_ANY = lambda markers: "(" + " OR ".join(f"contains({_LOW}, '{m}')" for m in markers) + ")"
+_INCOMPLETE = f"((contains({_LOW}, '<html') AND NOT contains({_LOW}, '</html>')) OR (contains({_LOW}, '<body') AND NOT contains({_LOW}, '</body>')))"
+#: What is left of a page without approved containers (which hold one level of div at most) must not name the widget.
+_WIDGET = rf"""contains(regexp_replace({_LOW}, '<div[^>]*\bid\s*=\s*"\s*({"|".join(V.BENIGN_IDS)})\s*"[^>]*>([^<]|<div[^>]*>[^<]*</div>|</?[^d/][^>]*>|</[^d][^>]*>)*</div>', '', 'g'), 'g-recaptcha')"""
+_CHALLENGE = f"({_ANY(V.ELEMENT_MARKERS + V.TEXT_MARKERS)} OR {_WIDGET} OR " + " OR ".join(f"contains(regexp_extract({_LOW}, '<title[^>]*>(.*?)</title>', 1), '{m}')" for m in V.TITLE_MARKERS) + ")"
+_TRANSLATED = rf"""({_ANY(V.TRANSLATION_MARKERS)} OR regexp_matches({_LOW}, '<html[^>]*class="([^"]* )?({"|".join(V.TRANSLATED_CLASSES)})( [^"]*)?"') OR regexp_matches({_LOW}, '<meta name="google-translate-customization" content="[^"]+"'))"""
+_SHAPELESS = "CASE capture_kind " + " ".join(f"""WHEN '{k}' THEN NOT regexp_matches(html, 'class="([^"]* )?({"|".join(names)})( [^"]*)?"')""" for k, names in V.STRUCTURE.items()) + " END"
+_OUTCOME = f"CASE WHEN {_CHALLENGE} THEN 'CHALLENGE' WHEN {_TRANSLATED} THEN 'TRANSLATION_CONTAMINATED' WHEN {_SHAPELESS} IS NULL THEN 'UNDECIDABLE' WHEN {_SHAPELESS} THEN 'INVALID' WHEN {_INCOMPLETE} THEN 'INCOMPLETE' ELSE 'ACCEPTED' END"
 
 
-@query(f"SELECT capture_id, (contains({_LOW}, '<html') AND NOT contains({_LOW}, '</html>')) OR (contains({_LOW}, '<body') AND NOT contains({_LOW}, '</body>')) AS incomplete FROM captures")
+@query(f"SELECT capture_id, {_INCOMPLETE} AS incomplete FROM marked")
 def validate_incomplete(t):
-    return t("captures").select("capture_id", V.incomplete(F.col("html")).alias("incomplete"))
+    return t("marked").select("capture_id", V.incomplete(F.col("html")).alias("incomplete"))
 
 
-_CHALLENGE = "(" + " OR ".join(f"contains({_LOW}, '{m}')" for m in V.ELEMENT_MARKERS + V.TEXT_MARKERS + ("g-recaptcha",)) + " OR " + " OR ".join(f"contains(regexp_extract({_LOW}, '<title[^>]*>(.*?)</title>', 1), '{m}')" for m in V.TITLE_MARKERS) + ")"
-_TRANSLATED = "(" + " OR ".join(f"contains({_LOW}, '{m}')" for m in V.TRANSLATION_MARKERS + ("translated-ltr", "translated-rtl")) + ")"
+@query(f"SELECT capture_id, {_CHALLENGE} AS challenge FROM marked")
+def validate_challenge(t):
+    return t("marked").select("capture_id", V.challenge(F.col("html")).alias("challenge"))
 
 
-@query(f"SELECT capture_id, {_CHALLENGE} AS challenge FROM captures")
-def validate_challenge(t):
-    return t("captures").select("capture_id", V.challenge(F.col("html")).alias("challenge"))
+@query(f"SELECT capture_id, contains({_LOW}, 'g-recaptcha') AS named, {_WIDGET} AS unproven FROM marked")
+def validate_widget(t):
+    return t("marked").select("capture_id", F.contains(F.lower("html"), F.lit(V.WIDGET)).alias("named"), V.unproven(F.col("html")).alias("unproven"))
 
 
-@query(f"SELECT capture_id, {_TRANSLATED} AS translated FROM captures")
+@query(f"SELECT capture_id, {_TRANSLATED} AS translated FROM marked")
 def validate_translation(t):
-    return t("captures").select("capture_id", V.translated(F.col("html")).alias("translated"))
+    return t("marked").select("capture_id", V.translated(F.col("html")).alias("translated"))
 
 
-@query(f"SELECT capture_id, CASE WHEN {_CHALLENGE} THEN 'CHALLENGE' WHEN {_TRANSLATED} THEN 'TRANSLATION_CONTAMINATED' WHEN NOT contains(html, 'epc') THEN 'INVALID' ELSE 'ACCEPTED' END AS outcome FROM captures")
+@query(f"SELECT capture_id, {_OUTCOME} AS outcome FROM marked")
 def validate_outcome(t):
-    return t("captures").select("capture_id", V.outcome(F.col("html"), F.col("capture_kind")).alias("outcome"))
+    return t("marked").select("capture_id", V.outcome(F.col("html"), F.col("capture_kind")).alias("outcome"))
 
 
-@query("SELECT capture_id, regexp_matches(html, 'epc') IS FALSE AS invalid FROM captures")
+@query(f"SELECT capture_id, {_SHAPELESS} AS invalid FROM marked")
 def html_structure(t):
-    return t("captures").select("capture_id", V.without_structure(F.col("html"), F.col("capture_kind")).alias("invalid"))
+    return t("marked").select("capture_id", V.without_structure(F.col("html"), F.col("capture_kind")).alias("invalid"))
+
+
+@query(f"SELECT capture_id FROM marked WHERE {_CHALLENGE}")
+def needs_person(t):
+    return I.needs_person(I.process(t("marked"))).select("capture_id")
 
 
 @query("""SELECT page_id, CASE WHEN len(p) >= 2 THEN p[-2] END AS category, CASE WHEN len(p) >= 2 THEN p[-1] END AS group_id
@@ -248,14 +307,15 @@ def html_manifest(t):
     return pages.parse_pages(p, "SPEC_NAVIGATION").select("capture_id", "category", "group_id", "manifest_complete")
 
 
-@query(f"SELECT capture_kind, CASE WHEN {_CHALLENGE} THEN 'CHALLENGE' WHEN {_TRANSLATED} THEN 'TRANSLATION_CONTAMINATED' WHEN NOT contains(html, 'epc') THEN 'INVALID' ELSE 'ACCEPTED' END AS outcome, count(*) AS captures, count(DISTINCT sha256(html)) AS blobs FROM captures GROUP BY ALL")
+@query(f"SELECT capture_kind, {_OUTCOME} AS outcome, count(*) AS captures, count(DISTINCT sha256(html)) AS blobs FROM marked GROUP BY ALL")
 def process_captures(t):
-    return I.process(t("captures")).groupBy("capture_kind", "outcome").agg(F.count("*").alias("captures"), F.count_distinct("content_hash").alias("blobs"))
+    return I.process(t("marked")).groupBy("capture_kind", "outcome").agg(F.count("*").alias("captures"), F.count_distinct("content_hash").alias("blobs"))
 
 
-@query("SELECT capture_id, i, CASE WHEN i = 0 THEN 'START' WHEN contains(html, 'epc') THEN 'ACCEPT' ELSE 'REJECT' END AS kind FROM captures, (VALUES (0), (1)) v(i) WHERE capture_kind = 'GROUP_DETAIL'")
+@query(f"SELECT capture_id, i, CASE WHEN i = 0 THEN 'START' WHEN {_OUTCOME} = 'ACCEPTED' THEN 'ACCEPT' ELSE 'REJECT' END AS kind FROM marked, (VALUES (0), (1)) v(i) WHERE capture_kind = 'GROUP_DETAIL'")
 def capture_checkpoint_events(t):
-    return I.checkpoint_events(I.process(t("captures"))).select("capture_id", "i", "kind")
+    c = t("marked").withColumns({"source_url": F.lit("u"), "collected_at": F.lit(0)})
+    return I.checkpoint_events(I.process(c)).select("capture_id", "i", "kind")
 
 
 @query("""WITH cur AS (SELECT * FROM manifests WHERE manifest_complete QUALIFY row_number() OVER (PARTITION BY spec_key ORDER BY discovered_at DESC, id DESC) = 1),
@@ -267,11 +327,26 @@ def finalize_specs(t):
     return I.finalize(t("manifests"), t("manifest_groups"), t("accepted"), critical)
 
 
-@query("SELECT l_orderkey, sha256(string_agg(l_returnflag || '|' || l_linestatus, ';' ORDER BY l_linenumber, l_returnflag || '|' || l_linestatus)) AS signature FROM lineitem GROUP BY l_orderkey")
+_SIGNED = "sha256(string_agg(l_returnflag || chr(0) || l_linestatus, ';' ORDER BY l_linenumber, l_returnflag || chr(0) || l_linestatus))"
+
+
+@query(f"SELECT l_orderkey, {_SIGNED} AS signature FROM lineitem GROUP BY l_orderkey")
 def part_signature(t):
     return I.signature(t("lineitem"), ["l_orderkey"], ["l_linenumber"], ["l_returnflag", "l_linestatus"])
 
 
+@query(f"WITH a AS (SELECT l_orderkey, {_SIGNED} AS s FROM lineitem GROUP BY 1), b AS (SELECT l_orderkey, {_SIGNED} AS s FROM lineitem WHERE l_partkey % 50 <> 3 GROUP BY 1) SELECT l_orderkey, a.s IS NOT DISTINCT FROM b.s AS same FROM a FULL JOIN b USING (l_orderkey)")
+def same_parts(t):
+    side = lambda d: I.signature(d, ["l_orderkey"], ["l_linenumber"], ["l_returnflag", "l_linestatus"])
+    return I.same_signature(side(t("lineitem")), side(t("lineitem").filter("l_partkey % 50 <> 3")), ["l_orderkey"])
+
+
+@query("SELECT spec, category, grp, count(image_url) AS with_a, count(CASE WHEN CAST(quantity AS INT) % 3 > 0 THEN image_url END) AS with_b FROM parts GROUP BY ALL HAVING with_a <> with_b")
+def image_presence_diff(t):
+    p = t("parts").select("spec", "category", "grp", F.col("image_url").alias("image"), "quantity")
+    return I.image_presence(p, p.withColumn("image", F.when(F.col("quantity").cast("int") % 3 > 0, F.col("image"))), ["spec", "category", "grp"])
+
+
 @query("SELECT page_id, regexp_matches(url, '^[a-z]+://[^/?#]+') AS absolute FROM pages")
 def absolute_urls(t):
     return t("pages").select("page_id", X.is_absolute_url(F.col("url")).alias("absolute"))
@@ -292,7 +367,7 @@ def canonical_json(t):
     return t("part").select("p_partkey", H.json_object(type=H.json_text(F.col("p_type")), brand=H.json_text(F.col("p_brand")), size=F.col("p_size").cast("string"), note=H.json_text(F.lit(None).cast("string"))).alias("j"))
 
 
-@query("SELECT capture_id FROM captures WHERE capture_id % 50 NOT IN (SELECT doc_id FROM documents WHERE doc_id < 25)")
+@query("SELECT capture_id FROM captures WHERE capture_id * 3 NOT IN (SELECT doc_id FROM documents)")
 def captures_outside_scope(t):
-    c = t("captures").withColumn("spec", F.col("capture_id") % 50)
-    return I.outside_scope(c, t("documents").filter("doc_id < 25").select(F.col("doc_id").alias("spec")), ["spec"]).select("capture_id")
+    c = t("captures").withColumn("spec", F.col("capture_id") * 3)
+    return I.outside_scope(c, t("documents").select(F.col("doc_id").alias("spec")), ["spec"]).select("capture_id")

@@ -30,6 +30,20 @@ def checkpoint_state(t):
     return S.checkpoint_states(e).select("key", "status", "attempts", "ignored")
 
 
+@query("""WITH e AS (SELECT user_id AS key, t_s, seq, kind, row_number() OVER (PARTITION BY user_id ORDER BY t_s, seq) AS i FROM run_events WHERE kind <> 'CHALLENGE'),
+    r AS (SELECT key, i, CASE kind WHEN 'START' THEN 'IN_PROGRESS' ELSE 'PENDING' END AS status, CASE kind WHEN 'START' THEN t_s END AS last_at, NULL::VARCHAR AS capture, NULL::BIGINT AS done_at FROM e WHERE i = 1 UNION ALL
+    SELECT r.key, e.i, CASE WHEN r.status = 'ACCEPTED' THEN 'ACCEPTED' WHEN e.kind = 'START' AND r.status IN ('PENDING', 'REJECTED') THEN 'IN_PROGRESS' WHEN r.status = 'IN_PROGRESS' AND e.kind = 'ACCEPT' THEN 'ACCEPTED' WHEN r.status = 'IN_PROGRESS' AND e.kind = 'REJECT' THEN 'REJECTED' ELSE r.status END,
+    CASE WHEN e.kind = 'START' AND r.status IN ('PENDING', 'REJECTED') THEN e.t_s ELSE r.last_at END, CASE WHEN r.status = 'IN_PROGRESS' AND e.kind = 'ACCEPT' THEN 'c' || CAST(e.seq AS VARCHAR) ELSE r.capture END, CASE WHEN r.status = 'IN_PROGRESS' AND e.kind = 'ACCEPT' THEN e.t_s ELSE r.done_at END FROM r JOIN e ON e.key = r.key AND e.i = r.i + 1)
+    SELECT key, status, last_at, capture, done_at FROM r QUALIFY row_number() OVER (PARTITION BY key ORDER BY i DESC) = 1""")
+def checkpoint_entry(t):
+    """The entry itself: the accepted capture and the times of the last attempt and of acceptance."""
+    e = _events(t).filter("kind <> 'CHALLENGE'").select(F.col("user_id").alias("key"), "ts", "seq", "kind", F.concat(F.lit("c"), F.col("seq").cast("string")).alias("capture"))
+    return S.checkpoint_states(e).select("key", "status", F.unix_seconds("last_attempt_at").alias("last_at"), F.col("raw_capture_id").alias("capture"), F.unix_seconds("accepted_at").alias("done_at"))
+
+
+query.oracles["checkpoint_entry"] = query.oracles["checkpoint_entry"].replace("WITH run_events", "WITH RECURSIVE run_events", 1)
+
+
 @query("""WITH e AS (SELECT user_id % 50 AS resource, t_s, user_id AS owner, row_number() OVER (PARTITION BY user_id % 50 ORDER BY t_s, seq) AS i FROM run_events WHERE kind = 'START'),
     r AS (SELECT resource, i, owner, 1::BIGINT AS token, t_s + 120 AS expires_at, 0::BIGINT AS denied FROM e WHERE i = 1 UNION ALL
     SELECT e.resource, e.i, CASE WHEN r.owner = e.owner OR r.expires_at <= e.t_s THEN e.owner ELSE r.owner END, r.token + CASE WHEN r.owner = e.owner OR r.expires_at <= e.t_s THEN 1 ELSE 0 END,
@@ -79,15 +93,26 @@ def pool_disposition(t):
     return _dispositions(t)
 
 
-@query(f"""WITH {_BLOCKED}, s AS (SELECT DISTINCT user_id AS spec_key FROM run_events), v AS (SELECT DISTINCT user_id AS spec_key FROM run_events WHERE kind = 'ACCEPT' AND seq % 50 = 0), b AS (SELECT spec_key FROM d WHERE kind = 'MANUAL_RETRY_REQUIRED' OR (kind = 'DEFERRED_THIS_SESSION' AND session = 's1'))
-    SELECT spec_key, row_number() OVER (ORDER BY spec_key) AS place FROM s WHERE spec_key NOT IN (SELECT * FROM v) AND spec_key NOT IN (SELECT * FROM b) QUALIFY place <= 4""")
+@query(f"""WITH {_BLOCKED}, s AS (SELECT DISTINCT user_id AS spec_key FROM run_events), v AS (SELECT DISTINCT user_id AS spec_key FROM run_events WHERE kind = 'ACCEPT' AND seq % 50 = 0), b AS (SELECT spec_key FROM d WHERE kind = 'MANUAL_RETRY_REQUIRED' OR (kind = 'DEFERRED_THIS_SESSION' AND session = 's1')),
+    l AS (SELECT user_id AS spec_key, max(t_s) + 7200 AS until FROM run_events WHERE kind = 'START' GROUP BY 1), n AS (SELECT max(t_s) AS now FROM run_events), act AS (SELECT spec_key FROM l, n WHERE until > now)
+    SELECT spec_key, row_number() OVER (ORDER BY spec_key) AS place FROM s WHERE spec_key NOT IN (SELECT * FROM v) AND spec_key NOT IN (SELECT * FROM b) AND spec_key NOT IN (SELECT * FROM act) QUALIFY place <= 8 - (SELECT count(*) FROM act)""")
 def claim_admission(t):
     e = _events(t)
     specs = e.select(F.col("user_id").alias("spec_key")).distinct()
     valid = e.filter("kind = 'ACCEPT' AND seq % 50 = 0").select(F.col("user_id").alias("spec_key")).distinct()
     blocked = _dispositions(t).filter(~S.eligible_disposition(F.col("kind"), F.col("session"), F.lit("s1"), False)).select("spec_key")
-    leases = e.select(F.col("user_id").alias("resource"), F.lit(None).cast("timestamp").alias("expires_at"))
-    return S.admissible(specs, valid, leases, blocked, F.current_timestamp(), 4).withColumn("place", F.col("place").cast("long"))
+    # the clock is the data's
+    now = e.agg(F.max("ts").alias("now"))
+    leases = e.filter("kind = 'START'").groupBy(F.col("user_id").alias("resource")).agg((F.max("ts") + F.make_dt_interval(hours=F.lit(2))).alias("expires_at")).join(F.broadcast(now))
+    return S.admissible(specs, valid, leases, blocked, F.col("now"), 8).withColumn("place", F.col("place").cast("long"))
+
+
+@query("""WITH k AS (SELECT user_id % 50 AS resource, max(t_s) AS last FROM run_events GROUP BY 1), h AS (SELECT max(last) AS m FROM k) SELECT count(*) FILTER (last > m - 3600) AS active, CASE WHEN count(*) FILTER (last <= m - 3600) = 0 THEN 'FINISH' WHEN count(*) FILTER (last > m - 3600) >= 4 THEN 'THROTTLED' ELSE 'CLAIM' END AS action FROM k, h""")
+def claim_result(t):
+    """Whether a worker may claim, waits for a slot, or ends: candidates without a lease and active leases against the slots."""
+    k = t("run_events").groupBy((F.col("user_id") % 50).alias("resource")).agg(F.max("t_s").alias("last"))
+    one = k.join(F.broadcast(k.agg(F.max("last").alias("m")))).agg(F.count_if(F.col("last") > F.col("m") - 3600).alias("active"), F.count_if(F.col("last") <= F.col("m") - 3600).alias("candidates"))
+    return one.select("active", F.when(F.col("candidates") == 0, "FINISH").when(F.col("active") >= 4, "THROTTLED").otherwise("CLAIM").alias("action"))
 
 
 @query("SELECT user_id % 4 AS run, max(t_s) - 300 AS since, count(*) FILTER (kind = 'CHALLENGE' AND t_s >= m - 300) AS n, count(*) FILTER (kind = 'CHALLENGE' AND t_s >= m - 3600) AS hour, count(*) FILTER (kind = 'CHALLENGE') AS total FROM (SELECT *, max(t_s) OVER (PARTITION BY user_id % 4) AS m FROM run_events) GROUP BY 1")
@@ -140,6 +165,15 @@ def retry_classes(t):
     return d.select("user_id", "cls", S.included(F.col("cls"), False).alias("included"))
 
 
+@query(_STATUS + " SELECT user_id, CASE WHEN k = 'REJECT' THEN 'REQUIRES_EXPLICIT_RETRY' WHEN k = 'CHALLENGE' THEN 'CHALLENGE_PAUSED' WHEN k = 'START' THEN 'TRANSPORT_RETRY' ELSE 'NOT_YET_ATTEMPTED' END AS cls, true AS included FROM s")
+def retry_rejected(t):
+    """With the wish to retry what was rejected; an accepted group asked for again counts as not yet attempted."""
+    last = t("run_events").groupBy("user_id").agg(F.max_by("kind", F.struct("t_s", "seq")).alias("k"))
+    status = F.when(F.col("k") == "REJECT", "REJECTED").when(F.col("k") != "ACCEPT", "IN_PROGRESS")
+    d = last.withColumn("cls", S.pending_class(status, F.col("k")))
+    return d.select("user_id", "cls", S.included(F.col("cls"), True).alias("included"))
+
+
 @query("SELECT user_id, CASE WHEN bool_or(kind = 'ACCEPT') THEN 'PROGRESSED' WHEN bool_or(kind = 'REJECT') THEN 'MANUAL_RETRY_REQUIRED' ELSE 'DEFERRED_THIS_SESSION' END AS disposition FROM run_events GROUP BY 1")
 def pass_disposition(t):
     k = F.col("kind")
@@ -147,14 +181,50 @@ def pass_disposition(t):
 
 
 @query("""WITH cur AS (SELECT * FROM manifests WHERE manifest_complete QUALIFY row_number() OVER (PARTITION BY spec_key ORDER BY discovered_at DESC, id DESC) = 1),
-    p AS (SELECT spec_key, category, group_id FROM cur JOIN manifest_groups USING (id) ANTI JOIN accepted USING (spec_key, category, group_id))
-    SELECT spec_key, count(*) AS pending, min(category || '/' || group_id) AS next FROM p GROUP BY spec_key""")
+    p AS (SELECT spec_key, run_id, category, group_id FROM cur JOIN manifest_groups USING (id) ANTI JOIN accepted USING (spec_key, run_id, category, group_id))
+    SELECT spec_key, min(run_id) AS run_id, count(*) AS pending, min(category || '/' || group_id) AS next FROM p GROUP BY spec_key""")
 def dry_run_plan(t):
     from ..operators import latest as L
 
-    e = L.current_manifest(t("manifests")).select("spec_key", "id").join(t("manifest_groups"), "id")
-    p = e.join(t("accepted").select("spec_key", "category", "group_id").distinct(), ["spec_key", "category", "group_id"], "left_anti")
-    return p.groupBy("spec_key").agg(F.count("*").alias("pending"), F.min(F.concat_ws("/", "category", "group_id")).alias("next"))
+    # the run of the current manifest: what other runs have accepted is pending in this one
+    keys = ["spec_key", "run_id", "category", "group_id"]
+    e = L.current_manifest(t("manifests")).select("spec_key", "run_id", "id").join(t("manifest_groups"), "id")
+    p = e.join(t("accepted").select(*keys).distinct(), keys, "left_anti")
+    return p.groupBy("spec_key", "run_id").agg(F.count("*").alias("pending"), F.min(F.concat_ws("/", "category", "group_id")).alias("next"))
+
+
+@query("""WITH cur AS (SELECT * FROM manifests WHERE manifest_complete QUALIFY row_number() OVER (PARTITION BY spec_key ORDER BY discovered_at DESC, id DESC) = 1),
+    p AS (SELECT spec_key, category, group_id FROM cur JOIN manifest_groups USING (id) ANTI JOIN accepted USING (spec_key, run_id, category, group_id)), s AS (SELECT spec_key FROM (SELECT DISTINCT spec_key FROM p) ORDER BY spec_key LIMIT 5)
+    SELECT spec_key, category, group_id, row_number() OVER (PARTITION BY spec_key ORDER BY category, group_id) AS place FROM p SEMI JOIN s USING (spec_key) QUALIFY place <= 2""")
+def limited_plan(t):
+    """The first five specs that have anything pending, and two groups of each."""
+    from ..operators import latest as L
+
+    keys = ["spec_key", "run_id", "category", "group_id"]
+    p = L.current_manifest(t("manifests")).select("spec_key", "run_id", "id").join(t("manifest_groups"), "id").join(t("accepted").select(*keys), keys, "left_anti")
+    few = p.join(L.first_specs(p, "spec_key", 5), "spec_key", "left_semi")
+    return L.first_n(few, ["spec_key"], ["category", "group_id"], 2).select("spec_key", "category", "group_id", F.col("rank").cast("long").alias("place"))
+
+
+@query("""WITH r AS (SELECT user_id % 4 AS run_id, max(t_s) AS now FROM run_events GROUP BY 1), e AS (SELECT user_id % 4 AS run_id, * FROM run_events),
+    x AS (SELECT run_id, count(*) FILTER (kind = 'ACCEPT') AS accepted, count(*) FILTER (kind = 'START') AS requests, count(DISTINCT user_id) FILTER (kind = 'ACCEPT' AND seq % 5 = 0) AS specs, count(*) FILTER (kind = 'CHALLENGE') AS challenges,
+        CAST(coalesce(sum(seq % 60) FILTER (kind = 'CHALLENGE' AND seq % 2 = 0), 0) AS BIGINT) AS wait, count(*) FILTER (kind = 'CHALLENGE' AND t_s > now - 3600) AS hour FROM e JOIN r USING (run_id) GROUP BY 1),
+    b AS (SELECT run_id, count(*) FILTER (beat >= now - 86400) AS active FROM (SELECT run_id, user_id, max(t_s) AS beat FROM e GROUP BY ALL) JOIN r USING (run_id) GROUP BY 1),
+    q AS (SELECT run_id, count(*) FILTER (kind = 'ACCEPT' AND t_s <= now - 86400) AS before FROM e JOIN r USING (run_id) GROUP BY 1)
+    SELECT run_id, specs AS specs_completed, accepted AS groups_accepted, CASE WHEN run_id = 3 THEN 0 ELSE greatest(0, (accepted - before) / 1440.0)::DOUBLE END AS groups_per_minute, requests AS requests_total, challenges AS challenges_total, hour::DOUBLE AS challenges_per_hour,
+        wait AS challenge_wait_seconds, active AS active_workers, 4 - run_id AS effective_concurrency FROM x JOIN b USING (run_id) JOIN q USING (run_id)""")
+def metrics_report(t):
+    from ..operators import records as Q
+    from ..operators import reports as R
+
+    e = t("run_events").withColumn("run_id", F.col("user_id") % 4)
+    runs = e.groupBy("run_id").agg(F.max("t_s").alias("now"))
+    kinds = e.filter("kind IN ('ACCEPT', 'START')").select("run_id", F.when(F.col("kind") == "ACCEPT", "ACCEPT").otherwise("REQUEST").alias("kind"))
+    challenges = e.filter("kind = 'CHALLENGE'").select("run_id", F.col("t_s").alias("observed_at"), F.when(F.col("seq") % 2 == 0, F.col("t_s") + F.col("seq") % 60).alias("resolved_at"))
+    beats = Q.heartbeats(e.select("run_id", F.col("user_id").alias("worker_id"), F.col("t_s").alias("ts")))
+    completed = e.filter("kind = 'ACCEPT' AND seq % 5 = 0").select("run_id", F.col("user_id").alias("spec_key"))
+    previous = e.join(runs, "run_id").filter("run_id <> 3").groupBy("run_id").agg(F.count_if((F.col("kind") == "ACCEPT") & (F.col("t_s") <= F.col("now") - 86400)).alias("groups_accepted"), (F.max("now") - 86400).alias("at"))
+    return R.metrics(runs, kinds, challenges, beats, completed, runs.select("run_id", (4 - F.col("run_id")).alias("concurrency")), previous, 86400)
 
 
 @query("SELECT CASE event_type WHEN 'purchase' THEN 'ACCEPTED' WHEN 'error' THEN 'CHALLENGE' WHEN 'click' THEN 'REJECTED' ELSE 'OTHER' END AS bucket, count(*) AS n FROM run_events GROUP BY 1")

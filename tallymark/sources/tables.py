@@ -67,5 +67,30 @@ def replay(captures: DataFrame, store: DataFrame) -> DataFrame:
     return captures.join(store, "content_hash", "left")
 
 
+def stored_blobs(spark: SparkSession, root: str) -> DataFrame:
+    """content_hash, size_bytes, first_seen_at, html of the blobs written so far (none: an empty table)."""
+    return spark.read.schema("content_hash string, size_bytes bigint, first_seen_at bigint, html string, prefix string").option("ignoreMissingFiles", "true").parquet(root)
+
+
+def write_blobs(captures: DataFrame, root: str) -> DataFrame:
+    """Adds the contents of captures (html, collected_at) that the store at ``root`` lacks, in folders by the first two digits of their hash; a repeated write adds nothing.
+
+    Spark commits a write as a whole, so no reader sees half a blob. -> the store after the write."""
+    spark = captures.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    known = stored_blobs(spark, root).select("content_hash") if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path) else spark.createDataFrame([], "content_hash string")
+    new = register_blobs(captures, known).select("content_hash", "size_bytes", F.col("first_seen_at").cast("long").alias("first_seen_at"), "html", F.substring("content_hash", 1, 2).alias("prefix"))
+    new.write.mode("append").partitionBy("prefix").parquet(root)
+    return stored_blobs(spark, root)
+
+
 def write_table(df: DataFrame, folder: str, name: str, mode: str = "append") -> None:
+    """Appends rows (captures, manifests, discovery entries): a write never looks at what is there."""
     df.write.mode(mode).parquet(f"{folder}/{name}.parquet")
+
+
+def replace(df: DataFrame, folder: str, name: str, version: int) -> str:
+    """Writes an upserted table as a new version beside the one it was made from, which it may still read. -> its path."""
+    path = f"{folder}/{name}.{version}.parquet"
+    df.write.mode("errorifexists").parquet(path)
+    return path

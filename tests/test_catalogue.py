@@ -4,16 +4,20 @@ import datetime as dt
 import hashlib
 import itertools
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallymark.functions import hashing as H
 from tallymark.functions import text as X
+from tallymark.operators import assembly as A
 from tallymark.operators import equivalence as E
 from tallymark.operators import fingerprints as P
+from tallymark.operators import ingest as I
 from tallymark.operators import latest as L
 from tallymark.operators import pages
+from tallymark.operators import records
 from tallymark.operators import reports as R
 from tallymark.operators import state as S
 from tallymark.operators import validation as V
@@ -275,3 +279,140 @@ def test_stream(spark, tmp_path):
     q = C.start(C.classified(C.landed(spark, str(tmp_path / "in"), "html string, capture_kind string")), str(tmp_path / "out"), str(tmp_path / "cp"))
     assert q.awaitTermination(120)
     assert sorted(r.outcome for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["ACCEPTED", "CHALLENGE"]
+
+
+def brute_lease(claims, seconds):
+    owner = until = None
+    token = denied = 0
+    for t, _, who in sorted(claims):
+        if owner is None or owner == who or until <= t:
+            owner, token, until = who, token + 1, t + seconds
+        else:
+            denied += 1
+    return owner, token, until, denied
+
+
+def brute_limiter(events, most, threshold, window, stability):
+    c, since, cuts, raises = most, None, 0, 0
+    hot = [t for t, _, x in events if x]
+    for t, _, challenge in sorted(events):
+        since = t if since is None else since
+        if challenge:
+            if sum(t - window <= h <= t for h in hot) >= threshold:
+                c, since, cuts = max(1, c - 1), t, cuts + 1
+        elif c < most and t - since >= stability:
+            c, since, raises = c + 1, t, raises + 1
+    return c, cuts, raises
+
+
+def test_folds_brute_force(spark):
+    """Leases, limiter and fencing against loops, over slices of a day and of two minutes."""
+    r = random.Random(4)
+    at = lambda s: dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(seconds=s)
+    claims = {k: [(t, i, r.randrange(3)) for i, t in enumerate(sorted(r.randrange(200_000 if k % 2 else 4000) for _ in range(80)))] for k in range(6)}
+    d = spark.createDataFrame([(k, at(t), i, w) for k, x in claims.items() for t, i, w in x], "resource int, ts timestamp, seq int, owner long")
+    got = {x.resource: (x.owner, x.token, x.e, x.denied) for x in S.lease_states(d, 120).withColumn("e", F.unix_seconds("expires_at") - int(at(0).timestamp())).collect()}
+    assert got == {k: brute_lease(x, 120) for k, x in claims.items()}
+    events = {k: [(t, i, r.random() < 0.3) for i, t in enumerate(sorted(r.randrange(100_000) for _ in range(150)))] for k in range(6)}
+    d = spark.createDataFrame([(k, at(t), i, c) for k, x in events.items() for t, i, c in x], "run int, ts timestamp, seq int, is_challenge boolean")
+    for seconds in (86_400, 500):
+        got = {x.run: (x.concurrency, x.cuts, x.raises) for x in S.limiter_states(d, 4, 2, 900, 1500, seconds).collect()}
+        assert got == {k: brute_limiter(x, 4, 2, 900, 1500) for k, x in events.items()}
+    highest = {(k, i): max([v for u, j, v in [(t, j, (j * 7919) % 100) for t, j, _ in x] if (u, j) < (t, i)], default=None) for k, x in claims.items() for t, i, _ in x}
+    d = spark.createDataFrame([(k, at(t), i) for k, x in claims.items() for t, i, _ in x], "resource int, ts timestamp, seq int")
+    got = {(x.resource, x.seq): x.highest for x in S.running_max(d, "resource", F.col("seq") * 7919 % 100, "highest", False, 300).collect()}
+    assert got == highest
+
+
+@pytest.mark.parametrize("kind, html, want", [("PRICE_LIST", OK_PAGE, "UNDECIDABLE"), ("PRICE_LIST", "<html>Ray ID: 1</html>", "CHALLENGE"), ("PRICE_LIST", "<html class='translated-rtl'></html>", "TRANSLATION_CONTAMINATED")])
+def test_unknown_kinds_are_not_accepted(spark, kind, html, want):
+    assert one(spark.createDataFrame([(html, kind)], "h string, k string").select(V.outcome(F.col("h"), F.col("k")))) == want
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ('<div id="registration-form-container"><div class="g-recaptcha"></div></div>', False), ('<div id="registration-form-container"><div></div><p class="g-recaptcha"></p></div>', False), ('<div id="registration-form-container"></div><p class="g-recaptcha"></p>', True),
+        ('<div id="other"><p class="g-recaptcha"></p></div>', True), ('<p id="restore-form-container"><b class="g-recaptcha"></b></p>', True), ("<div id = ' restore-form-container '>g-recaptcha</div>", False),
+        ('<div id=" restore-form-container "><b class="g-recaptcha"></b></div>', True), ('<div id="restore-form-container"><script>g-recaptcha</script>', False), ("nothing", False), (None, False), ('<div data-id="restore-form-container">g-recaptcha</div>', True),
+    ],
+)
+def test_widget(html, want):
+    """Raw spans and the parsed page: the latter (an id must be the approved one exactly) only ever adds."""
+    assert V.unproven_widget(html) is want
+
+
+def test_keys_are_not_ambiguous(spark):
+    rows = [("s", "a|b", "c", "x"), ("t", "a", "b|c", "x"), ("u", "a", "b", "x")]
+    d = spark.createDataFrame(rows, "spec string, category string, grp string, schema_id string")
+    assert len({x.structure_hash for x in P.structure_hash(d).collect()}) == 3
+    k = I.idempotency_keys(spark.createDataFrame([("r", "s", "a", None), ("r", "t", None, "a")], "run string, spec string, x string, y string"), "run", "spec", ["x", "y"]).collect()
+    assert len({x.k for x in k}) == 2
+    assert one(spark.createDataFrame([("a\"b", 1)], "v string, n long").select(H.json_multiset(F.array(F.struct(F.col("v").alias("value"), "n"))))) == '[["a\\"b",1]]'
+
+
+def test_assemble_and_finalize(spark):
+    """A captured empty group stays, one that was not captured leaves no row, nor does its category; a critical page makes its run INVALID."""
+    manifests = spark.createDataFrame([(1, "s", "r", True), (2, "t", "r", True), (3, "u", "r", True), (4, "v", "r", False)], "id long, spec_key string, run_id string, manifest_complete boolean")
+    groups = spark.createDataFrame([(1, "brakes", "1"), (1, "brakes", "2"), (1, "lamps", "3"), (2, "brakes", "1"), (3, "brakes", "1"), (4, "brakes", "1")], "id long, category string, group_id string")
+    accepted = spark.createDataFrame([("s", "r", "brakes", "1", "c1"), ("s", "r", "brakes", "2", "c2"), ("t", "r", "brakes", "1", "c3"), ("t", "r", "old", "9", "c1")], "spec_key string, run_id string, category string, group_id string, raw_capture_id string")
+    page = '<div class="epcVariation__details"></div><div class="epcSchema__schemas">{}</div>'
+    body = '<div class="epcSchema__schema" data-id=" S1 "><table class="entriesTable"><tr data-key="a1"><td class="entriesTable__number">1k 0</td></tr></table></div><div class="epcSchema__schema" data-id="S2"></div>'
+    pages_ = spark.createDataFrame([("c1", page.format(body)), ("c2", page.format("")), ("c3", "<p>")], "capture_id string, html string")
+    details = pages.parse_pages(pages_, "GROUP_DETAIL")
+    runs = L.authoritative_manifest(manifests).select("spec_key", "run_id", "id").join(groups, "id")
+    tree = A.normalize_parts(A.assemble(runs, accepted, details)).filter("spec.spec_key = 's'").collect()
+    assert sorted(((x.category, x.grp, x.schema_id, x.pnc, x.oem) for x in tree), key=repr) == sorted([("brakes", "1", "S1", "A1", "1K0"), ("brakes", "1", "S2", None, None), ("brakes", "2", None, None, None)], key=repr)
+    plans = {x.spec_key: x for x in A.plan_finalization(manifests, groups, accepted, details).collect()}
+    assert {k: (x.collection_complete, x.state, x.categories, x.groups, x.schemas, x.parts) for k, x in plans.items()} == {"s": (False, "INCOMPLETE", 1, 2, 2, 1), "t": (True, "INVALID", 1, 1, 0, 0), "u": (False, "INCOMPLETE", 0, 0, 0, 0)}
+    assert plans["u"].spec_parts_hash == hashlib.sha256(b'spec-parts:v1\0{"category_fingerprints_multiset":[]}').hexdigest() and plans["u"].idempotency_key is None
+    assert len({x.structure_hash for x in plans.values()}) == 3
+
+
+def test_commit_is_idempotent(spark):
+    kind = "snapshot_id string, spec_key long, state string, collected_at long, idempotency_key string"
+    old = spark.createDataFrame([("a", 1, "VALID", 1, "k1"), ("b", 2, "VALID", 1, "k2"), ("c", 3, "STALE", 1, "k3")], kind)
+    plans = spark.createDataFrame([("d", 1, "VALID", 2, "k4"), ("e", 2, "INVALID", 2, "k5"), ("f", 3, "VALID", 2, "k3")], kind)
+    once = A.commit(plans, old)
+    want = {"a": "SUPERSEDED", "b": "VALID", "c": "STALE", "d": "VALID", "e": "INVALID"}
+    assert {x.snapshot_id: x.state for x in once.collect()} == want == {x.snapshot_id: x.state for x in A.commit(plans, once).collect()}
+
+
+def test_accepted_checkpoints_stay(spark):
+    kind = "key string, status string, seq long"
+    old, new = spark.createDataFrame([("a", "ACCEPTED", 1), ("b", "REJECTED", 1)], kind), spark.createDataFrame([("a", "REJECTED", 2), ("b", "ACCEPTED", 2), ("b", "IN_PROGRESS", 3), ("c", "IN_PROGRESS", 1)], kind)
+    assert {x.key: (x.status, x.seq) for x in records.upsert_checkpoints(old, new, ["key"], "seq").collect()} == {"a": ("ACCEPTED", 1), "b": ("ACCEPTED", 2), "c": ("IN_PROGRESS", 1)}
+
+
+def test_blob_store_writes_once(spark, tmp_path):
+    c = spark.createDataFrame([("a", 3), ("a", 1), ("b", 2)], "html string, collected_at long")
+    root = str(tmp_path / "blobs")
+    tables.write_blobs(c, root)
+    got = tables.write_blobs(spark.createDataFrame([("a", 0), ("c", 9)], "html string, collected_at long"), root).collect()
+    assert sorted((x.html, x.first_seen_at) for x in got) == [("a", 1), ("b", 2), ("c", 9)] and all(x.prefix == x.content_hash[:2] for x in got)
+
+
+def test_versions_beside_each_other(spark, tmp_path):
+    d = spark.createDataFrame([(1, "a")], "k int, v string")
+    path = tables.replace(d, str(tmp_path), "t", 1)
+    again = tables.replace(spark.read.parquet(path).withColumn("v", F.lit("b")), str(tmp_path), "t", 2)
+    assert [x.v for x in spark.read.parquet(path).collect() + spark.read.parquet(again).collect()] == ["a", "b"]
+
+
+def test_logs_refuse_raw_content(spark):
+    assert json.loads(R.log_event("r", "capture", "t", size=3)) == {"run_id": "r", "event": "capture", "timestamp": "t", "size": 3}
+    for bad in ({"html": "x"}, {"page": b"x"}):
+        with pytest.raises(ValueError):
+            R.log_event("r", "capture", "t", **bad)
+    with pytest.raises(ValueError):
+        R.log_lines(spark.createDataFrame([("r", "x")], "run_id string, raw_html string"))
+
+
+def test_revalidate_trees(spark):
+    kind = "spec string, category string, grp string, schema_id string, part_fp string, image_url string"
+    a = spark.createDataFrame([("s", "x", "1", "S", "p", "i"), ("s", "x", "2", "S", "p", None), ("t", "x", "1", "S", "p", "i"), ("u", "x", "1", "S", "p", "i")], kind)
+    b = spark.createDataFrame([("s", "x", "1", "S", "p", "i"), ("s", "x", "2", "S", "q", None), ("s", "y", "3", "S", "p", None), ("t", "x", "1", "S", "p", "j"), ("v", "x", "1", "S", "p", "i")], kind)
+    flags, groups = E.revalidate_trees(a, b)
+    got = {x.spec: (x.structure_changed, x.spec_parts_changed, x.schema_semantic_changed, x.image_changed, x.is_stale) for x in flags.collect()}
+    assert got["s"] == (True, True, True, False, True) and got["t"] == (False, False, False, True, False) and got["u"][4] and got["v"][4]
+    assert sorted(map(tuple, groups.collect())) == [("s", "x", "2", "CHANGED"), ("s", "y", "3", "ADDED"), ("u", "x", "1", "REMOVED"), ("v", "x", "1", "ADDED")]
