@@ -57,6 +57,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}-{name}")
         docs = spark.read.parquet(f"{folder}/{i}-{name}")
+        if i:  # what the stage has read is not needed any more
+            tables.delete(spark, f"{folder}/{i - 1}-{STAGES[i - 1][0]}")
         tables.release(spark)
     return docs
 
