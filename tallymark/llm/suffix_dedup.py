@@ -39,6 +39,8 @@ GRAM = 40
 BLOCK, FLUSH = 1 << 20, 12 << 20
 #: Strings that one suffix array takes, at about 100 bytes of memory for each of their bytes. An anchor with more of them is cut up by window.
 AT_ONCE = 4000
+#: Windows of such an anchor that are hashed and sorted at once.
+WINDOWS = 4_000_000
 COPY = np.uint32(0xFFFFFFFF)  # as a place: the document is a whole copy of an earlier one
 _LAST = np.iinfo(np.int64).max
 
@@ -207,29 +209,33 @@ def _cut_up(g: dict, x: np.ndarray, begins: np.ndarray, length: int, at_once: in
     """removed_windows of one anchor's strings (rows x of g), slice by slice: a window goes where all windows with its hash go."""
     n = g["n"][x].astype(np.int64)
     ends = np.cumsum(n)
-    h = np.empty(int(n.sum()), np.uint64)
-    for i in range(0, len(x), 16_384):
-        some = slice(i, i + 16_384)
-        sizes = n[some] + length - 1
-        text = g["text"][A.ranges(begins[x[some]], sizes)]
-        at = np.concatenate(([0], np.cumsum(sizes)))
-        h[ends[i] - n[i] : ends[min(i + 16_384, len(x)) - 1]] = A.window_hashes(A.byte_prefix(text), length)[A.window_rows(at, length)[0]]
-    order = np.argsort(h, kind="stable")
-    s = h[order]
-    edges = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1], [True])))
-    often = np.repeat(np.diff(edges) > 1, np.diff(edges))
-    order, s = order[often], s[often]
-    edges = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1], [True]))) if len(s) else np.zeros(1, np.int64)
-    a = 0
-    while a < len(s):
-        b = int(edges[max(np.searchsorted(edges, a + at_once, "right") - 1, np.searchsorted(edges, a, "right"))])
-        own = order[a:b]
-        row = np.searchsorted(ends, own, "right")
-        column = own - (ends[row] - n[row])
-        of = x[row]
-        one = np.ones(len(own), np.int64)
-        yield removed_windows(s[a:b], g["o"][of], g["rk"][of], g["first"][of].astype(np.int64) + column, one, g["text"][A.ranges(begins[of] + column, one * length)], length)
-        a = b
+    passes = -(-int(n.sum()) // WINDOWS)
+    for p in range(passes):
+        hashes, ids = [], []
+        for i in range(0, len(x), 16_384):
+            some = slice(i, i + 16_384)
+            sizes = n[some] + length - 1
+            at = np.concatenate(([0], np.cumsum(sizes)))
+            h = A.window_hashes(A.byte_prefix(g["text"][A.ranges(begins[x[some]], sizes)]), length)[A.window_rows(at, length)[0]]
+            own = np.flatnonzero(K.part_of(h, passes) == p)
+            hashes.append(h[own])
+            ids.append(own + (ends[i] - n[i]))
+        h, ids = np.concatenate(hashes), np.concatenate(ids)
+        order = np.argsort(h, kind="stable")
+        s = h[order]
+        edges = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1], [True])))
+        often = np.repeat(np.diff(edges) > 1, np.diff(edges))
+        ids, s = ids[order[often]], s[often]
+        edges = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1], [True]))) if len(s) else np.zeros(1, np.int64)
+        a = 0
+        while a < len(s):
+            b = int(edges[max(np.searchsorted(edges, a + at_once, "right") - 1, np.searchsorted(edges, a, "right"))])
+            row = np.searchsorted(ends, ids[a:b], "right")
+            column = ids[a:b] - (ends[row] - n[row])
+            of = x[row]
+            one = np.ones(b - a, np.int64)
+            yield removed_windows(s[a:b], g["o"][of], g["rk"][of], g["first"][of].astype(np.int64) + column, one, g["text"][A.ranges(begins[of] + column, one * length)], length)
+            a = b
 
 
 def _row_keys(matrix: np.ndarray, n: np.ndarray) -> np.ndarray:
