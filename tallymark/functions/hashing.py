@@ -14,8 +14,14 @@ UNAVAILABLE = "UNAVAILABLE-NULL-FINGERPRINT"
 
 
 @F.pandas_udf(StringType())
-def _quoted(values: pd.Series) -> pd.Series:
-    return values.map(lambda s: None if s is None else json.dumps(s))
+def _dumped(values: pd.Series) -> pd.Series:
+    return values.map(json.dumps, na_action="ignore") if values.notna().any() else values
+
+
+def _quoted(c: Column) -> Column:
+    """Values without anything to escape stay in the JVM; Python gets a null for them."""
+    plain = c.rlike(r"\A[ !#-\[\]-~]*+\z")
+    return F.when(plain, F.concat(F.lit('"'), c, F.lit('"'))).otherwise(_dumped(F.when(~plain, c)))
 
 
 def json_text(c: Column, ascii_only: bool = False) -> Column:

@@ -17,8 +17,14 @@ SCOPE_PART = r"^[A-Z0-9]+(-[A-Z0-9]+)*$"
 
 
 @F.pandas_udf(StringType())
-def nfkc(values: pd.Series) -> pd.Series:
-    return values.map(lambda s: s if s is None or s.isascii() else unicodedata.normalize("NFKC", s))
+def _nfkc(values: pd.Series) -> pd.Series:
+    return values.map(lambda s: unicodedata.normalize("NFKC", s), na_action="ignore") if values.notna().any() else values
+
+
+def nfkc(c: Column) -> Column:
+    """ASCII values, which are as long in bytes as in characters, stay in the JVM; Python gets a null for them."""
+    plain = F.octet_length(c) == F.char_length(c)
+    return F.when(plain, c).otherwise(_nfkc(F.when(~plain, c)))
 
 
 def strip(c: Column) -> Column:
