@@ -117,7 +117,7 @@ def context_keys(data: np.ndarray, at: np.ndarray, depth: int = DEPTH) -> tuple[
 
 
 def context_counts(training: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """context (the last ``depth`` bytes, the latest in the lowest), next, n; a row for each map task that holds them."""
+    """context (the last ``depth`` bytes, the latest in the lowest), next, n; a row for each map task that holds them, or more."""
     counted = training.select("text").mapInArrow(_counter(lambda data, at: context_keys(data, at, depth)[0], "k"), "k long, n long")
     return counted.select(F.shiftright("k", 9).alias("context"), F.col("k").bitwiseAND(511).cast("int").alias("next"), "n")
 
@@ -219,7 +219,9 @@ def grow_slices(counts: DataFrame, pairs: DataFrame | None = None, depth: int =
                 yield from K.sliced(pa.RecordBatch.from_arrays([pa.array(keys), pa.array(logs), pa.array(np.zeros(len(keys), bool))], names=["k", "log", "node"]), 100_000)
 
     tops = F.col("context").bitwiseAND((1 << 8 * TOP) - 1)
-    dealt = counts.select(k, "n", tops.alias("top")).repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), T.scale(spark, counts)), "top").select("k", "n")
+    # each context and symbol once, over all map tasks, before those of one top meet
+    whole = counts.groupBy("context", "next").agg(F.sum("n").alias("n"))
+    dealt = whole.select(k, "n", tops.alias("top")).repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), T.scale(spark, counts)), "top").select("k", "n")
     rows = T.checkpoint(dealt.mapInArrow(deep, "k long, log double, node boolean"))
     T.release(spark)
     context = F.shiftright("k", 9).bitwiseAND((1 << 48) - 1)
