@@ -59,10 +59,13 @@ def size_in_bytes(df: DataFrame) -> int:
     return sum(x for x in sizes if x < 1 << 55)
 
 
-def join_counted(rows: DataFrame, table: DataFrame, key: str, total: int, share: int = 1000) -> DataFrame:
+def join_counted(rows: DataFrame, table: DataFrame, key: str, total: int, share: int = 1000, small: int = 1_000_000) -> DataFrame:
     """rows joined with a table of one row for each ``key`` and ``n``, its number of rows (``total`` in all): the rows of a key that holds over 1 / share of
-    all stay where they are. Such keys are under ``share``, so they are broadcast; all other keys are met by a shuffle."""
+    all stay where they are. Such keys are under ``share``, so they are broadcast; all other keys are met by a shuffle. A table that can't have over ``small`` rows, as
+    there are no more rows in all, is broadcast whole."""
     rest = [c for c in table.columns if c not in (key, "n")]
+    if total <= small:
+        return rows.join(F.broadcast(table.drop("n")), key).select(*rows.columns, *rest)
     hot = F.col("n") * share > total
     near = rows.join(F.broadcast(table.filter(hot).select(key, F.struct(*rest).alias("_hot"))), key, "left")
     return near.filter("_hot IS NOT NULL").select(*rows.columns, "_hot.*").unionByName(near.filter("_hot IS NULL").drop("_hot").join(table.filter(~hot).drop("n"), key).select(*rows.columns, *rest))

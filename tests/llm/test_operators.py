@@ -793,11 +793,11 @@ def test_join_counted(spark):
     rows = [(7, i) for i in range(3000)] + [(r.randrange(2000), i) for i in range(3000)]
     big = spark.createDataFrame(rows, "u long, v long")
     small = big.groupBy("u").agg(F.max("v").alias("m"), F.count("*").alias("n")).filter("u % 5 <> 1")
-    got = sorted(map(tuple, tables.join_counted(big, small, "u", len(rows)).select("u", "v", "m").collect()))
+    got, broadcast = (sorted(map(tuple, tables.join_counted(big, small, "u", len(rows), small=n).select("u", "v", "m").collect())) for n in (100, 1_000_000))
     most = collections.defaultdict(int)
     for u, v in rows:
         most[u] = max(most[u], v)
-    assert got == sorted((u, v, most[u]) for u, v in rows if u % 5 != 1)
+    assert got == broadcast == sorted((u, v, most[u]) for u, v in rows if u % 5 != 1)
 
 
 def test_language_id_brute_force(make):
