@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 
 def runs_column(values: np.ndarray, counts: np.ndarray) -> pa.Array:
@@ -39,6 +40,30 @@ def by_part(part: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     return np.argsort(kind, kind="stable"), np.bincount(part, minlength=parts)
 
 
+class ByPart:
+    """Columns of entries, held by part. Each block is put in order when it comes, so no copy of all entries is made when they are packed."""
+
+    def __init__(self, parts: int) -> None:
+        self.parts, self.held = parts, []
+
+    def add(self, hashes: np.ndarray, *columns: np.ndarray) -> None:
+        order, n = by_part(part_of(hashes, self.parts), self.parts)
+        self.held.append((np.concatenate(([0], np.cumsum(n))), *(c[order] for c in columns)))
+
+    def some(self) -> np.ndarray:
+        """The parts that have entries."""
+        return np.flatnonzero(sum(np.diff(ends) for ends, *_ in self.held)) if self.held else np.zeros(0, np.int64)
+
+    def of(self, p: int) -> list[np.ndarray]:
+        """The columns of a part, in the order in which they came."""
+        return [np.concatenate(x) for x in zip(*([c[ends[p] : ends[p + 1]] for c in columns] for ends, *columns in self.held), strict=True)]
+
+
+def dealt(rows: DataFrame, parts: int) -> DataFrame:
+    """Each part in a partition of its own; by the hash of ``part``, one partition in some dozens has four or five."""
+    return rows.repartitionById(parts, "part")
+
+
 def times(values: np.ndarray) -> np.ndarray:
     """How often each value occurs in the whole array."""
     if not len(values):
@@ -64,6 +89,15 @@ def sliced(batch: pa.RecordBatch, rows: int = 4096) -> Iterator[pa.RecordBatch]:
         yield batch.slice(i, rows)
 
 
+def taken(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches that have rows; the list lets go of each."""
+    batches.reverse()
+    while batches:
+        batch = batches.pop()
+        if batch.num_rows:
+            yield batch
+
+
 def owned_rows(owner: np.ndarray, at: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
     """part, docs (pairs of an owner and its number of places), at (the places): one row for each part of owners that has any."""
     order = np.lexsort((owner, owner % parts))

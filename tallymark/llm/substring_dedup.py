@@ -50,6 +50,25 @@ def _packed(batches: Iterator[pa.RecordBatch], emit, pack) -> Iterator[pa.Record
         yield from pack([np.concatenate(x) for x in zip(*held, strict=True)])
 
 
+def _packed_by_part(batches: Iterator[pa.RecordBatch], emit, pack, parts: int, groups: int = 1) -> Iterator[pa.RecordBatch]:
+    """emit: None, or a tuple of hashes and columns for each group. pack(part, columns of the first group, ...) makes the part's row."""
+
+    def packed():
+        for p in held[0].some():
+            yield pack(p, *(g.of(p) for g in held))
+
+    held, size = [K.ByPart(parts) for _ in range(groups)], 0
+    for batch in batches:
+        for i, j, data, at in A.blocks(batch.column("text")):
+            for g, entries in zip(held, emit(batch, i, j, data, at) or (), strict=False):
+                g.add(*entries)
+            size += len(data)
+            if size >= FLUSH:
+                yield from packed()
+                held, size = [K.ByPart(parts) for _ in range(groups)], 0
+    yield from packed()
+
+
 def hit_blocks(docs: DataFrame, k: int, parts: int) -> DataFrame:
     """(rk, binary of uint32 positions) of the blocks that some other window equals, by 32 + log2(parts) bits of hash."""
 
@@ -58,26 +77,25 @@ def hit_blocks(docs: DataFrame, k: int, parts: int) -> DataFrame:
         where, doc = A.window_rows(offsets, k)
         if not len(where):
             return None
-        return A.window_hashes(A.symbol_prefix(words), k)[where], doc, (where - offsets[doc]).astype(np.uint32)
-
-    def pack(held):
-        h, rk, pos = held
-        part = K.part_of(h, parts)
-        order, n = K.by_part(part, parts)
-        key, rk, pos = h[order].astype(np.uint32), rk[order], pos[order]
-        ends = np.cumsum(n)
-        for p in np.flatnonzero(n):
-            a, b = ends[p] - n[p], ends[p]
-            often = K.times(key[a:b])
-            own, blk = key[a:b], pos[a:b] % k == 0
-            known, single = blk & (often > 1), blk & (often == 1)
-            yield pa.RecordBatch.from_pydict({
-                "part": pa.array([p], pa.int32()),
-                "once": [np.sort(own[often == 1]).tobytes()],
-                "twice": [np.unique(own[often > 1]).tobytes()],
-                "keys": [own[single].tobytes()], "docs": [rk[a:b][single].tobytes()], "pos": [pos[a:b][single].tobytes()],
-                "known_docs": [rk[a:b][known].tobytes()], "known_pos": [pos[a:b][known].tobytes()],
-            })
+        h, pos = A.window_hashes(A.symbol_prefix(words), k)[where], (where - offsets[doc]).astype(np.uint32)
+        blk = pos % k == 0
+        own = h[blk]
+        return (h, h.astype(np.uint32)), (own, own.astype(np.uint32), batch.column("rk").to_numpy(zero_copy_only=False)[i:j][doc[blk]], pos[blk])
+
+    def pack(p, probes, blks):
+        # of all windows only the key is held, of blocks their places too
+        s, (own, rk, pos) = np.sort(probes[0]), blks
+        first = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
+        often = np.diff(np.concatenate((first, [len(s)]))) > 1
+        once, twice = s[first[~often]], s[first[often]]
+        known = twice[np.minimum(np.searchsorted(twice, own), len(twice) - 1)] == own if len(twice) else np.zeros(len(own), bool)
+        return pa.RecordBatch.from_pydict({
+            "part": pa.array([p], pa.int32()),
+            "once": [once.tobytes()],
+            "twice": [twice.tobytes()],
+            "keys": [own[~known].tobytes()], "docs": [rk[~known].tobytes()], "pos": [pos[~known].tobytes()],
+            "known_docs": [rk[known].tobytes()], "known_pos": [pos[known].tobytes()],
+        })
 
     def probe(batches):
         kinds = {"once": np.uint32, "twice": np.uint32, "keys": np.uint32, "docs": np.int64, "pos": np.uint32, "known_docs": np.int64, "known_pos": np.uint32}
@@ -93,14 +111,18 @@ def hit_blocks(docs: DataFrame, k: int, parts: int) -> DataFrame:
             hit = np.isin(g["keys"], again, assume_unique=False)
             yield from K.owned_rows(np.concatenate((g["docs"][hit], g["known_docs"])), np.concatenate((g["pos"][hit], g["known_pos"])), parts)
 
-    packed = docs.select("rk", "text").mapInArrow(lambda x: _packed(x, emit, pack), "part int, once binary, twice binary, keys binary, docs binary, pos binary, known_docs binary, known_pos binary")
-    return packed.repartition(parts, "part").mapInArrow(probe, OWNED)
+    packed = docs.select("rk", "text").mapInArrow(lambda x: _packed_by_part(x, emit, pack, parts, 2), "part int, once binary, twice binary, keys binary, docs binary, pos binary, known_docs binary, known_pos binary")
+    return K.dealt(packed, parts).mapInArrow(probe, OWNED)
+
 
+def hashed(rows: DataFrame, parts: int) -> DataFrame:
+    return rows.repartition(parts, "part")
 
-def with_places(docs: DataFrame, places: DataFrame, parts: int, run: Callable[[Iterator[pa.RecordBatch], K.Places], Iterator[pa.RecordBatch]], schema: StructType | str) -> DataFrame:
+
+def with_places(docs: DataFrame, places: DataFrame, parts: int, run: Callable[[Iterator[pa.RecordBatch], K.Places], Iterator[pa.RecordBatch]], schema: StructType | str, deal: Callable[[DataFrame, int], DataFrame] = hashed) -> DataFrame:
     """Brings the packed places of each document (rk) to its row: run(rows, places) in each part.
 
-    Rows are spread by the hash rk, so a part holds about its share of all texts; it is held whole, as Arrow buffers."""
+    Rows are spread by the hash rk, so a part holds about its share of all texts; it is held whole, as Arrow buffers, each until ``run`` has taken the next."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, found = [], []
@@ -108,10 +130,12 @@ def with_places(docs: DataFrame, places: DataFrame, parts: int, run: Callable[[I
             own = b.column("docs").is_null()
             texts.append(b.filter(own))
             found.append(b.filter(K.inverted(own)))
-        yield from run((t for t in texts if t.num_rows), K.Places(found))
+        places = K.Places(found)
+        found.clear()
+        yield from run(K.taken(texts), places)
 
     rows = docs.withColumn("part", F.pmod("rk", F.lit(parts)).cast("int"))
-    return rows.unionByName(places, allowMissingColumns=True).repartition(parts, "part").mapInArrow(meet, schema)
+    return deal(rows.unionByName(places, allowMissingColumns=True), parts).mapInArrow(meet, schema)
 
 
 def repeated_windows(docs: DataFrame, blocks: DataFrame, length: int, k: int, parts: int) -> DataFrame:
@@ -128,18 +152,35 @@ def repeated_windows(docs: DataFrame, blocks: DataFrame, length: int, k: int, pa
             where, doc = A.window_rows(offsets, length)
             keep = A.covered(len(words), first, hits - first + 1)[where]
             where, doc = where[keep], doc[keep]
-            return (A.window_hashes(A.symbol_prefix(words), length)[where], doc, (where - offsets[doc]).astype(np.uint32)) if len(where) else None
+            if not len(where):
+                return None
+            h = A.window_hashes(A.symbol_prefix(words), length)[where]
+            return ((h, h, batch.column("rk").to_numpy(zero_copy_only=False)[i:j][doc], (where - offsets[doc]).astype(np.uint32)),)
 
         return run
 
-    packed = with_places(docs.select("rk", "text"), blocks, parts, lambda rows, places: _packed(rows, emit(places), lambda held: pack_repeats(held, parts)), REPEATS)
-    return exchange_repeats(packed, parts)
+    packed = with_places(docs.select("rk", "text"), blocks, parts, lambda rows, places: _packed_by_part(rows, emit(places), lambda p, held: repeats_row(p, *held), parts), REPEATS, K.dealt)
+    return exchange_repeats(packed, parts, K.dealt)
 
 
 OWNED = "part int, docs binary, at binary"
 REPEATS = "part int, keys binary, docs binary, pos binary, twice binary, known_docs binary, known_pos binary"
 
 
+def repeats_row(p: int, h: np.ndarray, rk: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
+    often = K.times(h)
+    known, single = often > 1, often == 1
+    first = np.concatenate(([True], rk[single][1:] != rk[single][:-1])) if single.any() else np.zeros(0, bool)
+    counts = np.diff(np.concatenate((np.flatnonzero(first), [len(first)])))
+    return pa.RecordBatch.from_pydict({
+        "part": pa.array([p], pa.int32()),
+        "keys": [h[single].tobytes()],
+        "docs": [np.stack((rk[single][first], counts), 1).astype(np.int64).tobytes()], "pos": [pos[single].tobytes()],
+        "twice": [np.unique(h[known]).tobytes()],
+        "known_docs": [rk[known].tobytes()], "known_pos": [pos[known].tobytes()],
+    })
+
+
 def pack_repeats(held, parts):
     h, rk, pos = held
     part = K.part_of(h, parts)
@@ -147,21 +188,11 @@ def pack_repeats(held, parts):
     h, rk, pos = h[order], rk[order], pos[order]
     ends = np.cumsum(n)
     for p in np.flatnonzero(n):
-        a, b = ends[p] - n[p], ends[p]
-        often = K.times(h[a:b])
-        known, single = often > 1, often == 1
-        first = np.concatenate(([True], rk[a:b][single][1:] != rk[a:b][single][:-1])) if single.any() else np.zeros(0, bool)
-        counts = np.diff(np.concatenate((np.flatnonzero(first), [len(first)])))
-        yield pa.RecordBatch.from_pydict({
-            "part": pa.array([p], pa.int32()),
-            "keys": [h[a:b][single].tobytes()],
-            "docs": [np.stack((rk[a:b][single][first], counts), 1).astype(np.int64).tobytes()], "pos": [pos[a:b][single].tobytes()],
-            "twice": [np.unique(h[a:b][known]).tobytes()],
-            "known_docs": [rk[a:b][known].tobytes()], "known_pos": [pos[a:b][known].tobytes()],
-        })
+        own = slice(ends[p] - n[p], ends[p])
+        yield repeats_row(p, h[own], rk[own], pos[own])
 
 
-def exchange_repeats(packed: DataFrame, parts: int) -> DataFrame:
+def exchange_repeats(packed: DataFrame, parts: int, deal: Callable[[DataFrame, int], DataFrame] = hashed) -> DataFrame:
     def match(batches):
         kinds = {"keys": np.uint64, "docs": np.int64, "pos": np.uint32, "twice": np.uint64, "known_docs": np.int64, "known_pos": np.uint32}
         g = K.gathered(batches, kinds)
@@ -174,7 +205,7 @@ def exchange_repeats(packed: DataFrame, parts: int) -> DataFrame:
         hit = again[np.minimum(np.searchsorted(again, g["keys"]), len(again) - 1)] == g["keys"] if len(again) else np.zeros(len(g["keys"]), bool)
         yield from K.owned_rows(np.concatenate((docs[hit], g["known_docs"])), np.concatenate((g["pos"][hit], g["known_pos"])), parts)
 
-    return packed.repartition(parts, "part").mapInArrow(match, OWNED)
+    return deal(packed, parts).mapInArrow(match, OWNED)
 
 
 def repeats(documents: DataFrame, length: int, parts: int) -> DataFrame:
@@ -214,7 +245,7 @@ def strip_repeats(documents: DataFrame, length: int = 35, keep: tuple[str, ...]
                 )
 
     more = StructType.fromDDL("n_words long, n_removed long, kept string, spans array<struct<first:long,end:long>>")
-    return with_places(rows, repeats(docs, length, parts), parts, cut, StructType([rows.schema[c] for c in keep] + more.fields))
+    return with_places(rows, repeats(docs, length, parts), parts, cut, StructType([rows.schema[c] for c in keep] + more.fields), K.dealt)
 
 
 def without_repeats(documents: DataFrame, length: int = 35) -> DataFrame:

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallymark.llm import arrays, components, decontamination, html_extraction, html_pages, language_id, license_scan, lm_scoring, minhash_dedup, mixing, prefix_forest, substring_dedup, suffix_arrays, suffix_dedup
+from tallymark.llm import arrays, components, decontamination, html_extraction, html_pages, language_id, license_scan, lm_scoring, minhash_dedup, mixing, packing, prefix_forest, substring_dedup, suffix_arrays, suffix_dedup
 from tests.conftest import same
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -125,6 +125,54 @@ def test_without_repeats_keeps_clean_rows(odd):
     assert 6 not in kept and kept[8].text == odd_rows()[8][1] and kept[3].text == " \t\n" and kept[8].rk == "x"
 
 
+def test_substring_dedup_packs_in_little_memory():
+    """A map task's windows over 24 MB of text: at most a few bytes each, and no copy of all of them to pack them."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    class Plan:
+        def __init__(self):
+            self.steps = []
+
+        def mapInArrow(self, step, schema):
+            self.steps.append(step)
+            return self
+
+        def select(self, *columns):
+            return self
+
+        repartition = repartitionById = select
+
+    plan, r = Plan(), np.random.default_rng(1)
+    substring_dedup.hit_blocks(plan, 18, 64)
+    texts = [" ".join(map(str, r.integers(100, 1000, 500))) for _ in range(12_700)]
+    texts[5000] = texts[7]
+    batch = pa.RecordBatch.from_pydict({"rk": pa.array(range(len(texts)), pa.int64()), "text": texts})
+    next(iter(plan.steps[0](iter([batch.slice(0, 2000)]))))  # what a worker keeps
+    tracemalloc.start()
+    windows = hits = 0
+    for b in plan.steps[0](iter([batch])):
+        windows += len(b["once"][0].as_py()) // 4
+        hits += len(b["known_pos"][0].as_py()) // 4
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert windows > 5_800_000 and hits >= 2 * (483 // 18)
+    assert peak < 100 << 20  # 404 MiB as one array of windows
+
+
+def test_parts_of_texts_have_tasks_of_their_own(spark):
+    def count(rows, places):
+        import pyarrow as pa
+
+        yield pa.RecordBatch.from_pydict({"n": [sum(b.num_rows for b in rows)]})
+
+    docs = spark.range(64).selectExpr("id AS rk", "'a b' AS text")
+    none = spark.createDataFrame([], substring_dedup.OWNED)
+    got = substring_dedup.with_places(docs, none, 16, count, "n long", packing.dealt).collect()
+    assert [r.n for r in got] == [4] * 16
+
+
 # suffix dedup
 
 
