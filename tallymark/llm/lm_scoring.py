@@ -12,7 +12,8 @@ smoothed towards that of its suffix. A text is scored with the longest retained
 
 The tree is a distributed table. Contexts meet by their last ``TOP`` bytes, below which a subtree needs nothing but the distributions
 of its top. For scoring it is broadcast in slices of about ``SLICE`` rows, of which a task holds one at a time; every
-place is scored in the slice of its last TOP bytes, so the slices together are the whole tree.
+place is scored in the slice of its last TOP bytes, so the slices together are the whole tree. A task resolves a context and symbol
+that its texts repeat once, as long as its table of 1 << ``MEMO`` rows holds it.
 
 Defined cases: null and empty texts are the end symbol alone; without training rows all
 distributions are uniform; repeated rows are counted and scored each on their own.
@@ -36,19 +37,8 @@ from . import tables as T
 HOT, DEPTH, TOP, LEAST, GAIN, PRIOR = 400_000, 6, 2, 32, 30.0, 4.0
 SLICE = 4_000_000
 END, SYMBOLS = 256, 257
-_LOWER = A._LOWER.astype(np.uint16)
-
-
-def symbols(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Padded symbols, the places to predict (all bytes and the ends), and the offsets of the documents in those."""
-    docs, sizes = len(at) - 1, np.diff(at)
-    out = np.zeros(len(data) + docs * (DEPTH + 1), np.uint16)
-    where = np.arange(len(data)) + np.repeat(np.arange(docs) * (DEPTH + 1) + DEPTH, sizes)
-    out[where] = _LOWER[data]
-    begins = at[:-1] + np.arange(docs) * (DEPTH + 1) + DEPTH
-    out[begins + sizes] = END
-    places = A.ranges(begins, sizes + 1)
-    return out, places, np.concatenate(([0], np.cumsum(sizes + 1)))
+MEMO = 22
+_LOWER = A._LOWER.astype(np.uint8)
 
 
 def _merge(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -108,12 +98,27 @@ def frequent_tokens(counts: DataFrame, most: int) -> DataFrame:
 
 
 def context_keys(data: np.ndarray, at: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
-    """context << 9 | next of every place, and the offsets of the documents in those."""
-    s, places, offsets = symbols(data, at)
-    key = np.zeros(len(places), np.int64)
-    for d in range(depth, 0, -1):
-        key = key << 8 | s[places - d]
-    return key << 9 | s[places], offsets
+    """context << 9 | next of every place (all bytes and the ends), and the offsets of the documents in those."""
+    docs, sizes = len(at) - 1, np.diff(at)
+    begins = at[:-1] + np.arange(docs) * (DEPTH + 1)
+    ends = begins + DEPTH + sizes
+    # each document after DEPTH NULs, and with one byte for its end
+    inside = np.ones(len(data) + docs * (DEPTH + 1), bool)
+    inside[(begins[:, None] + np.arange(DEPTH)).ravel()] = inside[ends] = False
+    padded = np.zeros(len(inside) + 8, np.uint8)
+    padded[: len(inside)][inside] = _LOWER[data]
+    inside[ends] = True
+    # the 8 bytes from each place on, as one number: DEPTH of context, the next one, and one that is not asked for
+    eight = np.ndarray(max(0, len(inside) - DEPTH), ">u8", padded, 0, (1,)).astype(np.int64)[inside[DEPTH:]]
+    keys = eight >> 16
+    keys &= (1 << 8 * depth) - 1
+    keys <<= 9
+    eight >>= 8
+    eight &= 255
+    keys |= eight
+    offsets = np.concatenate(([0], np.cumsum(sizes + 1)))
+    keys[offsets[1:] - 1] |= END
+    return keys, offsets
 
 
 def context_counts(training: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -268,30 +273,64 @@ def resolve(tree: Tree, wanted: np.ndarray) -> np.ndarray:
     return out + np.where(still, tree.root[wanted & 511], 0.0)
 
 
-def _sums(keys: np.ndarray, offsets: np.ndarray, known) -> np.ndarray:
-    distinct, inverse = np.unique(keys, return_inverse=True)
-    return np.add.reduceat(known(distinct)[inverse], offsets[:-1])
-
-
 def tree_scores(tree: Tree, data: np.ndarray, at: np.ndarray) -> np.ndarray:
     """log10 probability of each document's bytes and end."""
-    return _sums(*context_keys(data, at), lambda wanted: resolve(tree, wanted))
-
-
-def _resolver(slices: list, texts: pa.Array):
-    """A function from sorted distinct keys of these texts to log10 probabilities. Of several slices one is in memory at a time."""
-    if len(slices) == 1:
-        return lambda wanted: resolve(slices[0].value, wanted)
-    wanted = np.zeros(0, np.int64)
-    for _, _, data, at in A.blocks(texts, 1 << 21):
-        wanted = np.union1d(wanted, context_keys(data, at)[0])
-    mine, logs = _suffix(wanted >> 9, TOP) % len(slices), np.zeros(len(wanted))
-    for i, one in enumerate(slices):
-        own = np.flatnonzero(mine == i)
-        if len(own):
-            logs[own] = resolve(one.value, wanted[own])
-            one.__dict__.pop("_value", None)  # read again from its file when it is needed next
-    return lambda some: logs[np.searchsorted(wanted, some)]
+    keys, offsets = context_keys(data, at)
+    distinct, inverse = np.unique(keys, return_inverse=True)
+    return np.add.reduceat(resolve(tree, distinct)[inverse], offsets[:-1])
+
+
+class Resolver:
+    """log10 probabilities of keys by the tree (broadcast slices). What has been resolved stays in a table of 1 << ``bits`` rows, where
+    each key has one row and takes it over from another's; all other keys are resolved again, so the table's size changes no result.
+    Of several slices one is in memory at a time."""
+
+    def __init__(self, slices: list, bits: int = MEMO) -> None:
+        self.slices, self.shift = slices, np.uint64(64 - bits)
+        self.keys, self.logs = np.zeros(1 << bits, np.int64), np.zeros(1 << bits)
+        self.keys[0] = -1  # the row of the key 0, which no other row could stand for
+        self.ready = np.zeros(0, np.int64), np.zeros(0)
+
+    def _rows(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * A._BASE >> self.shift).view(np.int64)
+
+    def _keep(self, keys: np.ndarray, logs: np.ndarray) -> None:
+        rows = self._rows(keys)
+        self.keys[rows], self.logs[rows] = keys, logs
+
+    def prepare(self, texts: pa.Array) -> None:
+        """Of several slices, each is read once for all keys of these texts that the table does not hold; it is not changed until the next call."""
+        if len(self.slices) == 1:
+            return
+        self._keep(*self.ready)
+        held, size = [np.zeros(0, np.int64)], 0
+        for _, _, data, at in A.blocks(texts):
+            keys = context_keys(data, at)[0]
+            held.append(np.unique(keys[self.keys[self._rows(keys)] != keys]))
+            size += len(held[-1])
+            if size > 2_000_000 and size > 2 * len(held[0]):
+                held = [np.unique(np.concatenate(held))]
+                size = len(held[0])
+        wanted = np.unique(np.concatenate(held))
+        mine, logs = _suffix(wanted >> 9, TOP) % len(self.slices), np.zeros(len(wanted))
+        for i, one in enumerate(self.slices):
+            own = np.flatnonzero(mine == i)
+            if len(own):
+                logs[own] = resolve(one.value, wanted[own])
+                one.__dict__.pop("_value", None)  # read again from its file when it is needed next
+        self.ready = wanted, logs
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        rows = self._rows(keys)
+        logs, new = self.logs[rows], np.flatnonzero(self.keys[rows] != keys)
+        if len(self.slices) == 1:
+            distinct, inverse = np.unique(keys[new], return_inverse=True)
+            found = resolve(self.slices[0].value, distinct)
+            self._keep(distinct, found)
+            logs[new] = found[inverse]
+        else:
+            logs[new] = self.ready[1][np.searchsorted(self.ready[0], keys[new])]
+        return logs
 
 
 def score(documents: DataFrame, held_out: Column, hot: int = HOT, most: int = SLICE) -> DataFrame:
@@ -314,8 +353,9 @@ def score(documents: DataFrame, held_out: Column, hot: int = HOT, most: int = SL
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, logs, trained = shared.value
+        resolved = Resolver(slices)
         for batch in batches:
-            known_places = _resolver(slices, batch.column("text"))
+            resolved.prepare(batch.column("text"))
             for i, j, data, at in A.blocks(batch.column("text"), 1 << 20):
                 h, _, _, offsets = A.word_hashes(data, at, A.NOT_SPACE, lower=True)
                 words = np.diff(offsets)
@@ -325,9 +365,10 @@ def score(documents: DataFrame, held_out: Column, hot: int = HOT, most: int = SL
                 seen = np.concatenate(([0], np.cumsum(known & trained[place] if len(keys) else known)))
                 doc = np.repeat(np.arange(j - i), words)[~known]
                 cold = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=j - i)))).astype(np.int32)), pa.array(h[~known].view(np.int64)))
+                places, ends_at = context_keys(data, at)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("rk").slice(i, j - i), batch.column("doc_id").slice(i, j - i), batch.column("held_out").slice(i, j - i), pa.array(words + 1),
-                    pa.array(seen[offsets[1:]] - seen[offsets[:-1]]), pa.array(gained[offsets[1:]] - gained[offsets[:-1]]), pa.array(_sums(*context_keys(data, at), known_places)), cold,
+                    pa.array(seen[offsets[1:]] - seen[offsets[:-1]]), pa.array(gained[offsets[1:]] - gained[offsets[:-1]]), pa.array(np.add.reduceat(resolved(places), ends_at[:-1])), cold,
                 ], names=["rk", "doc_id", "held_out", "n_tokens", "hot_known", "hot_score", "score", "cold"])
 
     more = StructType.fromDDL("n_tokens long, hot_known long, hot_score double, score double, cold array<long>")

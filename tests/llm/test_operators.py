@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -873,6 +874,53 @@ def test_language_id_learns_the_most_frequent_labels(make):
     assert model.langs == ("de", "l0", "l1")
 
 
+class Slice:
+    """A broadcast slice, read anew each time."""
+
+    def __init__(self, tree):
+        self.value = tree
+
+
+def test_context_keys_brute_force():
+    texts = [b"", b"\0\0a\0", "Große 日本 TEXT".encode(), b"x", b"", b"\0" * 9, bytes(range(65, 91)) * 3]
+    at = np.cumsum([0, *map(len, texts)])
+    for depth in (2, lm_scoring.DEPTH):
+        want = []
+        for t in texts:
+            s = [0] * depth + list(t.translate(LOWER)) + [256]
+            want.append([int.from_bytes(bytes(s[i - depth : i])) << 9 | s[i] for i in range(depth, len(s))])
+        keys, offsets = lm_scoring.context_keys(np.frombuffer(b"".join(texts), np.uint8), at, depth)
+        assert [keys[a:b].tolist() for a, b in itertools.pairwise(offsets)] == want
+    assert [len(x) for x in lm_scoring.context_keys(np.zeros(0, np.uint8), np.zeros(1, np.int64))] == [0, 1]
+
+
+def test_lm_resolves_repeated_places_once(make, lm_rows, monkeypatch):
+    """A key that the texts of a task repeat is looked up in the tree once, not again in each block; a table too small for all keys, and a tree in several slices, score alike."""
+    counts = lm_scoring.context_counts(make(lm_rows))
+    one, some = [lm_scoring.grow(counts)], list(lm_scoring.grow_slices(counts, most=8))
+    assert len(some) > 2
+    texts = pa.array([t for _, t in lm_rows] + [None, "", "\0", "\0\0", "UNSEEN Words, 日本"])
+    blocks, asked, plain = list(arrays.blocks(texts, 1000)), [], lm_scoring.resolve
+    assert len(blocks) > 10
+    want = np.concatenate([lm_scoring.tree_scores(one[0], data, at) for _, _, data, at in blocks])
+    by_block = [np.unique(lm_scoring.context_keys(data, at)[0]) for _, _, data, at in blocks]
+    distinct = np.unique(np.concatenate(by_block))
+    assert sum(map(len, by_block)) > 3 * len(distinct)  # what was asked block by block
+    monkeypatch.setattr(lm_scoring, "resolve", lambda tree, wanted: asked.append(len(wanted)) or plain(tree, wanted))
+    for trees, bits in ((one, 22), (some, 22), (one, 3), (some, 3)):
+        asked.clear()
+        resolved = lm_scoring.Resolver([Slice(t) for t in trees], bits)
+        for _ in range(2):  # the second batch brings nothing new
+            got = []
+            resolved.prepare(texts)
+            for _, _, data, at in blocks:
+                keys, offsets = lm_scoring.context_keys(data, at)
+                got.append(np.add.reduceat(resolved(keys), offsets[:-1]))
+            assert np.allclose(np.concatenate(got), want, rtol=0, atol=1e-9)
+        if bits == 22:
+            assert sum(asked) < 1.02 * len(distinct)
+
+
 def test_tokens_frequent_in_held_out_texts_alone(make):
     """They are hot by their count in all texts, and known in none."""
     rows = [(i, "common words here", "en", "a") for i in range(40)] + [(100 + i, "unseen " * 30, "en", "a") for i in range(40)]
