@@ -49,6 +49,12 @@ def _merge(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nd
     return keys[first], np.add.reduceat(n, first)
 
 
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted; by a sort, which takes a fraction of the time of numpy's hash table for so many keys."""
+    keys = np.sort(keys)
+    return keys[np.concatenate(([True], keys[1:] != keys[:-1]))] if len(keys) else keys
+
+
 def _counter(keys_of, name: str):
     """Counts keys over a partition, merging as it goes: emits each key of the partition once, or once for each few million keys."""
 
@@ -299,37 +305,44 @@ class Resolver:
         self.keys[rows], self.logs[rows] = keys, logs
 
     def prepare(self, texts: pa.Array) -> None:
-        """Of several slices, each is read once for all keys of these texts that the table does not hold; it is not changed until the next call."""
+        """Of several slices, each is read once for all keys of these texts that the table does not hold. Those and what they take the rows
+        of are at hand beside the table, which is not changed until the next call."""
         if len(self.slices) == 1:
             return
-        self._keep(*self.ready)
         held, size = [np.zeros(0, np.int64)], 0
         for _, _, data, at in A.blocks(texts):
             keys = context_keys(data, at)[0]
-            held.append(np.unique(keys[self.keys[self._rows(keys)] != keys]))
+            held.append(_distinct(keys[self.keys[self._rows(keys)] != keys]))
             size += len(held[-1])
             if size > 2_000_000 and size > 2 * len(held[0]):
-                held = [np.unique(np.concatenate(held))]
+                held = [_distinct(np.concatenate(held))]
                 size = len(held[0])
-        wanted = np.unique(np.concatenate(held))
+        wanted = _distinct(np.concatenate(held))
         mine, logs = _suffix(wanted >> 9, TOP) % len(self.slices), np.zeros(len(wanted))
         for i, one in enumerate(self.slices):
             own = np.flatnonzero(mine == i)
             if len(own):
                 logs[own] = resolve(one.value, wanted[own])
                 one.__dict__.pop("_value", None)  # read again from its file when it is needed next
-        self.ready = wanted, logs
+        rows = self._rows(wanted)
+        gone, had = self.keys[rows], self.logs[rows]
+        taken = self._rows(gone) == rows  # a row without a key is not that of its value
+        keys = np.concatenate((wanted, gone[taken]))
+        order = np.argsort(keys)
+        self.ready = keys[order], np.concatenate((logs, had[taken]))[order]
+        self._keep(wanted, logs)
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
         rows = self._rows(keys)
         logs, new = self.logs[rows], np.flatnonzero(self.keys[rows] != keys)
-        if len(self.slices) == 1:
+        if len(new):
             distinct, inverse = np.unique(keys[new], return_inverse=True)
-            found = resolve(self.slices[0].value, distinct)
-            self._keep(distinct, found)
+            if len(self.slices) == 1:
+                found = resolve(self.slices[0].value, distinct)
+                self._keep(distinct, found)
+            else:
+                found = self.ready[1][np.searchsorted(self.ready[0], distinct)]
             logs[new] = found[inverse]
-        else:
-            logs[new] = self.ready[1][np.searchsorted(self.ready[0], keys[new])]
         return logs
 
 

@@ -921,6 +921,22 @@ def test_lm_resolves_repeated_places_once(make, lm_rows, monkeypatch):
             assert sum(asked) < 1.02 * len(distinct)
 
 
+def test_lm_slices_over_batches(make, lm_rows):
+    """Batches that bring back what others took the rows of, and the key 0, in a table of very few rows; new keys of a batch are in the table for that batch."""
+    counts = lm_scoring.context_counts(make(lm_rows))
+    tree, some = lm_scoring.grow(counts), list(lm_scoring.grow_slices(counts, most=8))
+    batches = [pa.array([t for _, t in lm_rows[i::7]] + ["\0" * i]) for i in range(7)] * 2
+    for bits in (2, 5, 8, 22):
+        resolved = lm_scoring.Resolver([Slice(t) for t in some], bits)
+        for texts in batches:
+            resolved.prepare(texts)
+            for _, _, data, at in arrays.blocks(texts, 500):
+                keys, _ = lm_scoring.context_keys(data, at)
+                distinct, inverse = np.unique(keys, return_inverse=True)
+                assert np.allclose(resolved(keys), lm_scoring.resolve(tree, distinct)[inverse], rtol=0, atol=1e-9)
+                assert bits < 22 or np.mean(resolved.keys[resolved._rows(keys)] == keys) > 0.98
+
+
 def test_tokens_frequent_in_held_out_texts_alone(make):
     """They are hot by their count in all texts, and known in none."""
     rows = [(i, "common words here", "en", "a") for i in range(40)] + [(100 + i, "unseen " * 30, "en", "a") for i in range(40)]
